@@ -2,27 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from eventloom.functions.scratch import staged
 
 
-def unknown_ids(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """The ids that ``facts`` uses and ``dimension`` lacks, staged.
+def unknown_ids(facts: DataFrame, dimensions: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Per key column, the ids that ``facts`` uses and its dimension lacks.
 
     ``distinct`` is combined on the map side, so a hot id costs one row per
-    task. The result is normally tiny; its staged size lets Spark broadcast it
-    when it is, and fall back to a shuffle join when it is not.
+    task. The result is normally tiny. It is staged: its size on disk lets Spark
+    broadcast it when it is small and fall back to a shuffle join when not.
     """
-    used = facts.select(key).where(f"{key} is not null").distinct()
-    return staged(used.join(dimension.select(key), key, "left_anti"), f"unknown-{key}")
+
+    def missing(key: str) -> DataFrame:
+        used = facts.select(key).where(f"{key} is not null").distinct()
+        unknown = used.join(dimensions[key].select(key), key, "left_anti")
+        return unknown.select(F.lit(key).alias("key"), F.col(key).alias("id"))
+
+    found = staged(reduce(DataFrame.union, map(missing, dimensions)), "unknown-ids")
+    return {
+        key: found.where(F.col("key") == key).select(F.col("id").alias(key)) for key in dimensions
+    }
 
 
-def keep_known(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Facts whose ``key`` exists in ``dimension``; equals a left-semi join.
+def keep_known(facts: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Facts whose keys all exist; equals left-semi joins with the dimensions.
 
-    Removing the few unknown ids spares the fact rows the shuffle that a semi
-    join with a large dimension would need.
+    Removing the few unknown ids spares the fact rows the shuffles that semi
+    joins with large dimensions would need.
     """
-    known = facts.join(unknown_ids(facts, dimension, key), key, "left_anti")
-    return known.where(f"{key} is not null")
+    for key, unknown in unknown_ids(facts, dimensions).items():
+        facts = facts.join(unknown, key, "left_anti").where(f"{key} is not null")
+    return facts

@@ -17,13 +17,14 @@ def as_id(column: Column | str) -> Column:
     return F.nullif(column.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def iso(column: Column) -> Column:
+    """ISO-8601 text; microseconds only where there are any."""
+    whole = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
+    micros = F.date_format(column, "SSSSSS")
+    return F.when(micros == "000000", whole).otherwise(F.concat_ws(".", whole, micros))
+
+
 def iso_datetimes(df: DataFrame) -> DataFrame:
-    """Every timestamp column as ISO-8601 text with whole seconds."""
-    return df.select(
-        *(
-            F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss").alias(name)
-            if dtype in ("timestamp", "timestamp_ntz")
-            else F.col(f"`{name}`")
-            for name, dtype in df.dtypes
-        )
-    )
+    """Every timestamp column as ISO-8601 text."""
+    times = [name for name, dtype in df.dtypes if dtype in ("timestamp", "timestamp_ntz")]
+    return df.withColumns({name: iso(F.col(name)) for name in times}) if times else df

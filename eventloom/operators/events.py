@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from eventloom.functions.counting import one_row, row_counts
-from eventloom.functions.joins import keep_known, unknown_ids
+from eventloom.functions.joins import unknown_ids
 from eventloom.functions.text import as_id, clipped
 from eventloom.functions.time_windows import moment, ntz
 from eventloom.operators.payloads import LINE, line_columns
@@ -21,20 +21,37 @@ def usable_lines(raw: DataFrame, as_of=None) -> DataFrame:
     it stands, without shifting its zone.
     """
     created_at = F.coalesce(F.col("created_at"), F.date_format(ntz(moment(as_of)), "yyyy-MM-dd'T'HH:mm:ss"))
+    time = created_at.try_cast("timestamp_ntz")
     rows = raw.select(
         *line_columns(raw),
         clipped("type", 50).alias("event_type"),
         F.when(F.coalesce("public", F.lit("")).isin(*FALSE_TEXTS), 0).otherwise(1).alias("public"),
-        created_at.try_cast("timestamp_ntz").alias("created_at"),
+        time.alias("created_at"),
+        F.to_date(time).alias("created_at_date"),
         as_id("actor.id").alias("actor_id"),
         as_id("repo.id").alias("repo_id"),
         as_id("org.id").alias("org_id"),
         clipped("actor.login", 100).alias("actor_login"),
         clipped("repo.name", 255).alias("repo_name"),
     )
-    return rows.where(
-        "actor_id is not null and repo_id is not null and created_at is not null"
-    ).withColumn("created_at_date", F.to_date("created_at"))
+    return rows.where("actor_id is not null and repo_id is not null and created_at is not null")
+
+
+def check_ids(rows: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Rows of known actors and repositories, with unknown organizations set to NULL.
+
+    ``dimensions`` maps key columns to tables; a key that is not given is not
+    checked.
+    """
+    columns = rows.columns
+    for key, unknown in unknown_ids(rows, dimensions).items():
+        if key == "org_id":
+            marked = unknown.withColumn("unknown", F.lit(True))
+            known_org = F.when(F.col("unknown").isNull(), F.col(key))
+            rows = rows.join(marked, key, "left").withColumn(key, known_org)
+        else:
+            rows = rows.join(unknown, key, "left_anti")
+    return rows.select(*columns)
 
 
 def project_events(
@@ -44,34 +61,11 @@ def project_events(
     orgs: DataFrame | None = None,
     as_of=None,
 ) -> DataFrame:
-    """Archive lines as fact rows, checked against the given dimensions.
-
-    Rows of unknown actors or repositories are left out; an unknown
-    organization becomes NULL. A dimension that is not given is not checked.
-    """
+    """Archive lines as fact rows, checked against the dimensions that are given."""
+    given = {"actor_id": actors, "repo_id": repos, "org_id": orgs}
+    dimensions = {key: table for key, table in given.items() if table is not None}
     rows = usable_lines(raw, as_of)
-    if actors is not None:
-        rows = keep_known(rows, actors, "actor_id")
-    if repos is not None:
-        rows = keep_known(rows, repos, "repo_id")
-    if orgs is not None:
-        unknown = unknown_ids(rows, orgs, "org_id").select("org_id", F.lit(True).alias("unknown"))
-        rows = rows.join(unknown, "org_id", "left").withColumn(
-            "org_id", F.when(F.col("unknown").isNull(), F.col("org_id"))
-        )
-    return rows.select(
-        *[c for c in (*LINE, "payload_id") if c in rows.columns],
-        "gh_event_id",
-        "event_type",
-        "public",
-        "created_at",
-        "created_at_date",
-        "actor_id",
-        "repo_id",
-        "org_id",
-        "actor_login",
-        "repo_name",
-    )
+    return check_ids(rows, dimensions) if dimensions else rows
 
 
 def first_copies(batch: DataFrame) -> DataFrame:
@@ -84,19 +78,22 @@ def first_copies(batch: DataFrame) -> DataFrame:
     return batch.withColumn("copy", F.row_number().over(by_input)).where("copy = 1").drop("copy")
 
 
+def not_stored(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The first copies of events that are not stored."""
+    return first_copies(batch).join(stored.select(*EVENT_KEY), EVENT_KEY, "left_anti")
+
+
 def dedupe_events(batch: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Batch rows that are neither copies within the batch nor stored already.
 
     Only the stored dates that the batch spans are read.
     """
-    new = first_copies(batch)
     if stored is None:
-        return new
-    span = batch.agg(F.min("created_at_date"), F.max("created_at_date")).first()
-    if span[0] is None:
-        return new
-    nearby = stored.where(F.col("created_at_date").between(*span)).select(*EVENT_KEY)
-    return new.join(nearby, EVENT_KEY, "left_anti")
+        return first_copies(batch)
+    first, last = batch.agg(F.min("created_at_date"), F.max("created_at_date")).first()
+    if first is None:
+        return first_copies(batch)
+    return not_stored(batch, stored.where(F.col("created_at_date").between(first, last)))
 
 
 def validate_events(
@@ -104,10 +101,10 @@ def validate_events(
 ) -> DataFrame:
     """Events with ``is_valid`` and ``error_msg``; the first failing check wins."""
     checked, message = events, F.lit("")
-    for key, dimension in (("org_id", orgs), ("repo_id", repos), ("actor_id", actors)):
+    unknown = unknown_ids(events, {"org_id": orgs, "repo_id": repos, "actor_id": actors})
+    for key, ids in unknown.items():
         mark = f"unknown_{key}"
-        unknown = unknown_ids(events, dimension, key).select(key, F.lit(True).alias(mark))
-        checked = checked.join(unknown, key, "left")
+        checked = checked.join(ids.withColumn(mark, F.lit(True)), key, "left")
         missing = F.col(key).isNull() if key != "org_id" else F.lit(False)
         text = F.concat(F.lit(f"Invalid {key}: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
         message = F.when(missing | F.col(mark).isNotNull(), text).otherwise(message)

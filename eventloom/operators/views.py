@@ -23,7 +23,7 @@ def recent_events_summary(
     window = events.where(last_days(7, as_of)).select(
         "gh_event_id", "event_type", "created_at", "actor_id", "repo_id", "actor_login", "repo_name"
     )
-    known = keep_known(keep_known(window, actors, "actor_id"), repos, "repo_id")
+    known = keep_known(window, {"actor_id": actors, "repo_id": repos})
     newest = known.orderBy(F.desc("created_at"), F.asc("gh_event_id")).limit(n)
     details = newest.join(actors.select("actor_id", "display_login"), "actor_id").join(
         repos.select("repo_id", "total_stars", "total_forks"), "repo_id"

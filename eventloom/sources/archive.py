@@ -31,40 +31,38 @@ def file_glob(days, hours=HOURS) -> str:
     return f"{{{day_names}}}-{{{hour_names}}}.json.gz"
 
 
-def number_lines(text: DataFrame) -> DataFrame:
-    """Add ``archive_hour`` and ``line_no`` to freshly scanned text.
+def with_hour(text: DataFrame) -> DataFrame:
+    """Scanned text with the ``archive_hour`` that its file name states."""
+    hour = F.regexp_replace("_metadata.file_name", r"^(.+)-(\d+)\.json\.gz$", "$1 $2:00:00")
+    return text.select("value", hour.try_cast("timestamp_ntz").alias("archive_hour"))
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Add ``line_no`` to freshly scanned lines.
 
     A gzip file is never split, so row ids grow with the position in the file.
     They are taken at the scan, before any shuffle can reorder rows.
     """
-    hour = F.regexp_replace("_metadata.file_name", r"^(.+)-(\d+)\.json\.gz$", "$1 $2:00:00")
-    return text.select(
-        "value",
-        hour.try_cast("timestamp_ntz").alias("archive_hour"),
-        F.monotonically_increasing_id().alias("line_no"),
-    )
+    return lines.withColumn("line_no", F.monotonically_increasing_id())
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Archive lines as nested events.
 
     ``malformed`` marks lines that are no JSON object of the archive's shape:
-    cut off, blank, followed by more text, or of another JSON type.
+    cut off, blank, followed by more text, or of another JSON type. ``inline``
+    parses each line once; filters on the fields cannot be moved below it,
+    where they would parse the line again.
     """
     event = F.from_json(
         "value",
         ARCHIVE_LINE,
         {"columnNameOfCorruptRecord": "_corrupt_record", "allowSingleQuotes": "false"},
     )
-    closed = F.rtrim("value").endswith("}")
-    return lines.select("archive_hour", "line_no", event.alias("e"), closed.alias("closed")).select(
-        "archive_hour",
-        "line_no",
-        (F.col("e").isNull() | F.col("e._corrupt_record").isNotNull() | ~F.col("closed")).alias(
-            "malformed"
-        ),
-        *(F.col(f"e.{name}").alias(name) for name in EVENT_FIELDS),
-    )
+    closed = F.rtrim("value").endswith("}").alias("closed")
+    parsed = lines.select("archive_hour", "line_no", closed, F.inline(F.array(event)))
+    malformed = F.col("_corrupt_record").isNotNull() | ~F.col("closed")
+    return parsed.select("archive_hour", "line_no", malformed.alias("malformed"), *EVENT_FIELDS)
 
 
 def well_formed(raw: DataFrame) -> DataFrame:
@@ -78,7 +76,7 @@ def read_lines(text: DataFrame) -> DataFrame:
     JSON parsing, so that an hour far larger than the others does not hold up
     the job.
     """
-    return parse_lines(number_lines(text).hint("rebalance"))
+    return parse_lines(number_lines(with_hour(text)).hint("rebalance"))
 
 
 def read_archive(spark: SparkSession, paths) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.functions.scratch import staged
-from eventloom.operators.events import dedupe_events, project_events, usable_lines, validate_events
+from eventloom.operators.events import check_ids, not_stored, usable_lines, validate_events
 from eventloom.sinks.tables import dates_in
-from eventloom.sources.archive import ARCHIVE_FILES, number_lines, parse_lines, well_formed
+from eventloom.sources.archive import ARCHIVE_FILES, number_lines, parse_lines, well_formed, with_hour
 from eventloom.streaming.store import BATCH, BatchTable
 
 EVENT_ROWS = """
@@ -25,13 +25,18 @@ AfterInsert = Callable[[DataFrame, int], None]
 def line_stream(spark: SparkSession, root: str, max_files: int = 1) -> DataFrame:
     """Lines of the hour files as they arrive, ``max_files`` per micro-batch."""
     files = spark.readStream.option("pathGlobFilter", ARCHIVE_FILES)
-    return number_lines(files.option("maxFilesPerTrigger", max_files).text(root))
+    return with_hour(files.option("maxFilesPerTrigger", max_files).text(root))
 
 
 def event_store(spark: SparkSession, path: str) -> BatchTable:
     return BatchTable(spark, path, EVENT_ROWS, ("created_at_date",)).create()
 
 
+def batch_rows(batch: DataFrame, as_of=None) -> DataFrame:
+    """The usable fact rows of a micro-batch of lines, parsed once and staged."""
+    return staged(usable_lines(well_formed(parse_lines(number_lines(batch))), as_of), "batch")
+
+
 def run_batches(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], progress: str, **trigger
 ) -> None:
@@ -57,24 +62,21 @@ def stream_ingest(
     """Add the new events of every micro-batch to ``store``.
 
     Events that an earlier batch stored are left out, exactly; the comparison
-    reads only the dates that the batch touches. Each ``after_insert`` step gets
-    the inserted rows and the batch id.
+    reads only the dates that the batch touches. ``dimensions`` maps key columns
+    to the tables they must exist in. Each ``after_insert`` step gets the
+    inserted rows and the batch id.
     """
-    dims = dimensions or {}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        raw = well_formed(parse_lines(batch))
-        rows = staged(
-            project_events(
-                raw, dims.get("actors"), dims.get("repos"), dims.get("organizations"), as_of
-            ),
-            "batch",
-        )
+        rows = batch_rows(batch, as_of)
         dates = dates_in(rows, "created_at_date")
         if not dates:
             return
+        checked = check_ids(rows, dimensions) if dimensions else rows
         earlier = store.on_dates(dates).where(F.col(BATCH) < batch_id)
-        inserted = staged(dedupe_events(rows, earlier), "inserted")
+        inserted = not_stored(checked, earlier)
+        if after_insert:
+            inserted = staged(inserted, "inserted")
         store.write(inserted, batch_id)
         for step in after_insert:
             step(inserted, batch_id)
@@ -82,16 +84,21 @@ def stream_ingest(
     run_batches(lines, handle, progress, **trigger)
 
 
-def stream_dedupe(lines: DataFrame, path: str, progress: str, delay: str = "2 hours", **trigger):
+def stream_dedupe(
+    lines: DataFrame, path: str, progress: str, delay: str = "2 hours", as_of=None, **trigger
+) -> None:
     """Drop repeated event ids within a bounded delay, in Spark's own state.
 
-    State is kept only as long as the delay, so it does not grow with history;
-    ``stream_ingest`` is the exact form. Run with a UTC session time zone.
+    The clock is the hour of the file, so a wrong time inside a line cannot
+    close the window for others. State is kept only as long as the delay and
+    does not grow with history; ``stream_ingest`` is the exact form. Run with a
+    UTC session time zone.
     """
-    events = usable_lines(well_formed(parse_lines(lines)))
+    clock = F.col("archive_hour").cast("timestamp").alias("clock")
     distinct = (
-        events.withColumn("event_time", F.col("created_at").cast("timestamp"))
-        .withWatermark("event_time", delay)
+        usable_lines(well_formed(parse_lines(lines.withColumn("line_no", F.lit(0)))), as_of)
+        .withColumn("clock", clock)
+        .withWatermark("clock", delay)
         .dropDuplicatesWithinWatermark(["gh_event_id"])
         .select("gh_event_id", "event_type", "created_at", "actor_id", "repo_id")
     )
@@ -110,17 +117,16 @@ def stream_validate(
     valid: BatchTable,
     quarantine: BatchTable,
     progress: str,
-    dimensions: dict[str, DataFrame],
+    actors: DataFrame,
+    repos: DataFrame,
+    orgs: DataFrame,
+    as_of=None,
     **trigger,
 ) -> None:
     """Send events with unknown ids to ``quarantine`` and the others to ``valid``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = staged(usable_lines(well_formed(parse_lines(batch))), "batch")
-        checked = validate_events(
-            rows, dimensions["actors"], dimensions["repos"], dimensions["organizations"]
-        )
-        checked = staged(checked, "checked")
+        checked = staged(validate_events(batch_rows(batch, as_of), actors, repos, orgs), "checked")
         valid.write(checked.where("is_valid = 1"), batch_id)
         quarantine.write(checked.where("is_valid = 0"), batch_id)
 

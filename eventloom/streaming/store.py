@@ -37,6 +37,8 @@ class BatchTable:
     def write(self, rows: DataFrame, batch_id: int) -> None:
         columns = [f.name for f in self._schema().fields]
         marked = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")).select(*columns)
+        if self.partitions:
+            marked = marked.hint("rebalance", *self.partitions)
         (
             marked.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

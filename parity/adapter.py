@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventloom.functions.scratch import new_path
 
 AS_OF = "2024-01-31 12:00:00"
+STREAM_FILES = 300
 
 DUCKDB = {
     "K": "CAST(json_extract_string(props, '$.k') AS BIGINT)",
