@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,8 +29,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def application_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that this application stages into.
+
+    Nothing in it is needed once the application has ended.
+    """
+    return f"{shared_folder(spark).rstrip('/')}/eventloom-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/eventloom/{label}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -37,3 +47,20 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_all(frames: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, Exception]]:
+    """Several independent frames staged at the same time, and those that failed.
+
+    The jobs share the cluster, so the tail of one does not leave it idle.
+    """
+    done, failed = {}, {}
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        work = inheritable_thread_target(staged)
+        writes = {name: pool.submit(work, df, name) for name, df in frames.items()}
+        for name, write in writes.items():
+            try:
+                done[name] = write.result()
+            except Exception as error:
+                failed[name] = error
+    return done, failed

@@ -15,25 +15,25 @@ def _first_seen(raw: DataFrame, existing: DataFrame, entity: str, key: str, uniq
     """Rows to add to a dimension: the first one per new id and per new name.
 
     Names collide regardless of case. Both "first" steps are aggregates with a
-    map-side part, so a hot entity travels as one row per task, and the
-    dimension is only met after the batch has shrunk to one row per id.
+    map-side part, so a hot entity, or a name that many ids share, travels as
+    one row per task. The dimension is met only after the batch has shrunk to
+    one row per id, then to one per name.
     """
-    named = [value.alias(name) for name, value in fields.items()]
-    seen = raw.select(as_id(f"{entity}.id").alias(key), F.struct(*named).alias("row"), input_order().alias("seq"))
-    first_per_id = (
+    fields = F.struct(*(value.alias(name) for name, value in fields.items()))
+    seen = raw.select(
+        as_id(f"{entity}.id").alias(key), fields.alias("row"), input_order().alias("seq")
+    )
+    new_ids = (
         seen.where(f"{key} is not null")
         .groupBy(key)
         .agg(F.min_by("row", "seq").alias("row"), F.min("seq").alias("seq"))
         .join(existing.select(key), key, "left_anti")
-        .withColumn("name_key", F.lower(f"row.{unique}"))
     )
-    taken = existing.select(F.lower(unique).alias("name_key"))
-    return (
-        first_per_id.join(taken, "name_key", "left_anti")
-        .groupBy("name_key")
-        .agg(F.min_by(F.struct(key, "row"), "seq").alias("first"))
-        .select(f"first.{key}", "first.row.*")
+    new_names = new_ids.groupBy(F.lower(f"row.{unique}").alias("name_key")).agg(
+        F.min_by(F.struct(key, "row"), "seq").alias("first")
     )
+    taken = existing.select(F.lower(unique).alias("name_key"))
+    return new_names.join(taken, "name_key", "left_anti").select(f"first.{key}", "first.row.*")
 
 
 def extract_actors(raw: DataFrame, existing: DataFrame) -> DataFrame:

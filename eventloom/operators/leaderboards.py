@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from eventloom.functions.counting import count_kind, zero_if_null
 from eventloom.functions.ranking import top_ranked
+from eventloom.functions.scratch import staged
 from eventloom.functions.time_windows import CALENDAR, ROLLING, last_days
 from eventloom.schemas import FORK, ISSUES, PULL_REQUEST, PUSH, WATCH
 
@@ -130,10 +131,10 @@ def leaderboard_top(board: DataFrame, n: int = 3) -> DataFrame:
 def _realtime(events, dimension, key, total, counts, names, n, as_of) -> DataFrame:
     """Top rows of a dimension by a stored total, with recent counts beside it.
 
-    The total does not depend on events, so the ``n`` rows are chosen first and
-    only their events are counted.
+    The total does not depend on events, so the ``n`` rows are chosen first,
+    staged, and only their events are counted.
     """
-    top = top_ranked(dimension, n, F.desc_nulls_last(total), F.asc(key))
+    top = staged(top_ranked(dimension, n, F.desc_nulls_last(total), F.asc(key)), "top")
     window = recent(events, as_of, ROLLING).join(top.select(key), key, "left_semi")
     counted = window.groupBy(key).agg(*counts)
     return top.join(counted, key, "left").withColumns({name: zero_if_null(name) for name in names})

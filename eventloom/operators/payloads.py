@@ -77,10 +77,10 @@ def payload_create(raw: DataFrame) -> DataFrame:
 
 
 PAYLOADS = {
-    "payload_push": (PUSH, payload_push),
-    "payload_star": (WATCH, payload_star),
-    "payload_fork": (FORK, payload_fork),
-    "payload_create": (CREATE, payload_create),
+    "payload_push": payload_push,
+    "payload_star": payload_star,
+    "payload_fork": payload_fork,
+    "payload_create": payload_create,
 }
 
 

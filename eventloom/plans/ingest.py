@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from eventloom.functions.scratch import staged
+from eventloom.functions.scratch import staged_all
 from eventloom.operators.entities import extract_actors, extract_orgs, extract_repos
 from eventloom.operators.events import dedupe_events, ingest_metrics, project_events
 from eventloom.operators.payloads import LINE, PAYLOADS, with_payload_ids
@@ -22,15 +22,19 @@ def ingest(
     taken, so the events need no further check against the dimensions.
     """
     raw = with_payload_ids(well_formed(lines), start_ids)
-    new = {
-        "actors": staged(extract_actors(raw, state["actors"]), "actors"),
-        "repos": staged(extract_repos(raw, state["repos"]), "repos"),
-        "organizations": staged(extract_orgs(raw, state["organizations"]), "organizations"),
-    }
-    for name, (_, project) in PAYLOADS.items():
-        new[name] = project(raw).drop(*LINE)
     projected = project_events(raw, as_of=as_of)
-    events = staged(dedupe_events(projected, state.get("events")), "events")
-    new["events"] = events.drop(*LINE)
-    new["metrics"] = ingest_metrics(lines, projected, events, new["actors"], new["repos"])
+    new, failed = staged_all(
+        {
+            "actors": extract_actors(raw, state["actors"]),
+            "repos": extract_repos(raw, state["repos"]),
+            "organizations": extract_orgs(raw, state["organizations"]),
+            "events": dedupe_events(projected, state.get("events")),
+        }
+    )
+    for error in failed.values():
+        raise error
+    new["metrics"] = ingest_metrics(lines, projected, new["events"], new["actors"], new["repos"])
+    new["events"] = new["events"].drop(*LINE)
+    for name, project in PAYLOADS.items():
+        new[name] = project(raw).drop(*LINE)
     return new

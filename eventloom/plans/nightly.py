@@ -6,7 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame, functions as F
 
-from eventloom.functions.scratch import staged
+from eventloom.functions.scratch import staged, staged_all
 from eventloom.functions.time_windows import CALENDAR, day, moment, ntz, window_start
 from eventloom.operators.base_stats import (
     add_to_actors,
@@ -34,9 +34,9 @@ log = logging.getLogger(__name__)
 def update_all(
     state: dict[str, DataFrame], as_of=None, batch: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Leaderboards, caches, daily statistics, then the base totals.
+    """Leaderboards, caches, daily statistics and the base totals.
 
-    The order matters: scores use the totals of the previous run. ``state``
+    Scores use the totals of the previous run, those in ``state``, which
     holds events, actors and repos, and optionally the stored statistics
     tables. ``batch`` are the events not yet in the totals; without it the
     whole history is added once more.
@@ -55,36 +55,30 @@ def update_all(
     if batch is not None:
         added = staged(activity(batch, *by_relation, as_of=now), "batch-activity")
 
-    def dated(df: DataFrame) -> DataFrame:
-        return df.withColumn("updated_at", ntz(now))
-
-    def daily() -> DataFrame:
-        fresh = daily_stats_recent(events, DAILY_DAYS, now).withColumn("stats_time", ntz(now))
-        if "event_stats_daily" not in state:
-            return fresh
+    daily = daily_stats_recent(events, DAILY_DAYS, now).withColumn("stats_time", ntz(now))
+    if "event_stats_daily" in state:
         first = window_start(now, DAILY_DAYS, CALENDAR)
         older = state["event_stats_daily"].where(F.col("stats_date") < day(first))
-        return fresh.unionByName(older, allowMissingColumns=True)
+        daily = daily.unionByName(older, allowMissingColumns=True)
 
-    steps = {
-        "hot_repos": lambda: dated(hot_repos(events, repos, now)),
-        "active_developers": lambda: dated(active_developers(events, actors, now)),
-        "actor_stats_cache": lambda: dated(actor_stats_of(pairs, actors)),
-        "repo_stats_cache": lambda: dated(repo_stats_of(pairs, repos)),
-        "event_stats_daily": daily,
-        "actors": lambda: add_to_actors(actors, coarser(added, "actor_id")),
-        "repos": lambda: add_to_repos(repos, coarser(added, "repo_id")),
-        "user_repo_relation": lambda: merge_relations(
-            relations_of(added), actors, repos, state.get("user_repo_relation")
-        ),
+    boards = {
+        "hot_repos": hot_repos(events, repos, now),
+        "active_developers": active_developers(events, actors, now),
+        "actor_stats_cache": actor_stats_of(pairs, actors),
+        "repo_stats_cache": repo_stats_of(pairs, repos),
     }
-    results = {}
-    for name, build in steps.items():
-        try:
-            results[name] = staged(build(), name)
-        except Exception:
-            log.exception("update of %s failed", name)
-            if name in state:
-                results[name] = state[name]
+    updates = {name: df.withColumn("updated_at", ntz(now)) for name, df in boards.items()}
+    updates["event_stats_daily"] = daily
+    updates["actors"] = add_to_actors(actors, coarser(added, "actor_id"))
+    updates["repos"] = add_to_repos(repos, coarser(added, "repo_id"))
+    updates["user_repo_relation"] = merge_relations(
+        relations_of(added), actors, repos, state.get("user_repo_relation")
+    )
+
+    results, failed = staged_all(updates)
+    for name, error in failed.items():
+        log.error("update of %s failed: %s", name, error)
+        if name in state:
+            results[name] = state[name]
     results["summary"] = stats_summary(results)
     return results

@@ -84,6 +84,12 @@ def stream_ingest(
     run_batches(lines, handle, progress, **trigger)
 
 
+def first_in_chunk(chunks):
+    """Drop copies within each chunk of rows, before they are shuffled."""
+    for rows in chunks:
+        yield rows.drop_duplicates("gh_event_id")
+
+
 def stream_dedupe(
     lines: DataFrame, path: str, progress: str, delay: str = "2 hours", as_of=None, **trigger
 ) -> None:
@@ -91,16 +97,25 @@ def stream_dedupe(
 
     The clock is the hour of the file, so a wrong time inside a line cannot
     close the window for others. State is kept only as long as the delay and
-    does not grow with history; ``stream_ingest`` is the exact form. Run with a
-    UTC session time zone.
+    does not grow with history; ``stream_ingest`` is the exact form. Copies are
+    thinned out before the shuffle, so an event sent over and over does not
+    pile up in one task. Run with a UTC session time zone.
     """
-    clock = F.col("archive_hour").cast("timestamp").alias("clock")
+    events = usable_lines(
+        well_formed(parse_lines(lines.withColumn("line_no", F.lit(0).cast("bigint")))), as_of
+    ).select(
+        F.col("archive_hour").cast("timestamp").alias("clock"),
+        "gh_event_id",
+        "event_type",
+        "created_at",
+        "actor_id",
+        "repo_id",
+    )
     distinct = (
-        usable_lines(well_formed(parse_lines(lines.withColumn("line_no", F.lit(0)))), as_of)
-        .withColumn("clock", clock)
+        events.mapInPandas(first_in_chunk, events.schema)
         .withWatermark("clock", delay)
         .dropDuplicatesWithinWatermark(["gh_event_id"])
-        .select("gh_event_id", "event_type", "created_at", "actor_id", "repo_id")
+        .drop("clock")
     )
     query = (
         distinct.writeStream.format("parquet")

@@ -6,11 +6,12 @@ Both engines get the same SQL, apart from the spelling of three functions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from eventloom.functions.scratch import new_path
 
 AS_OF = "2024-01-31 12:00:00"
-STREAM_FILES = 300
+STREAM_FILES = 50
 
 DUCKDB = {
     "K": "CAST(json_extract_string(props, '$.k') AS BIGINT)",
@@ -76,6 +77,7 @@ SELECT o.* FROM orgs o JOIN supplier ON s_suppkey + 1 = o.org_id WHERE s_acctbal
 # Every event as an archive line. Some lines are cut off, lack an actor, a
 # repository or a valid time, or come twice; some actors appear under a second
 # name, under a second id with a name already taken, or with an overlong name.
+# The lines of six hours share the file of the first.
 WHOLE_LINES = """
 SELECT id, archive_hour,
     '{{"id":"' || CAST(id AS VARCHAR(20)) || '","type":"' || event_type || '"'
@@ -126,7 +128,9 @@ SELECT id, archive_hour,
          ELSE '{{}}' END
     || '}}' AS line
 FROM (SELECT gh_event_id AS id, event_type, actor_id - 1 AS u, repo_id - 1 AS k, org_id,
-             CAST(date_trunc('hour', created_at) AS {NTZ}) AS archive_hour, {ISO} AS iso
+             CAST(date_trunc('hour', created_at
+                  - INTERVAL '1' HOUR * (extract(hour FROM created_at) % 6)) AS {NTZ}) AS archive_hour,
+             {ISO} AS iso
       FROM gh_events) e
 """
 
@@ -185,11 +189,22 @@ def duckdb_with(*names: str) -> str:
     return "WITH " + ", ".join(parts)
 
 
+_schemas: dict[str, StructType] = {}
+
+
+def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is read from the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A domain table in Spark."""
     steps = needed(name)
     for given in {g for step in steps for g in USES[step] if g in GIVEN}:
-        spark.read.parquet(f"{sf_dir}/{given}.parquet").createOrReplaceTempView(given)
+        given_table(spark, sf_dir, given).createOrReplaceTempView(given)
     parts = (f"{n} AS ({DEFINITIONS[n].format(**SPARK)})" for n in steps)
     return spark.sql("WITH " + ", ".join(parts) + f" SELECT * FROM {name}")
 
