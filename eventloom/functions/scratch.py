@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -49,15 +50,21 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def staged_all(frames: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, Exception]]:
+def staged_all(
+    spark: SparkSession, builders: dict[str, Callable[[], DataFrame]]
+) -> tuple[dict[str, DataFrame], dict[str, Exception]]:
     """Several independent frames staged at the same time, and those that failed.
 
     The jobs share the cluster, so the tail of one does not leave it idle.
     """
+
+    @inheritable_thread_target(spark)
+    def stage(name: str) -> DataFrame:
+        return staged(builders[name](), name)
+
     done, failed = {}, {}
-    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-        work = inheritable_thread_target(staged)
-        writes = {name: pool.submit(work, df, name) for name, df in frames.items()}
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        writes = {name: pool.submit(stage, name) for name in builders}
         for name, write in writes.items():
             try:
                 done[name] = write.result()

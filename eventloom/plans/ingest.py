@@ -24,12 +24,13 @@ def ingest(
     raw = with_payload_ids(well_formed(lines), start_ids)
     projected = project_events(raw, as_of=as_of)
     new, failed = staged_all(
+        raw.sparkSession,
         {
-            "actors": extract_actors(raw, state["actors"]),
-            "repos": extract_repos(raw, state["repos"]),
-            "organizations": extract_orgs(raw, state["organizations"]),
-            "events": dedupe_events(projected, state.get("events")),
-        }
+            "actors": lambda: extract_actors(raw, state["actors"]),
+            "repos": lambda: extract_repos(raw, state["repos"]),
+            "organizations": lambda: extract_orgs(raw, state["organizations"]),
+            "events": lambda: dedupe_events(projected, state.get("events")),
+        },
     )
     for error in failed.values():
         raise error

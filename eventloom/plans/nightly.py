@@ -55,27 +55,33 @@ def update_all(
     if batch is not None:
         added = staged(activity(batch, *by_relation, as_of=now), "batch-activity")
 
-    daily = daily_stats_recent(events, DAILY_DAYS, now).withColumn("stats_time", ntz(now))
-    if "event_stats_daily" in state:
+    def stamped(df: DataFrame) -> DataFrame:
+        return df.withColumn("updated_at", ntz(now))
+
+    def daily() -> DataFrame:
+        fresh = daily_stats_recent(events, DAILY_DAYS, now).withColumn("stats_time", ntz(now))
+        if "event_stats_daily" not in state:
+            return fresh
         first = window_start(now, DAILY_DAYS, CALENDAR)
         older = state["event_stats_daily"].where(F.col("stats_date") < day(first))
-        daily = daily.unionByName(older, allowMissingColumns=True)
+        return fresh.unionByName(older, allowMissingColumns=True)
 
-    boards = {
-        "hot_repos": hot_repos(events, repos, now),
-        "active_developers": active_developers(events, actors, now),
-        "actor_stats_cache": actor_stats_of(pairs, actors),
-        "repo_stats_cache": repo_stats_of(pairs, repos),
-    }
-    updates = {name: df.withColumn("updated_at", ntz(now)) for name, df in boards.items()}
-    updates["event_stats_daily"] = daily
-    updates["actors"] = add_to_actors(actors, coarser(added, "actor_id"))
-    updates["repos"] = add_to_repos(repos, coarser(added, "repo_id"))
-    updates["user_repo_relation"] = merge_relations(
-        relations_of(added), actors, repos, state.get("user_repo_relation")
-    )
+    def related() -> DataFrame:
+        return merge_relations(relations_of(added), actors, repos, state.get("user_repo_relation"))
 
-    results, failed = staged_all(updates)
+    results, failed = staged_all(
+        events.sparkSession,
+        {
+            "hot_repos": lambda: stamped(hot_repos(events, repos, now)),
+            "active_developers": lambda: stamped(active_developers(events, actors, now)),
+            "actor_stats_cache": lambda: stamped(actor_stats_of(pairs, actors)),
+            "repo_stats_cache": lambda: stamped(repo_stats_of(pairs, repos)),
+            "event_stats_daily": daily,
+            "actors": lambda: add_to_actors(actors, coarser(added, "actor_id")),
+            "repos": lambda: add_to_repos(repos, coarser(added, "repo_id")),
+            "user_repo_relation": related,
+        },
+    )
     for name, error in failed.items():
         log.error("update of %s failed: %s", name, error)
         if name in state:
