@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from eventloom.functions.counting import count_kind
+from eventloom.functions.joins import keep_known
 from eventloom.functions.time_windows import ntz
 from eventloom.operators.entity_stats import relation_type
 from eventloom.operators.upsert import ADD, REPLACE, upsert
@@ -92,24 +93,21 @@ def relations_of(counted: DataFrame) -> DataFrame:
     )
 
 
-def merge_relations(
-    found: DataFrame, actors: DataFrame, repos: DataFrame, prior: DataFrame | None = None
-) -> DataFrame:
-    """Relations between known actors and known repositories, merged into ``prior``.
+def merge_relations(found: DataFrame, prior: DataFrame | None) -> DataFrame:
+    """``found`` merged into ``prior``.
 
     A stored relation keeps its first times, takes the new last time even when
     that is earlier, and adds the counts.
     """
-    known = (
-        found.join(repos.select("repo_id"), "repo_id", "left_semi")
-        .join(actors.select("actor_id"), "actor_id", "left_semi")
-        .select(*found.columns)
-    )
-    return known if prior is None else upsert(prior, known, RELATION_KEY, RELATION_POLICY)
+    return found if prior is None else upsert(prior, found, RELATION_KEY, RELATION_POLICY)
 
 
 def relations(
     batch: DataFrame, actors: DataFrame, repos: DataFrame, prior: DataFrame | None = None
 ) -> DataFrame:
-    """Relations of a batch of events, merged into ``prior``."""
-    return merge_relations(batch_relations(batch), actors, repos, prior)
+    """Relations of a batch of events, merged into ``prior``.
+
+    Only known actors and known repositories count.
+    """
+    known = keep_known(batch, {"actor_id": actors, "repo_id": repos})
+    return merge_relations(batch_relations(known), prior)

@@ -6,6 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame, functions as F
 
+from eventloom.functions.joins import keep_known
 from eventloom.functions.scratch import staged, staged_all
 from eventloom.functions.time_windows import CALENDAR, day, moment, ntz, window_start
 from eventloom.operators.base_stats import (
@@ -67,7 +68,8 @@ def update_all(
         return fresh.unionByName(older, allowMissingColumns=True)
 
     def related() -> DataFrame:
-        return merge_relations(relations_of(added), actors, repos, state.get("user_repo_relation"))
+        known = keep_known(relations_of(added), {"actor_id": actors, "repo_id": repos})
+        return merge_relations(known, state.get("user_repo_relation"))
 
     results, failed = staged_all(
         events.sparkSession,

@@ -69,14 +69,15 @@ def well_formed(raw: DataFrame) -> DataFrame:
     return raw.where("not malformed").drop("malformed")
 
 
-def read_lines(text: DataFrame) -> DataFrame:
+def read_lines(text: DataFrame, spread: bool = True) -> DataFrame:
     """Parsed lines of scanned archive files, malformed ones included and marked.
 
-    One task has to decompress a whole hour. The rebalance after it spreads the
-    JSON parsing, so that an hour far larger than the others does not hold up
-    the job.
+    One task has to decompress a whole hour. ``spread`` rebalances the lines
+    after that, so that parsing is not held up by an hour far larger than the
+    others.
     """
-    return parse_lines(number_lines(with_hour(text)).hint("rebalance"))
+    lines = number_lines(with_hour(text))
+    return parse_lines(lines.hint("rebalance") if spread else lines)
 
 
 def read_archive(spark: SparkSession, paths) -> DataFrame:
@@ -84,6 +85,17 @@ def read_archive(spark: SparkSession, paths) -> DataFrame:
     return well_formed(read_lines(spark.read.text(paths)))
 
 
+def uneven(spark: SparkSession, root: str, glob: str) -> bool:
+    """Whether the largest file would keep one task busy well beyond the others.
+
+    With few files, or one huge file, shuffling the lines pays; a long range of
+    similar hours keeps all tasks busy without it. Only the folder is listed.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
+    largest, total = files.agg(F.max("length"), F.sum("length")).first()
+    return bool(total) and largest * spark.sparkContext.defaultParallelism > 2 * total
+
+
 def stage_lines(spark: SparkSession, root: str, days, hours=HOURS) -> DataFrame:
     """Parsed lines of some days as a staged table, without unreadable hours.
 
@@ -91,9 +103,10 @@ def stage_lines(spark: SparkSession, root: str, days, hours=HOURS) -> DataFrame:
     file turns out damaged are the days, then the hours, halved until the bad
     ones are set apart. An hour counts whole or not at all.
     """
-    text = spark.read.option("pathGlobFilter", file_glob(days, hours)).text(root)
+    glob = file_glob(days, hours)
+    text = spark.read.option("pathGlobFilter", glob).text(root)
     try:
-        return staged(read_lines(text), "archive")
+        return staged(read_lines(text, uneven(spark, root, glob)), "archive")
     except Exception as error:
         if "FAILED_READ_FILE" not in str(error):
             raise

@@ -1,9 +1,15 @@
-"""Statistics kept current after every insert of the event stream."""
+"""Statistics kept current after every insert of the event stream.
+
+A batch leaves only its increments behind. To keep their number small, write
+the current tables from time to time and let the stream go on with new, empty
+increment tables.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from eventloom.functions.joins import keep_known
 from eventloom.operators.base_stats import (
     RELATION_KEY,
     actor_increments,
@@ -79,18 +85,14 @@ def current_relations(
     First times come from the first batch that saw the relation, the last time
     from the latest one, as if every batch had been merged in turn.
     """
-    folded = (
-        tables["relations"]
-        .read()
-        .groupBy(*RELATION_KEY)
-        .agg(
-            F.min_by("relation_time", BATCH).alias("relation_time"),
-            F.min_by("first_event_at", BATCH).alias("first_event_at"),
-            F.max_by("last_event_at", BATCH).alias("last_event_at"),
-            F.sum("event_count").alias("event_count"),
-        )
+    known = keep_known(tables["relations"].read(), {"actor_id": actors, "repo_id": repos})
+    folded = known.groupBy(*RELATION_KEY).agg(
+        F.min_by("relation_time", BATCH).alias("relation_time"),
+        F.min_by("first_event_at", BATCH).alias("first_event_at"),
+        F.max_by("last_event_at", BATCH).alias("last_event_at"),
+        F.sum("event_count").alias("event_count"),
     )
-    return merge_relations(folded, actors, repos, prior)
+    return merge_relations(folded, prior)
 
 
 def daily_updates(store: BatchTable, path: str) -> AfterInsert:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.functions.scratch import new_path, staged
 from eventloom.functions.text import iso_datetimes
+from eventloom.functions.time_windows import ntz
 from eventloom.operators import (
     base_stats,
     browse,
@@ -122,7 +123,7 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    REGISTRY[function.__name__] = function
+    REGISTRY[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -357,9 +358,7 @@ def stats_summary(t: Given) -> DataFrame:
     """The last update is taken from the newest event behind each table."""
     newest = t.events.agg(F.max("created_at").alias("newest")).first()[0]
     stamped = {
-        name: df.withColumn(
-            "stats_time" if name == "event_stats_daily" else "updated_at", F.lit(newest).cast("timestamp_ntz")
-        )
+        name: df.withColumn("stats_time" if name == "event_stats_daily" else "updated_at", ntz(newest))
         for name, df in statistics_tables(t).items()
     }
     return browse.stats_summary(stamped)
@@ -482,7 +481,7 @@ def user_repo_relation(t: Given) -> DataFrame:
 
 
 @query
-def overview_totals(t: Given) -> DataFrame:
+def overview_(t: Given) -> DataFrame:
     return overview.overview(t.events, t.actors, t.repos, t.orgs)
 
 
@@ -509,7 +508,7 @@ def trending_repos(t: Given) -> DataFrame:
 
 @query
 def trending_repos_fallback(t: Given) -> DataFrame:
-    """The stored leaderboard is empty: no repository scores above the bound."""
+    """No repository scores below zero, so the stored leaderboard is empty."""
     none = staged(t.hot.where("score < 0"))
     return leaderboards.trending_repos(none, t.events, t.repos, 10, AS_OF)
 
@@ -525,7 +524,14 @@ def trending_developers(t: Given) -> DataFrame:
 
 
 @query
-def update_all_summary(t: Given) -> DataFrame:
+def trending_developers_fallback(t: Given) -> DataFrame:
+    """No developer scores below zero, so the stored leaderboard is empty."""
+    none = staged(t.developers.where("activity_score < 0"))
+    return leaderboards.trending_developers(none, t.events, t.actors, 10, AS_OF)
+
+
+@query
+def update_all_(t: Given) -> DataFrame:
     """Rows and column sums of every table after the full refresh."""
     state = {"events": t.events, "actors": t.actors, "repos": t.repos}
     after = update_all(state, AS_OF)

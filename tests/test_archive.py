@@ -63,3 +63,15 @@ def test_nested_payload_stays_json(parsed):
     text = parsed(line(1, payload=payload)).first().payload
     assert json.loads(text) == payload
     assert rows(parsed(line(2)).select("payload")) == [("{}",)]
+
+
+def test_only_uneven_archives_are_spread(spark, tmp_path):
+    glob = archive.file_glob(archive.days_between("2024-01-05", "2024-01-06"))
+    text = [line(n) for n in range(50)]
+    for hour in range(24):
+        write_hour(tmp_path, f"2024-01-05-{hour}", text)
+        write_hour(tmp_path, f"2024-01-06-{hour}", text)
+    assert not archive.uneven(spark, str(tmp_path), glob)
+    write_hour(tmp_path, "2024-01-06-0", [line(n, note=str(n**9)) for n in range(5000)])
+    assert archive.uneven(spark, str(tmp_path), glob)
+    assert not archive.uneven(spark, str(tmp_path), "none")
