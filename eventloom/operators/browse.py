@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.functions.counting import row_counts
+from eventloom.functions.numbering import numbered
 
 # The tables that may be browsed.
 TABLES = (
@@ -35,6 +36,7 @@ SUMMARY_TABLES = (
     "event_stats_daily",
 )
 MAX_ROWS = 1000
+DEEP_OFFSET = 100_000
 
 
 def table(tables: dict[str, DataFrame], name: str) -> DataFrame:
@@ -44,9 +46,25 @@ def table(tables: dict[str, DataFrame], name: str) -> DataFrame:
     return tables[name]
 
 
-def table_page(df: DataFrame, page: int = 1, size: int = 20, key: str | list[str] | None = None) -> DataFrame:
-    """One page of a table in key order."""
-    return df.orderBy(key or df.columns[0]).offset((page - 1) * size).limit(size)
+def table_page(
+    df: DataFrame,
+    page: int = 1,
+    size: int = 20,
+    key: str | list[str] | None = None,
+    deep: int = DEEP_OFFSET,
+) -> DataFrame:
+    """One page of a table in key order.
+
+    A page near the start is a top-k. For one further than ``deep`` rows in, a
+    top-k would hold all earlier rows in one task, so the rows are numbered in
+    parallel instead.
+    """
+    keys = [key] if isinstance(key, str) else key or df.columns[:1]
+    offset = (page - 1) * size
+    if offset <= deep:
+        return df.orderBy(*keys).offset(offset).limit(size)
+    places = F.col("number").between(offset, offset + size - 1)
+    return numbered(df, F.lit(0), *keys).where(places).select(*df.columns).orderBy(*keys)
 
 
 def page_info(df: DataFrame, page: int = 1, size: int = 20) -> DataFrame:

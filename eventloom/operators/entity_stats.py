@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from eventloom.functions.counting import count_kind, kind
 from eventloom.functions.time_windows import CALENDAR, ROLLING, ntz, window_start
+from eventloom.operators.upsert import REPLACE, upsert
 from eventloom.schemas import FORK, ISSUES, PULL_REQUEST, PUSH, WATCH
 
 ALL_KEYS = ("actor_id", "repo_id", "relation_type")
@@ -158,6 +159,14 @@ def repo_stats_one(events: DataFrame, repo_id: int, as_of=None) -> DataFrame:
     ).withColumnRenamed("contributors", "total_contributors").select(*REPO_STATS)
 
 
+def refresh_repo_stats(
+    stats: DataFrame, events: DataFrame, repo_id: int, as_of=None
+) -> DataFrame:
+    """Stored statistics with one repository's row counted anew."""
+    policy = dict.fromkeys(REPO_STATS[1:], REPLACE)
+    return upsert(stats, repo_stats_one(events, repo_id, as_of), ["repo_id"], policy)
+
+
 def repo_stats_summary(stats: DataFrame) -> DataFrame:
     return stats.agg(
         F.count("*").alias("total_repos"),

@@ -6,9 +6,9 @@ and the input order say which line a row came from.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from eventloom.functions.scratch import staged
+from eventloom.functions.numbering import numbered
 from eventloom.functions.text import clipped
 from eventloom.schemas import CREATE, CREATE_PAYLOAD, FORK, FORK_PAYLOAD, PUSH, PUSH_PAYLOAD, WATCH
 
@@ -17,9 +17,6 @@ OTHER = "other"
 SHARED_PAYLOAD_ID = 1
 LINE = ("archive_hour", "line_no")
 
-# monotonically_increasing_id keeps the partition number above these bits.
-PLACE_BITS = 33
-
 
 def gh_event_id() -> Column:
     """The archive's event id; a missing or non-numeric one is stored as 0."""
@@ -88,45 +85,18 @@ def with_payload_ids(raw: DataFrame, start_ids: dict[str, int] | None = None) ->
     """Archive lines with the id of their payload row, staged.
 
     Each loaded kind is numbered without gaps in input order, from
-    ``start_ids[kind]`` (default 1). Every other kind shares payload id 1.
-
-    The lines are range-partitioned on (kind, input order), which no two lines
-    share, and numbered inside their partition. The partition totals (at most
-    kinds x partitions rows) then shift each partition to its place, so no kind
-    is ever sorted in one task and every later step is a plain projection.
+    ``start_ids[kind]`` (default 1). Every other kind shares payload id 1. With
+    the id on the line itself, every later step is a plain projection.
     """
-    loaded = F.col("type").isin(*LOADED_KINDS)
-    group = F.when(loaded, F.col("type")).otherwise(OTHER)
-    order = ("payload_kind", *LINE)
-    ordered = staged(
-        raw.withColumn("payload_kind", group)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("place", F.monotonically_increasing_id()),
-        "payload-ids",
-    ).withColumn("part", F.shiftright("place", PLACE_BITS))
-
-    earlier_parts = (
-        Window.partitionBy("payload_kind")
-        .orderBy("part")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    totals = ordered.groupBy("payload_kind", "part").agg(
-        F.count("*").alias("n"), F.min("place").alias("first_place")
-    )
-    before = F.coalesce(F.sum("n").over(earlier_parts), F.lit(0))
-    shifts = totals.select(
-        "payload_kind",
-        "part",
-        (_start_id(start_ids or {}) + before - F.col("first_place")).alias("shift"),
-    )
-    numbered = F.when(F.col("payload_kind") == OTHER, F.lit(SHARED_PAYLOAD_ID)).otherwise(
-        F.col("place") + F.col("shift")
+    kind = F.when(F.col("type").isin(*LOADED_KINDS), F.col("type")).otherwise(OTHER)
+    first = F.lit(1)
+    for event_type, value in (start_ids or {}).items():
+        first = F.when(F.col("group") == event_type, F.lit(value)).otherwise(first)
+    payload_id = F.when(F.col("group") == OTHER, F.lit(SHARED_PAYLOAD_ID)).otherwise(
+        first + F.col("number")
     )
-    return (
-        ordered.join(F.broadcast(shifts), ["payload_kind", "part"])
-        .withColumn("payload_id", numbered.cast("bigint"))
-        .select(*raw.columns, "payload_id")
+    return numbered(raw, kind, *LINE).select(
+        *raw.columns, payload_id.cast("bigint").alias("payload_id")
     )
 
 
@@ -136,10 +106,3 @@ def payload_keys(raw: DataFrame, start_ids: dict[str, int] | None = None) -> Dat
     return keys.select(
         *LINE, gh_event_id(), F.coalesce("type", F.lit("")).alias("event_type"), "payload_id"
     )
-
-
-def _start_id(start_ids: dict[str, int]) -> Column:
-    first = F.lit(1)
-    for event_type, value in start_ids.items():
-        first = F.when(F.col("payload_kind") == event_type, F.lit(value)).otherwise(first)
-    return first.cast("bigint")

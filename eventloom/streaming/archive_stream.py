@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eventloom.functions.scratch import staged
 from eventloom.operators.events import check_ids, not_stored, usable_lines, validate_events
@@ -37,17 +38,10 @@ def batch_rows(batch: DataFrame, as_of=None) -> DataFrame:
     return staged(usable_lines(well_formed(parse_lines(number_lines(batch))), as_of), "batch")
 
 
-def run_batches(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], progress: str, **trigger
-) -> None:
-    """Run ``handle`` per micro-batch; by default until all present files are done."""
-    query = (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", progress)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
-    query.awaitTermination()
+def start(writer: DataStreamWriter, progress: str, trigger: dict) -> StreamingQuery:
+    """Start a stream; by default it stops once all present files are done."""
+    trigger = trigger or {"availableNow": True}
+    return writer.option("checkpointLocation", progress).trigger(**trigger).start()
 
 
 def stream_ingest(
@@ -58,7 +52,7 @@ def stream_ingest(
     after_insert: tuple[AfterInsert, ...] = (),
     as_of=None,
     **trigger,
-) -> None:
+) -> StreamingQuery:
     """Add the new events of every micro-batch to ``store``.
 
     Events that an earlier batch stored are left out, exactly; the comparison
@@ -81,7 +75,7 @@ def stream_ingest(
         for step in after_insert:
             step(inserted, batch_id)
 
-    run_batches(lines, handle, progress, **trigger)
+    return start(lines.writeStream.foreachBatch(handle), progress, trigger)
 
 
 def first_in_chunk(chunks):
@@ -92,7 +86,7 @@ def first_in_chunk(chunks):
 
 def stream_dedupe(
     lines: DataFrame, path: str, progress: str, delay: str = "2 hours", as_of=None, **trigger
-) -> None:
+) -> StreamingQuery:
     """Drop repeated event ids within a bounded delay, in Spark's own state.
 
     The clock is the hour of the file, so a wrong time inside a line cannot
@@ -117,14 +111,8 @@ def stream_dedupe(
         .dropDuplicatesWithinWatermark(["gh_event_id"])
         .drop("clock")
     )
-    query = (
-        distinct.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", progress)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
-    query.awaitTermination()
+    writer = distinct.writeStream.format("parquet").option("path", path)
+    return start(writer, progress, trigger)
 
 
 def stream_validate(
@@ -137,7 +125,7 @@ def stream_validate(
     orgs: DataFrame,
     as_of=None,
     **trigger,
-) -> None:
+) -> StreamingQuery:
     """Send events with unknown ids to ``quarantine`` and the others to ``valid``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -145,7 +133,7 @@ def stream_validate(
         valid.write(checked.where("is_valid = 1"), batch_id)
         quarantine.write(checked.where("is_valid = 0"), batch_id)
 
-    run_batches(lines, handle, progress, **trigger)
+    return start(lines.writeStream.foreachBatch(handle), progress, trigger)
 
 
 def quarantine_store(spark: SparkSession, path: str) -> BatchTable:

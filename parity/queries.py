@@ -318,6 +318,13 @@ def table_page(t: Given) -> DataFrame:
     return iso_datetimes(browse.table_page(events, 7, 50, "gh_event_id"))
 
 
+@query
+def table_page_deep(t: Given) -> DataFrame:
+    """A page in the second half of the table, numbered in parallel."""
+    half = t.events.count() // 2
+    return browse.table_page(t.events, half // 40 + 1, 40, ["repo_id", "gh_event_id"], deep=0)
+
+
 @query
 def page_info(t: Given) -> DataFrame:
     return browse.page_info(t.events, 7, 30)
@@ -427,6 +434,11 @@ def repo_stats_one(t: Given) -> DataFrame:
     return entity_stats.repo_stats_one(t.events, 42, AS_OF)
 
 
+@query
+def refresh_repo_stats(t: Given) -> DataFrame:
+    return entity_stats.refresh_repo_stats(t.repo_cache, t.events, 42, AS_OF)
+
+
 @query
 def repo_stats_summary(t: Given) -> DataFrame:
     return entity_stats.repo_stats_summary(t.repo_cache)
@@ -605,7 +617,7 @@ def run_stream(t: Given, *after) -> archive_stream.BatchTable:
     steps = tuple(step(store) for step in after)
     archive_stream.stream_ingest(
         lines, store, t.path("progress"), t.dimensions, steps, as_of=AS_OF
-    )
+    ).awaitTermination()
     return store
 
 
@@ -618,7 +630,7 @@ def stream_ingest(t: Given) -> DataFrame:
 def stream_dedupe(t: Given) -> DataFrame:
     lines = archive_stream.line_stream(t.spark, t.archive, STREAM_FILES)
     path = t.path("distinct")
-    archive_stream.stream_dedupe(lines, path, t.path("progress"), as_of=AS_OF)
+    archive_stream.stream_dedupe(lines, path, t.path("progress"), as_of=AS_OF).awaitTermination()
     return t.spark.read.parquet(path)
 
 
@@ -629,7 +641,7 @@ def stream_validate(t: Given) -> DataFrame:
     lines = archive_stream.line_stream(t.spark, t.archive, STREAM_FILES)
     archive_stream.stream_validate(
         lines, valid, invalid, t.path("progress"), t.actors, t.repos, t.orgs, as_of=AS_OF
-    )
+    ).awaitTermination()
     columns = ["gh_event_id", "event_type", "created_at", "error_msg"]
     good = valid.rows().withColumn("error_msg", F.lit("")).select(*columns)
     return good.unionByName(invalid.rows().select(*columns))

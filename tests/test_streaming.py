@@ -20,7 +20,7 @@ def hours(tmp_path):
 def run(spark, tmp_path, name, *after):
     store = stream.event_store(spark, str(tmp_path / f"events-{name}"))
     lines = stream.line_stream(spark, hours(tmp_path) if not (tmp_path / "archive").exists() else str(tmp_path / "archive"))
-    stream.stream_ingest(lines, store, str(tmp_path / f"progress-{name}"), None, tuple(a(store) for a in after), AS_OF)
+    stream.stream_ingest(lines, store, str(tmp_path / f"progress-{name}"), None, tuple(a(store) for a in after), AS_OF).awaitTermination()
     return store
 
 
@@ -90,7 +90,7 @@ def test_daily_statistics_stay_exact(spark, tmp_path):
 
 def test_repeats_are_dropped_within_the_delay(spark, tmp_path):
     path = str(tmp_path / "distinct")
-    stream.stream_dedupe(stream.line_stream(spark, hours(tmp_path)), path, str(tmp_path / "progress"), as_of=AS_OF)
+    stream.stream_dedupe(stream.line_stream(spark, hours(tmp_path)), path, str(tmp_path / "progress"), as_of=AS_OF).awaitTermination()
     found = [r[0] for r in rows(spark.read.parquet(path).select("gh_event_id"), "gh_event_id")]
     assert found == [*range(1, 16), 99]
 
@@ -100,7 +100,7 @@ def test_invalid_events_go_to_quarantine(spark, tmp_path, make_actors, make_repo
     invalid = stream.quarantine_store(spark, str(tmp_path / "invalid"))
     known = make_actors({"actor_id": 1}), make_repos({"repo_id": 1}), make_orgs({"org_id": 1})
     lines = stream.line_stream(spark, hours(tmp_path))
-    stream.stream_validate(lines, valid, invalid, str(tmp_path / "progress"), *known)
+    stream.stream_validate(lines, valid, invalid, str(tmp_path / "progress"), *known).awaitTermination()
     messages = rows(invalid.rows().groupBy("error_msg").count(), "error_msg")
     assert messages == [("Invalid actor_id: 2", 4), ("Invalid actor_id: 3", 3)]
     assert valid.rows().count() == 14

@@ -99,6 +99,10 @@ def test_csv_survives_quotes_commas_and_line_breaks(spark, tmp_path):
 def test_pages(spark, month):
     page = browse.table_page(month, 3, 20, "gh_event_id").select("gh_event_id")
     assert rows(page) == [(n,) for n in range(40, 60)]
+    for number in (1, 2, 7, 14, 15):
+        shallow = browse.table_page(month, number, 20, ["repo_id", "gh_event_id"])
+        deep = browse.table_page(month, number, 20, ["repo_id", "gh_event_id"], deep=-1)
+        assert rows(deep) == rows(shallow)
     assert rows(browse.page_info(month.limit(41))) == [(1, 20, 41, 3)]
     assert rows(browse.page_info(month.limit(0))) == [(1, 20, 0, 0)]
     with pytest.raises(ValueError):
