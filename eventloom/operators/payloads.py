@@ -6,13 +6,22 @@ and the input order say which line a row came from.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions.numbering import numbered
 from eventloom.functions.text import clipped
 from eventloom.schemas import CREATE, CREATE_PAYLOAD, FORK, FORK_PAYLOAD, PUSH, PUSH_PAYLOAD, WATCH
 
-LOADED_KINDS = (PUSH, WATCH, FORK, CREATE)
+# The kinds that have a payload table, and the id all others share.
+KIND_TABLES = {
+    PUSH: "payload_push",
+    WATCH: "payload_star",
+    FORK: "payload_fork",
+    CREATE: "payload_create",
+}
+LOADED_KINDS = tuple(KIND_TABLES)
 OTHER = "other"
 SHARED_PAYLOAD_ID = 1
 LINE = ("archive_hour", "line_no")
@@ -100,6 +109,18 @@ def with_payload_ids(raw: DataFrame, start_ids: dict[str, int] | None = None) ->
     )
 
 
+def next_payload_ids(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Per loaded kind, the first payload id that its stored table leaves free."""
+    stored = {kind: tables[name] for kind, name in KIND_TABLES.items() if name in tables}
+    if not stored:
+        return {}
+    last = (
+        df.agg(F.max("payload_id").alias("last")).select(F.lit(kind).alias("kind"), "last")
+        for kind, df in stored.items()
+    )
+    return {row.kind: (row.last or 0) + 1 for row in reduce(DataFrame.union, last).collect()}
+
+
 def payload_keys(raw: DataFrame, start_ids: dict[str, int] | None = None) -> DataFrame:
     """The payload id of every archive line."""
     keys = with_payload_ids(raw.select(*LINE, "id", "type"), start_ids)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from eventloom.functions.scratch import staged_all
 from eventloom.operators.entities import extract_actors, extract_orgs, extract_repos
 from eventloom.operators.events import dedupe_events, ingest_metrics, project_events
-from eventloom.operators.payloads import LINE, PAYLOADS, with_payload_ids
+from eventloom.operators.payloads import LINE, PAYLOADS, next_payload_ids, with_payload_ids
 from eventloom.sources.archive import well_formed
 
 
@@ -16,11 +16,13 @@ def ingest(
 ) -> dict[str, DataFrame]:
     """The rows that staged archive lines add to each table, and the counts.
 
-    Entities come first, then payloads, then events. ``state`` holds the stored
-    actors, repos, organizations and (optionally) events. Every entity of the
+    ``state`` holds the stored actors, repos and organizations, and optionally
+    events and payload tables, whose ids are then continued. Every entity of the
     lines counts as known once its row has been offered, also when its name was
     taken, so the events need no further check against the dimensions.
     """
+    if start_ids is None:
+        start_ids = next_payload_ids(state)
     raw = with_payload_ids(well_formed(lines), start_ids)
     projected = project_events(raw, as_of=as_of)
     new, failed = staged_all(

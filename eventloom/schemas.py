@@ -29,7 +29,7 @@ CREATE_PAYLOAD = "ref string, ref_type string, description string"
 EVENTS = """
     gh_event_id bigint, event_type string, public int,
     created_at timestamp_ntz, created_at_date date,
-    actor_id bigint, repo_id bigint, org_id bigint, payload_id bigint,
+    actor_id bigint, repo_id bigint, org_id bigint,
     actor_login string, repo_name string
 """
 
@@ -51,12 +51,40 @@ ORGANIZATIONS = """
 """
 
 RELATIONS = """
-    actor_id bigint, repo_id bigint, relation_type string,
-    relation_time timestamp_ntz, first_event_at timestamp_ntz,
-    last_event_at timestamp_ntz, event_count bigint, is_valid int
+    actor_id bigint, repo_id bigint, relation_type string, relation_time timestamp_ntz,
+    first_event_at timestamp_ntz, last_event_at timestamp_ntz, event_count bigint
 """
 
 DAILY_STATS = """
     stats_date date, event_type string, total_count bigint,
     unique_actors bigint, unique_repos bigint, unique_orgs bigint
 """
+
+# The tables, by name. Unsigned 32-bit columns are bigint; scores are doubles.
+TABLES = {
+    "actors": ACTORS,
+    "repos": REPOS,
+    "organizations": ORGANIZATIONS,
+    "events": f"payload_id bigint, {EVENTS}",
+    "payload_push": """payload_id bigint, gh_event_id bigint, push_id bigint, size int,
+        distinct_size int, head string, ref string""",
+    "payload_star": "payload_id bigint, gh_event_id bigint, action string, star_repo_id bigint",
+    "payload_fork": "payload_id bigint, gh_event_id bigint, forkee_id bigint, forkee_name string",
+    "payload_create": """payload_id bigint, gh_event_id bigint, ref string, ref_type string,
+        description string""",
+    "user_repo_relation": RELATIONS,
+    "event_stats_daily": f"{DAILY_STATS}, stats_time timestamp_ntz",
+    "hot_repos": """repo_id bigint, repo_name string, score double, stars_7d bigint,
+        forks_7d bigint, prs_7d bigint, contributors_7d bigint, rank_position bigint,
+        updated_at timestamp_ntz""",
+    "active_developers": """actor_id bigint, actor_login string, activity_score double,
+        commits_7d bigint, prs_7d bigint, issues_7d bigint, repos_7d bigint,
+        rank_position bigint, updated_at timestamp_ntz""",
+    "repo_stats_cache": """repo_id bigint, total_stars bigint, total_forks bigint,
+        total_watchers bigint, total_contributors bigint, total_commits bigint,
+        total_prs bigint, total_issues bigint, stars_1d bigint, stars_7d bigint,
+        stars_30d bigint, updated_at timestamp_ntz""",
+    "actor_stats_cache": """actor_id bigint, total_commits bigint, total_prs bigint,
+        total_issues bigint, total_repos bigint, total_stars_received bigint,
+        commits_7d bigint, prs_7d bigint, repos_7d bigint, updated_at timestamp_ntz""",
+}

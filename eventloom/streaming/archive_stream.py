@@ -9,16 +9,12 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eventloom.functions.scratch import staged
 from eventloom.operators.events import check_ids, not_stored, usable_lines, validate_events
+from eventloom.schemas import EVENTS
 from eventloom.sinks.tables import dates_in
 from eventloom.sources.archive import ARCHIVE_FILES, number_lines, parse_lines, well_formed, with_hour
 from eventloom.streaming.store import BATCH, BatchTable
 
-EVENT_ROWS = """
-    gh_event_id bigint, event_type string, public int, created_at timestamp_ntz,
-    created_at_date date, actor_id bigint, repo_id bigint, org_id bigint,
-    actor_login string, repo_name string
-"""
-INVALID_ROWS = f"{EVENT_ROWS}, error_msg string"
+INVALID_ROWS = f"{EVENTS}, error_msg string"
 
 AfterInsert = Callable[[DataFrame, int], None]
 
@@ -30,7 +26,7 @@ def line_stream(spark: SparkSession, root: str, max_files: int = 1) -> DataFrame
 
 
 def event_store(spark: SparkSession, path: str) -> BatchTable:
-    return BatchTable(spark, path, EVENT_ROWS, ("created_at_date",)).create()
+    return BatchTable(spark, path, EVENTS, ("created_at_date",)).create()
 
 
 def batch_rows(batch: DataFrame, as_of=None) -> DataFrame:

@@ -21,7 +21,7 @@ from eventloom.operators.base_stats import (
 )
 from eventloom.operators.daily_stats import count_by_day
 from eventloom.operators.entity_stats import coarser
-from eventloom.schemas import DAILY_STATS
+from eventloom.schemas import DAILY_STATS, RELATIONS
 from eventloom.sinks.tables import dates_in, replace_dates
 from eventloom.streaming.archive_stream import AfterInsert
 from eventloom.streaming.store import BATCH, BatchTable
@@ -30,17 +30,13 @@ ACTOR_INCREMENTS = "actor_id bigint, events bigint, last_at timestamp_ntz"
 REPO_INCREMENTS = (
     "repo_id bigint, events bigint, stars bigint, forks bigint, last_at timestamp_ntz"
 )
-RELATION_INCREMENTS = """
-    actor_id bigint, repo_id bigint, relation_type string, relation_time timestamp_ntz,
-    first_event_at timestamp_ntz, last_event_at timestamp_ntz, event_count bigint
-"""
 
 
 def increment_tables(spark: SparkSession, root: str) -> dict[str, BatchTable]:
     schemas = {
         "actors": ACTOR_INCREMENTS,
         "repos": REPO_INCREMENTS,
-        "relations": RELATION_INCREMENTS,
+        "relations": RELATIONS,
     }
     return {n: BatchTable(spark, f"{root}/{n}", s).create() for n, s in schemas.items()}
 

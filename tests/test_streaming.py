@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 
 from eventloom.streaming import archive_stream as stream, running_stats as running
@@ -8,32 +9,46 @@ from tests.conftest import line, rows, write_hour
 AS_OF = "2024-01-31 12:00:00"
 
 
+def add_hour(folder, hour, lines):
+    """A stream takes files in the order of their times, so these are set apart."""
+    write_hour(folder, f"2024-01-05-{hour}", lines)
+    os.utime(folder / f"2024-01-05-{hour}.json.gz", (1704412800 + hour, 1704412800 + hour))
+
+
 def hours(tmp_path):
     folder = tmp_path / "archive"
     folder.mkdir()
-    write_hour(folder, "2024-01-05-1", [line(n, "WatchEvent" if n % 2 else "PushEvent", actor=n % 3 + 1, time="2024-01-05T01:00:00Z") for n in range(1, 11)])
+    first, second = "2024-01-05T01:00:00Z", "2024-01-05T02:00:00Z"
+    kinds = ("PushEvent", "WatchEvent")
+    add_hour(folder, 1, [line(n, kinds[n % 2], actor=n % 3 + 1, time=first) for n in range(1, 11)])
     # The second hour repeats five events and brings one of the day before.
-    write_hour(folder, "2024-01-05-2", [line(n, "ForkEvent", time="2024-01-05T02:00:00Z") for n in range(6, 16)] + [line(99, "WatchEvent", time="2024-01-04T23:00:00Z")])
+    repeats = [line(n, "ForkEvent", time=second) for n in range(6, 16)]
+    add_hour(folder, 2, repeats + [line(99, "WatchEvent", time="2024-01-04T23:00:00Z")])
     return str(folder)
 
 
-def run(spark, tmp_path, name, *after):
-    store = stream.event_store(spark, str(tmp_path / f"events-{name}"))
-    lines = stream.line_stream(spark, hours(tmp_path) if not (tmp_path / "archive").exists() else str(tmp_path / "archive"))
-    stream.stream_ingest(lines, store, str(tmp_path / f"progress-{name}"), None, tuple(a(store) for a in after), AS_OF).awaitTermination()
+def run(spark, tmp_path, *after):
+    """Run the stream over the archive folder, made at the first call."""
+    folder = tmp_path / "archive"
+    root = str(folder) if folder.exists() else hours(tmp_path)
+    store = stream.event_store(spark, str(tmp_path / "events"))
+    steps = tuple(step(store) for step in after)
+    lines = stream.line_stream(spark, root)
+    progress = str(tmp_path / "progress")
+    stream.stream_ingest(lines, store, progress, None, steps, AS_OF).awaitTermination()
     return store
 
 
 def test_every_event_is_stored_once_over_batches(spark, tmp_path):
-    store = run(spark, tmp_path, "a")
+    store = run(spark, tmp_path)
     assert [r[0] for r in rows(store.rows().select("gh_event_id"), "gh_event_id")] == [*range(1, 16), 99]
     assert rows(store.read().groupBy("batch_id").count(), "batch_id") == [(0, 10), (1, 6)]
 
 
 def test_new_files_continue_where_the_stream_stopped(spark, tmp_path):
-    run(spark, tmp_path, "a")
-    write_hour(tmp_path / "archive", "2024-01-05-3", [line(15), line(16, time="2024-01-05T03:00:00Z")])
-    store = run(spark, tmp_path, "a")
+    run(spark, tmp_path)
+    add_hour(tmp_path / "archive", 3, [line(15), line(16, time="2024-01-05T03:00:00Z")])
+    store = run(spark, tmp_path)
     assert store.rows().count() == 17
     assert rows(store.read().where("gh_event_id = 16").select("batch_id")) == [(2,)]
 
@@ -41,7 +56,7 @@ def test_new_files_continue_where_the_stream_stopped(spark, tmp_path):
 def test_a_replayed_batch_changes_nothing(spark, tmp_path, make_actors, make_repos):
     tables = running.increment_tables(spark, str(tmp_path / "increments"))
     steps = (lambda _: running.counters(tables), lambda _: running.relation_updates(tables))
-    store = run(spark, tmp_path, "a", *steps)
+    store = run(spark, tmp_path, *steps)
     actors = make_actors(*({"actor_id": n} for n in (1, 2, 3)))
     repos = make_repos({"repo_id": 1, "total_stars": 5})
 
@@ -67,7 +82,7 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, make_actors, make_rep
 
 def test_relations_follow_the_order_of_batches(spark, tmp_path, make_actors, make_repos):
     tables = running.increment_tables(spark, str(tmp_path / "increments"))
-    run(spark, tmp_path, "a", lambda _: running.relation_updates(tables))
+    run(spark, tmp_path, lambda _: running.relation_updates(tables))
     found = running.current_relations(tables, make_actors({"actor_id": 1}), make_repos({"repo_id": 1}))
     star = found.where("relation_type = 'star'").first()
     # The late event of the day before moves the last time back, not the first.
@@ -78,7 +93,7 @@ def test_relations_follow_the_order_of_batches(spark, tmp_path, make_actors, mak
 
 def test_daily_statistics_stay_exact(spark, tmp_path):
     path = str(tmp_path / "daily")
-    run(spark, tmp_path, "a", lambda store: running.daily_updates(store, path))
+    run(spark, tmp_path, lambda store: running.daily_updates(store, path))
     found = running.current_daily(spark, path).select("stats_date", "event_type", "total_count", "unique_actors")
     assert rows(found, "stats_date", "event_type") == [
         (date(2024, 1, 4), "WatchEvent", 1, 1),
