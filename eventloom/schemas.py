@@ -18,8 +18,7 @@ ARCHIVE_LINE = """
                  gravatar_id string, url string, avatar_url string>,
     repo struct<id string, name string, url string>,
     org struct<id string, login string, gravatar_id string, url string, avatar_url string>,
-    payload string,
-    _corrupt_record string
+    payload string
 """
 
 PUSH_PAYLOAD = "push_id string, size string, distinct_size string, head string, ref string"

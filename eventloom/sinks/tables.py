@@ -84,11 +84,11 @@ def cutoff_date(days: int, as_of=None) -> date:
 def retain(tables: dict[str, DataFrame], days: int, as_of=None) -> dict[str, DataFrame]:
     """The rows that a retention of ``days`` keeps; a NULL time is kept."""
     cutoff = cutoff_date(days, as_of)
-    start = {"last_event_at": ntz(datetime.combine(cutoff, time()))}
+    starts = {"last_event_at": ntz(datetime.combine(cutoff, time()))}
     kept = {}
     for name, column in RETAINED.items():
-        too_old = F.col(column) < start.get(column, day(cutoff))
-        kept[name] = tables[name].where(F.coalesce(~too_old, F.lit(True)))
+        value = F.col(column)
+        kept[name] = tables[name].where((value >= starts.get(column, day(cutoff))) | value.isNull())
     return kept
 
 

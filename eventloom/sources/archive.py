@@ -17,7 +17,6 @@ from eventloom.schemas import ARCHIVE_LINE
 HOURS = range(24)
 ARCHIVE_FILES = "*.json.gz"
 LINE_SCHEMA = "value string, archive_hour timestamp_ntz, line_no bigint"
-EVENT_FIELDS = ("id", "type", "public", "created_at", "actor", "repo", "org", "payload")
 
 
 def as_date(value) -> date:
@@ -49,20 +48,21 @@ def number_lines(lines: DataFrame) -> DataFrame:
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Archive lines as nested events.
 
-    ``malformed`` marks lines that are no JSON object of the archive's shape:
-    cut off, blank, followed by more text, or of another JSON type. ``inline``
-    parses each line once; filters on the fields cannot be moved below it,
-    where they would parse the line again.
+    ``malformed`` marks lines that are not exactly one JSON object: cut off,
+    blank, followed by more text, or of another JSON type. Each line is parsed
+    as a list with one entry, so that text after the object is noticed.
+    ``inline`` keeps filters on its columns above the parser; moved below it,
+    they would parse each line once more.
     """
-    event = F.from_json(
-        "value",
-        ARCHIVE_LINE,
-        {"columnNameOfCorruptRecord": "_corrupt_record", "allowSingleQuotes": "false"},
+    listed = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    events = F.from_json(listed, f"array<struct<{ARCHIVE_LINE}>>", {"allowSingleQuotes": "false"})
+    one = F.coalesce(F.size("events") == 1, F.lit(False)) & F.col("events")[0].isNotNull()
+    event = F.struct((~one).alias("malformed"), F.when(one, F.col("events")[0]).alias("event"))
+    return (
+        lines.select("archive_hour", "line_no", events.alias("events"))
+        .select("archive_hour", "line_no", F.inline(F.array(event)))
+        .select("archive_hour", "line_no", "malformed", "event.*")
     )
-    closed = F.rtrim("value").endswith("}").alias("closed")
-    parsed = lines.select("archive_hour", "line_no", closed, F.inline(F.array(event)))
-    malformed = F.col("_corrupt_record").isNotNull() | ~F.col("closed")
-    return parsed.select("archive_hour", "line_no", malformed.alias("malformed"), *EVENT_FIELDS)
 
 
 def well_formed(raw: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def stage_lines(spark: SparkSession, root: str, days, hours=HOURS) -> DataFrame:
     ones are set apart. An hour counts whole or not at all.
     """
     glob = file_glob(days, hours)
-    text = spark.read.option("pathGlobFilter", glob).text(root)
+    text = spark.read.options(pathGlobFilter=glob, ignoreCorruptFiles=False).text(root)
     try:
         return staged(read_lines(text, uneven(spark, root, glob)), "archive")
     except Exception as error:

@@ -14,10 +14,11 @@ def ids(df):
 
 def test_malformed_lines_are_marked(parsed):
     good = line(1)
-    bad = [good[:-5], "", "null", "[1, 2]", "3", "{'id': 4}", good + " more", '{"id": "5", "actor": "x"}']
-    found = parsed(good, *bad, line(6, actor=7, org=None, payload="absent"))
-    marks = [r.malformed for r in found.orderBy("line_no").collect()]
-    assert marks == [False] + [True] * len(bad) + [False]
+    bad = [good[:-5], "", "  ", "null", "[1, 2]", "[{}]", "3", "{'id': 4}"]
+    bad += [f"{good} more", f"{good}{good}", f"{good},{good}"]
+    odd = [line(6, actor=7, org=None, payload="absent"), "{}", '{"id": 5, "actor": "x"}', f"{good} "]
+    found = parsed(good, *bad, *odd).orderBy("line_no").collect()
+    assert [r.malformed for r in found] == [False] + [True] * len(bad) + [False] * len(odd)
 
 
 def test_numbers_and_text_both_serve_as_id(parsed):

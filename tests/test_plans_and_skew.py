@@ -11,7 +11,8 @@ import pytest
 from eventloom.functions.scratch import shared_folder
 from eventloom.operators import base_stats, daily_stats, entity_stats, events, leaderboards
 from eventloom.sinks import tables as sinks
-from tests.conftest import rows
+from eventloom.sources import archive
+from tests.conftest import line, rows, write_hour
 
 AS_OF = "2024-01-31 12:00:00"
 
@@ -142,3 +143,18 @@ def test_a_third_of_all_rows_being_copies(spark, skewed):
 
 def test_scratch_uses_the_cluster_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_lines_are_parsed_once_and_after_they_are_spread(spark, tmp_path):
+    write_hour(tmp_path, "2024-01-05-1", [line(1)])
+    text = plan(events.usable_lines(archive.read_archive(spark, str(tmp_path)), AS_OF))
+    assert text.count("from_json") == 1
+    assert text.index("from_json") < text.index("REBALANCE_PARTITIONS_BY_NONE")
+
+
+def test_retention_prunes_partitions(stored):
+    kept = sinks.retain(
+        {"events": stored, "event_stats_daily": stored.selectExpr("created_at_date as stats_date"),
+         "user_repo_relation": stored.selectExpr("created_at as last_event_at")}, 20, AS_OF,
+    )
+    assert "PartitionFilters: [((created_at_date" in plan(kept["events"])
