@@ -48,14 +48,17 @@ def clear_dates(table: DataFrame, path: str, date_column: str, dates) -> None:
         nothing.write.mode("overwrite").parquet(f"{path}/{date_column}={d:%Y-%m-%d}")
 
 
-def replace_dates(rows: DataFrame, path: str, dates, date_column: str = "stats_date") -> None:
-    """Replace some dates of a date-partitioned table by ``rows``.
+def replace_dates(
+    rows: DataFrame, path: str, dates=None, since: date | None = None, date_column: str = "stats_date"
+) -> None:
+    """Replace some dates, or all from ``since`` on, of a date-partitioned table.
 
     Dynamic overwrite replaces the dates that have new rows. It leaves the
     others alone, so dates that have become empty are cleared afterwards.
     """
-    dates = set(dates)
-    new = staged(rows.where(F.col(date_column).isin(*(day(d) for d in dates))), "dates")
+    column = F.col(date_column)
+    replaced = column >= day(since) if dates is None else column.isin(*(day(d) for d in dates))
+    new = staged(rows.where(replaced), "dates")
     (
         new.hint("rebalance", date_column)
         .write.mode("overwrite")
@@ -63,11 +66,9 @@ def replace_dates(rows: DataFrame, path: str, dates, date_column: str = "stats_d
         .partitionBy(date_column)
         .parquet(path)
     )
-    emptied = dates - dates_in(new, date_column)
     table = rows.sparkSession.read.schema(rows.schema).parquet(path)
-    old = table.where(F.col(date_column).isin(*(day(d) for d in emptied))) if emptied else None
-    if old is not None:
-        clear_dates(table, path, date_column, dates_in(old, date_column))
+    emptied = dates_in(table.where(replaced), date_column) - dates_in(new, date_column)
+    clear_dates(table, path, date_column, emptied)
 
 
 RETAINED = {

@@ -65,6 +65,9 @@ def test_replaced_dates_may_become_empty(spark, tmp_path):
     assert rows(stored, "stats_date") == [(days[0], 1), (days[1], 5), (days[3], 1)]
     sinks.replace_dates(daily(), path, days[:1])
     assert spark.read.schema(DAILY).parquet(path).count() == 2
+    sinks.replace_dates(daily((date(2024, 2, 1), 7)), path, since=days[2])
+    stored = spark.read.schema(DAILY).parquet(path).select("stats_date", "total_count")
+    assert rows(stored, "stats_date") == [(days[1], 5), (date(2024, 2, 1), 7)]
 
 
 def test_retention_keeps_the_cutoff_and_null_times(spark, month):
