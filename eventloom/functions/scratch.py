@@ -7,7 +7,6 @@ tells the optimizer its exact size, so that Spark's own size check
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -17,17 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
+
+    Where it is unset, as in tests, a folder in the warehouse takes its place,
+    which all executors share as well.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="eventloom-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return current or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
 
 
 def application_folder(spark: SparkSession) -> str:

@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as contract
 from parity.check import database, differences
+from parity.queries import REGISTRY
 from tests.conftest import SMALL
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES = {name: query for name, query in contract.queries().items() if name in REGISTRY}
+SQL = {name: sql for name, sql in contract.oracle_sql().items() if name in REGISTRY}
 
 
 @pytest.fixture(scope="module")
