@@ -202,20 +202,33 @@ def fetched(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         for row in rows:  # of equal strings in this piece only the first goes on
             same = kept and kept[-1][0] == row[0] and kept[-1][4] == row[4] and kept[-1][1:3] != row[1:3]
             (copies if same else kept).append(row)
-        for kind, some in ((OPEN, kept), (REPEATED, copies)):
-            if some:
-                key, doc, start, suffixes, text = zip(*some)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(some), kind, np.int32)),
-                        pa.array(signed(np.array(key, np.uint64))),
-                        pa.array(doc, pa.int64()),
-                        pa.array(start, pa.int64()),
-                        pa.array(suffixes, pa.int32()),
-                        pa.array(text if kind == OPEN else [b""] * len(some), pa.binary()),
-                    ],
-                    ["kind", "anchor", "doc_id", "start", "suffixes", "bytes"],
-                )
+        if kept:
+            key, doc, start, suffixes, text = zip(*kept)
+            yield of_bytes(OPEN, signed(np.array(key, np.uint64)), doc, start, suffixes, text)
+        if copies:  # neighbours in a text as one row, dealt evenly
+            merged: list[list[int]] = []
+            for _, doc, start, suffixes, _ in sorted(copies, key=lambda r: r[1:3]):
+                if merged and merged[-1][0] == doc and start <= merged[-1][1] + merged[-1][2]:
+                    merged[-1][2] = max(merged[-1][2], start + suffixes - merged[-1][1])
+                else:
+                    merged.append([doc, start, suffixes])
+            doc, start, suffixes = zip(*merged)
+            spread = mixed(np.array(doc, np.int64).view(np.uint64) + mixed(np.array(start, np.uint64)))
+            yield of_bytes(REPEATED, signed(spread), doc, start, suffixes, [b""] * len(merged))
+
+
+def of_bytes(kind: int, anchor: np.ndarray, doc, start, suffixes, text) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(anchor), kind, np.int32)),
+            pa.array(anchor),
+            pa.array(doc, pa.int64()),
+            pa.array(start, pa.int64()),
+            pa.array(suffixes, pa.int32()),
+            pa.array(text, pa.binary()),
+        ],
+        ["kind", "anchor", "doc_id", "start", "suffixes", "bytes"],
+    )
 
 
 def ranks(keys: np.ndarray) -> np.ndarray:
