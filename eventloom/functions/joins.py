@@ -12,15 +12,20 @@ from eventloom.functions.scratch import staged
 def unknown_ids(facts: DataFrame, dimensions: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Per key column, the ids that ``facts`` uses and its dimension lacks.
 
-    ``distinct`` is combined on the map side, so a hot id costs one row per
-    task. The result is normally tiny. It is staged: its size on disk lets Spark
-    broadcast it when it is small and fall back to a shuffle join when not.
+    The facts are read once, however many keys there are: each row gives a
+    (key, id) pair per key, and ``distinct`` is combined on the map side, so a hot
+    id costs one row per task. The result is normally tiny. It is staged: its size
+    on disk lets Spark broadcast it when it is small and fall back to a shuffle
+    join when not.
     """
+    pairs = F.array(*(F.struct(F.lit(key).alias("key"), F.col(key).cast("bigint").alias("id")) for key in dimensions))
+    used = staged(
+        facts.select(F.explode(pairs).alias("used")).select("used.*").where("id is not null").distinct(), "used-ids"
+    )
 
     def missing(key: str) -> DataFrame:
-        used = facts.select(key).where(f"{key} is not null").distinct()
-        unknown = used.join(dimensions[key].select(key), key, "left_anti")
-        return unknown.select(F.lit(key).alias("key"), F.col(key).alias("id"))
+        known = dimensions[key].select(F.col(key).alias("id"))
+        return used.where(F.col("key") == key).join(known, "id", "left_anti").select("key", "id")
 
     found = staged(reduce(DataFrame.union, map(missing, dimensions)), "unknown-ids")
     return {

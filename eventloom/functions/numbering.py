@@ -16,8 +16,7 @@ def numbered(df: DataFrame, group: Column, *order: str) -> DataFrame:
     The rows are range-partitioned on (group, order) and numbered inside their
     partition; the partition totals then shift each partition to its place. With
     an order that no two rows share, partitions are even however rows fall into
-    groups. ``group`` must have few values: the shifts, at most groups x
-    partitions rows, are broadcast.
+    groups. The shifts are at most groups x partitions rows.
     """
     ranges = ("group", *order)
     placed = staged(
@@ -35,6 +34,6 @@ def numbered(df: DataFrame, group: Column, *order: str) -> DataFrame:
     )
     before = F.coalesce(F.sum("n").over(earlier_parts), F.lit(0))
     shifts = totals.select("group", "part", (before - F.col("first_place")).alias("shift"))
-    return placed.join(F.broadcast(shifts), ["group", "part"]).select(
+    return placed.join(shifts, ["group", "part"]).select(
         *df.columns, "group", (F.col("place") + F.col("shift")).alias("number")
     )

@@ -8,8 +8,10 @@ tells the optimizer its exact size, so that Spark's own size check
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -40,10 +42,30 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_in_scope: ContextVar[list[str] | None] = ContextVar("staged_in_scope", default=None)
+
+
+@contextmanager
+def staging_freed(spark: SparkSession) -> Iterator[None]:
+    """Frees, at its end, what ``staged`` writes within it: for work that goes on for ever."""
+    paths: list[str] = []
+    token = _in_scope.set(paths)
+    try:
+        yield
+    finally:
+        _in_scope.reset(token)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in paths:
+            files = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            files.delete(folder(path), True)
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """``df`` written once as Parquet and read back."""
     spark = df.sparkSession
     path = new_path(spark, label)
+    if (scope := _in_scope.get()) is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

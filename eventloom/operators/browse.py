@@ -46,6 +46,11 @@ def table(tables: dict[str, DataFrame], name: str) -> DataFrame:
     return tables[name]
 
 
+def orderable(df: DataFrame, column: str) -> bool:
+    kind = df.schema[column].dataType.simpleString()
+    return not any(word in kind for word in ("map<", "variant", "interval"))
+
+
 def table_page(
     df: DataFrame,
     page: int = 1,
@@ -53,13 +58,15 @@ def table_page(
     key: str | list[str] | None = None,
     deep: int = DEEP_OFFSET,
 ) -> DataFrame:
-    """One page of a table in key order.
+    """One page of a table in key order; without a key, in the order of its columns.
 
-    A page near the start is a top-k. For one further than ``deep`` rows in, a
-    top-k would hold all earlier rows in one task, so the rows are numbered in
-    parallel instead.
+    Rows of equal key are in the order of the other columns, so pages neither
+    overlap nor leave rows out. A page near the start is a top-k. For one further
+    than ``deep`` rows in, a top-k would hold all earlier rows in one task, so the
+    rows are numbered in parallel instead, in the same order.
     """
-    keys = [key] if isinstance(key, str) else key or df.columns[:1]
+    given = [key] if isinstance(key, str) else list(key or ())
+    keys = given + [c for c in df.columns if c not in given and orderable(df, c)]
     offset = (page - 1) * size
     if offset <= deep:
         return df.orderBy(*keys).offset(offset).limit(size)
@@ -108,21 +115,60 @@ def stats_summary(tables: dict[str, DataFrame]) -> DataFrame:
     return rows
 
 
-def run_sql(spark: SparkSession, sql: str, max_rows: int = MAX_ROWS) -> DataFrame:
-    """A user's query over the registered views, at most ``max_rows`` rows.
+# What a query may not contain, as Spark names it in an analysed plan.
+REFUSED_NODES = {"ScriptTransformation"}
+REFUSED_FUNCTIONS = {"CallMethodViaReflection", "TryReflect"}
+
+
+def _children(node, *methods: str):
+    for method in methods:
+        found = getattr(node, method)()
+        for i in range(found.size()):
+            yield found.apply(i)
+
+
+def _refuse_programs(plan) -> None:
+    """Raise if an analysed plan, or a query within it, would run programs."""
+
+    def check(expression) -> None:
+        if expression.getClass().getSimpleName() in REFUSED_FUNCTIONS:
+            raise ValueError("reflection is not allowed in a query")
+        for child in _children(expression, "children"):
+            check(child)
+
+    if plan.nodeName() in REFUSED_NODES:
+        raise ValueError("scripts are not allowed in a query")
+    for expression in _children(plan, "expressions"):
+        check(expression)
+    for part in _children(plan, "children", "innerChildren", "subqueries"):
+        if hasattr(part, "nodeName") and part.getClass().getName().startswith("org.apache.spark.sql"):
+            _refuse_programs(part)
+
+
+def _has_limit(plan) -> bool:
+    """Whether the query inside ``SELECT * FROM (query)`` ends in a limit of its own."""
+    for name in ("WithCTE", "Project", "SubqueryAlias", "WithCTE"):
+        if plan.nodeName() == name:
+            plan = list(_children(plan, "children"))[-1]
+    return plan.nodeName() in ("GlobalLimit", "LocalLimit")
+
+
+def run_sql(spark: SparkSession, sql: str, max_rows: int | None = MAX_ROWS) -> DataFrame:
+    """A user's query over the registered views.
 
-    The text is placed where Spark's grammar allows a query and nothing else,
-    so a statement that changes something is refused by Spark itself, and words
-    such as ``created_at`` or 'CreateEvent' do no harm. Files cannot be named as
-    tables while it is analysed.
+    A query without a limit of its own gives at most ``max_rows`` rows; None sets
+    no cap. The text is placed where Spark's grammar allows a query and nothing
+    else, so a statement that changes something is refused by Spark itself, and
+    words such as ``created_at`` or 'CreateEvent' do no harm. Queries that would run
+    scripts or call Java methods are refused once they are analysed. They are
+    analysed in a copy of the session in which files cannot be named as tables.
     """
     text = sql.strip().rstrip(";").strip()
     if not text:
         raise ValueError("the query is empty")
-    setting = "spark.sql.runSQLOnFiles"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
-    try:
-        return spark.sql(f"SELECT * FROM (\n{text}\n)").limit(max_rows)
-    finally:
-        spark.conf.set(setting, before)
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    own.conf.set("spark.sql.runSQLOnFiles", "false")
+    found = own.sql(f"SELECT * FROM (\n{text}\n)")
+    plan = found._jdf.queryExecution().analyzed()
+    _refuse_programs(plan)
+    return found if max_rows is None or _has_limit(plan) else found.limit(max_rows)

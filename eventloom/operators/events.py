@@ -12,16 +12,20 @@ from eventloom.operators.payloads import LINE, line_columns
 
 EVENT_KEY = ["gh_event_id", "created_at_date"]
 FALSE_TEXTS = ("false", "0", "")
+#: A full date, and optionally a time, its fraction and its offset.
+WRITTEN_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 
 
 def usable_lines(raw: DataFrame, as_of=None) -> DataFrame:
     """Fact rows of the lines that have an actor, a repository and a time.
 
-    A line without a time gets the reference time. The written time is taken as
-    it stands, without shifting its zone.
+    A line without a time gets the reference time; one whose time is null, or less
+    than a full date, has none. The written time is taken as it stands, without
+    shifting its zone.
     """
-    created_at = F.coalesce(F.col("created_at"), F.date_format(ntz(moment(as_of)), "yyyy-MM-dd'T'HH:mm:ss"))
-    time = created_at.try_cast("timestamp_ntz")
+    now = F.date_format(ntz(moment(as_of)), "yyyy-MM-dd'T'HH:mm:ss")
+    created_at = F.when(F.col("created_at").isNull() & ~F.col("null_time"), now).otherwise(F.col("created_at"))
+    time = F.when(created_at.rlike(WRITTEN_TIME), created_at.try_cast("timestamp_ntz"))
     rows = raw.select(
         *line_columns(raw),
         clipped("type", 50).alias("event_type"),
@@ -86,14 +90,12 @@ def not_stored(batch: DataFrame, stored: DataFrame) -> DataFrame:
 def dedupe_events(batch: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Batch rows that are neither copies within the batch nor stored already.
 
-    Only the stored dates that the batch spans are read.
+    Only the stored dates that occur in the batch are read.
     """
     if stored is None:
         return first_copies(batch)
-    first, last = batch.agg(F.min("created_at_date"), F.max("created_at_date")).first()
-    if first is None:
-        return first_copies(batch)
-    return not_stored(batch, stored.where(F.col("created_at_date").between(first, last)))
+    dates = [row[0] for row in batch.select("created_at_date").distinct().collect()]
+    return not_stored(batch, stored.where(F.col("created_at_date").isin(dates)))
 
 
 def validate_events(
@@ -125,15 +127,14 @@ def ingest_metrics(
     ``actors`` and ``repos`` the new dimension rows. A line is skipped when it
     parses but fails the checks; a copy is neither inserted nor skipped.
     """
+    read = lines.agg(F.count("*").alias("lines_read"), F.count_if("malformed").alias("lines_malformed"))
     frames = {
-        "lines_read": lines,
-        "lines_malformed": lines.where("malformed"),
         "projected": projected,
         "events_inserted": events,
         "actors_inserted": actors,
         "repos_inserted": repos,
     }
-    return one_row(row_counts(frames), frames).select(
+    return read.crossJoin(one_row(row_counts(frames), frames)).select(  # one row each
         "lines_read",
         "lines_malformed",
         "events_inserted",

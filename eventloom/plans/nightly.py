@@ -44,8 +44,9 @@ def update_all(
 
     Leaderboards and daily statistics read only their window of the facts. All
     history-wide results come from one scan, counted per (actor, repository,
-    relation type). A table whose update fails keeps its stored rows, and the
-    remaining tables are still updated.
+    relation type). A table whose update fails keeps its stored rows, if it has
+    any, and the remaining tables are still updated; ``failures`` has its name and
+    error.
     """
     now = moment(as_of)
     events, actors, repos = state["events"], state["actors"], state["repos"]
@@ -89,4 +90,7 @@ def update_all(
         if name in state:
             results[name] = state[name]
     results["summary"] = stats_summary(results)
+    results["failures"] = events.sparkSession.createDataFrame(
+        [(name, str(error).splitlines()[0]) for name, error in sorted(failed.items())], "name string, error string"
+    )
     return results

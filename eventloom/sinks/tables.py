@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom.functions.counting import one_row, row_counts
 from eventloom.functions.scratch import staged
@@ -82,29 +82,43 @@ def cutoff_date(days: int, as_of=None) -> date:
     return moment(as_of).date() - timedelta(days=days)
 
 
-def retain(tables: dict[str, DataFrame], days: int, as_of=None) -> dict[str, DataFrame]:
-    """The rows that a retention of ``days`` keeps; a NULL time is kept."""
+def expired(column: str, days: int, as_of=None) -> Column:
+    """Whether a retention of ``days`` deletes a row; a NULL time is kept."""
     cutoff = cutoff_date(days, as_of)
-    starts = {"last_event_at": ntz(datetime.combine(cutoff, time()))}
+    first = ntz(datetime.combine(cutoff, time())) if column == "last_event_at" else day(cutoff)
+    return F.col(column) < first
+
+
+def retain(tables: dict[str, DataFrame], days: int, as_of=None) -> dict[str, DataFrame]:
+    """The rows that a retention of ``days`` keeps."""
     kept = {}
     for name, column in RETAINED.items():
-        value = F.col(column)
-        kept[name] = tables[name].where((value >= starts.get(column, day(cutoff))) | value.isNull())
+        gone = expired(column, days, as_of)
+        kept[name] = tables[name].where(~gone | F.col(column).isNull())
     return kept
 
 
 def retention_counts(tables: dict[str, DataFrame], days: int, as_of=None) -> DataFrame:
-    """One row: how many rows of each table a retention of ``days`` deletes."""
-    frames = {f"all_{name}": tables[name] for name in RETAINED}
-    frames |= retain(tables, days, as_of)
+    """One row: how many rows of each table a retention of ``days`` deletes.
+
+    Only those rows are read; on a table stored by date, only their folders.
+    """
     labels = {
         "events": "deleted_events",
         "event_stats_daily": "deleted_stats",
         "user_repo_relation": "deleted_relations",
     }
-    return one_row(row_counts(frames), frames).select(
-        *((F.col(f"all_{name}") - F.col(name)).alias(label) for name, label in labels.items())
-    )
+    frames = {
+        label: tables[name].where(expired(RETAINED[name], days, as_of)) for name, label in labels.items()
+    }
+    return one_row(row_counts(frames), frames)
+
+
+def expire_relations(spark: SparkSession, path: str, root: str, days: int, as_of=None) -> str:
+    """Write the relations at ``path`` that a retention keeps as a new version below ``root``."""
+    stored = spark.read.parquet(path)
+    column = RETAINED["user_repo_relation"]
+    return replace_table(stored.where(~expired(column, days, as_of) | F.col(column).isNull()), root)
 
 
 def expire_dates(spark: SparkSession, path: str, date_column: str, days: int, as_of=None) -> None:

@@ -7,13 +7,16 @@ input order, which decides what "first seen" means in the ingest operators.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+import logging
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.functions.scratch import staged
 from eventloom.schemas import ARCHIVE_LINE
 
+log = logging.getLogger(__name__)
+
 HOURS = range(24)
 ARCHIVE_FILES = "*.json.gz"
 LINE_SCHEMA = "value string, archive_hour timestamp_ntz, line_no bigint"
@@ -58,10 +61,13 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     events = F.from_json(listed, f"array<struct<{ARCHIVE_LINE}>>", {"allowSingleQuotes": "false"})
     one = F.coalesce(F.size("events") == 1, F.lit(False)) & F.col("events")[0].isNotNull()
     event = F.struct((~one).alias("malformed"), F.when(one, F.col("events")[0]).alias("event"))
+    # A time that is null is told from one that is missing by the keys of the line.
+    stated = F.array_contains(F.json_object_keys("value"), "created_at")
+    null_time = F.when(F.col("event.created_at").isNull(), F.coalesce(stated, F.lit(False))).otherwise(False)
     return (
-        lines.select("archive_hour", "line_no", events.alias("events"))
-        .select("archive_hour", "line_no", F.inline(F.array(event)))
-        .select("archive_hour", "line_no", "malformed", "event.*")
+        lines.select("archive_hour", "line_no", "value", events.alias("events"))
+        .select("archive_hour", "line_no", "value", F.inline(F.array(event)))
+        .select("archive_hour", "line_no", "malformed", "event.*", null_time.alias("null_time"))
     )
 
 
@@ -69,15 +75,13 @@ def well_formed(raw: DataFrame) -> DataFrame:
     return raw.where("not malformed").drop("malformed")
 
 
-def read_lines(text: DataFrame, spread: bool = True) -> DataFrame:
+def read_lines(text: DataFrame) -> DataFrame:
     """Parsed lines of scanned archive files, malformed ones included and marked.
 
-    One task has to decompress a whole hour. ``spread`` rebalances the lines
-    after that, so that parsing is not held up by an hour far larger than the
-    others.
+    One task has to decompress a whole hour. The lines are rebalanced after that,
+    so that parsing is not held up by an hour far larger than the others.
     """
-    lines = number_lines(with_hour(text))
-    return parse_lines(lines.hint("rebalance") if spread else lines)
+    return parse_lines(number_lines(with_hour(text)).hint("rebalance"))
 
 
 def read_archive(spark: SparkSession, paths) -> DataFrame:
@@ -85,41 +89,62 @@ def read_archive(spark: SparkSession, paths) -> DataFrame:
     return well_formed(read_lines(spark.read.text(paths)))
 
 
-def uneven(spark: SparkSession, root: str, glob: str) -> bool:
-    """Whether the largest file would keep one task busy well beyond the others.
-
-    With few files, or one huge file, shuffling the lines pays; a long range of
-    similar hours keeps all tasks busy without it. Only the folder is listed.
-    """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
-    largest, total = files.agg(F.max("length"), F.sum("length")).first()
-    return bool(total) and largest * spark.sparkContext.defaultParallelism > 2 * total
-
-
-def stage_lines(spark: SparkSession, root: str, days, hours=HOURS) -> DataFrame:
-    """Parsed lines of some days as a staged table, without unreadable hours.
+def load_hours(spark: SparkSession, root: str, days, hours=HOURS) -> tuple[DataFrame, list[tuple]]:
+    """Parsed lines of some days as a staged table, and the damaged hours with their errors.
 
     A missing hour matches no file. All hours are read in one job; only when a
     file turns out damaged are the days, then the hours, halved until the bad
     ones are set apart. An hour counts whole or not at all.
     """
-    glob = file_glob(days, hours)
-    text = spark.read.options(pathGlobFilter=glob, ignoreCorruptFiles=False).text(root)
+    text = spark.read.options(pathGlobFilter=file_glob(days, hours), ignoreCorruptFiles=False).text(root)
     try:
-        return staged(read_lines(text, uneven(spark, root, glob)), "archive")
+        return staged(read_lines(text), "archive"), []
     except Exception as error:
         if "FAILED_READ_FILE" not in str(error):
             raise
+        reason = next(text for text in str(error).splitlines() if "FAILED_READ_FILE" in text)
     if len(days) == len(hours) == 1:
-        return parse_lines(spark.createDataFrame([], LINE_SCHEMA))
+        at = datetime.combine(as_date(days[0]), time(hours[0]))
+        log.warning("hour %s cannot be read: %s", at, reason)
+        return parse_lines(spark.createDataFrame([], LINE_SCHEMA)), [(at, reason)]
     if len(days) > 1:
         half = len(days) // 2
         parts = (days[:half], hours), (days[half:], hours)
     else:
         half = len(hours) // 2
         parts = (days, hours[:half]), (days, hours[half:])
-    first, second = (stage_lines(spark, root, *part) for part in parts)
-    return first.union(second)
+    (first, bad), (second, worse) = (load_hours(spark, root, *part) for part in parts)
+    return first.union(second), bad + worse
+
+
+def stage_lines(spark: SparkSession, root: str, days, hours=HOURS) -> DataFrame:
+    """Parsed lines of some days as a staged table, without unreadable hours, which are logged."""
+    return load_hours(spark, root, days, hours)[0]
+
+
+def hour_report(lines: DataFrame, damaged: list[tuple], days, hours=HOURS) -> DataFrame:
+    """What became of every hour that was asked for: archive_hour, state, lines, error.
+
+    ``lines`` and ``damaged`` come from ``load_hours``. A state is loaded, missing or
+    damaged; an hour whose file holds no line counts as missing.
+    """
+    spark = lines.sparkSession
+    asked = [(datetime.combine(as_date(d), time(h)),) for d in days for h in hours]
+    expected = spark.createDataFrame(asked, "archive_hour timestamp_ntz")
+    found = lines.groupBy("archive_hour").agg(F.count("*").alias("lines"))
+    broken = spark.createDataFrame(damaged, "archive_hour timestamp_ntz, error string")
+    state = F.when(F.col("error").isNotNull(), "damaged").when(F.col("lines") > 0, "loaded").otherwise("missing")
+    return (
+        expected.join(found, "archive_hour", "left")
+        .join(broken, "archive_hour", "left")
+        .select("archive_hour", state.alias("state"), F.coalesce("lines", F.lit(0)).alias("lines"), "error")
+    )
+
+
+def ingest_report(spark: SparkSession, root: str, start, end) -> DataFrame:
+    """``hour_report`` of all hours from ``start`` to ``end``."""
+    days = days_between(start, end)
+    return hour_report(*load_hours(spark, root, days), days)
 
 
 def days_between(start, end) -> list[date]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from eventloom.functions.scratch import staged
+from eventloom.functions.scratch import staged, staging_freed
 from eventloom.operators.events import check_ids, not_stored, usable_lines, validate_events
 from eventloom.schemas import EVENTS
 from eventloom.sinks.tables import dates_in
@@ -31,7 +31,18 @@ def event_store(spark: SparkSession, path: str) -> BatchTable:
 
 def batch_rows(batch: DataFrame, as_of=None) -> DataFrame:
     """The usable fact rows of a micro-batch of lines, parsed once and staged."""
-    return staged(usable_lines(well_formed(parse_lines(number_lines(batch))), as_of), "batch")
+    lines = number_lines(batch).hint("rebalance")  # one task has read a whole hour
+    return staged(usable_lines(well_formed(parse_lines(lines)), as_of), "batch")
+
+
+def freeing(spark: SparkSession, handle: AfterInsert) -> AfterInsert:
+    """``handle`` for ``foreachBatch``; what it stages is freed after each batch."""
+
+    def handled(batch: DataFrame, batch_id: int) -> None:
+        with staging_freed(spark):
+            handle(batch, batch_id)
+
+    return handled
 
 
 def start(writer: DataStreamWriter, progress: str, trigger: dict) -> StreamingQuery:
@@ -71,44 +82,19 @@ def stream_ingest(
         for step in after_insert:
             step(inserted, batch_id)
 
-    return start(lines.writeStream.foreachBatch(handle), progress, trigger)
-
-
-def first_in_chunk(chunks):
-    """Drop copies within each chunk of rows, before they are shuffled."""
-    for rows in chunks:
-        yield rows.drop_duplicates("gh_event_id")
+    return start(lines.writeStream.foreachBatch(freeing(store.spark, handle)), progress, trigger)
 
 
 def stream_dedupe(
-    lines: DataFrame, path: str, progress: str, delay: str = "2 hours", as_of=None, **trigger
+    lines: DataFrame, store: BatchTable, progress: str, as_of=None, **trigger
 ) -> StreamingQuery:
-    """Drop repeated event ids within a bounded delay, in Spark's own state.
+    """Keep the first copy of every event, by id and date, as the batch form does.
 
-    The clock is the hour of the file, so a wrong time inside a line cannot
-    close the window for others. State is kept only as long as the delay and
-    does not grow with history; ``stream_ingest`` is the exact form. Copies are
-    thinned out before the shuffle, so an event sent over and over does not
-    pile up in one task. Run with a UTC session time zone.
+    No row is lost for being late: copies are looked up among the stored events of
+    the dates that a batch touches, not in state that expires. Within a batch,
+    copies are dropped on the map side, before any shuffle.
     """
-    events = usable_lines(
-        well_formed(parse_lines(lines.withColumn("line_no", F.lit(0).cast("bigint")))), as_of
-    ).select(
-        F.col("archive_hour").cast("timestamp").alias("clock"),
-        "gh_event_id",
-        "event_type",
-        "created_at",
-        "actor_id",
-        "repo_id",
-    )
-    distinct = (
-        events.mapInPandas(first_in_chunk, events.schema)
-        .withWatermark("clock", delay)
-        .dropDuplicatesWithinWatermark(["gh_event_id"])
-        .drop("clock")
-    )
-    writer = distinct.writeStream.format("parquet").option("path", path)
-    return start(writer, progress, trigger)
+    return stream_ingest(lines, store, progress, as_of=as_of, **trigger)
 
 
 def stream_validate(
@@ -129,7 +115,7 @@ def stream_validate(
         valid.write(checked.where("is_valid = 1"), batch_id)
         quarantine.write(checked.where("is_valid = 0"), batch_id)
 
-    return start(lines.writeStream.foreachBatch(handle), progress, trigger)
+    return start(lines.writeStream.foreachBatch(freeing(valid.spark, handle)), progress, trigger)
 
 
 def quarantine_store(spark: SparkSession, path: str) -> BatchTable:

@@ -106,6 +106,8 @@ SELECT id, archive_hour,
             WHEN k % 4 = 1 THEN ',"org":null' ELSE '' END
     || CASE WHEN id % 103 = 11 THEN ''
             WHEN id % 101 = 9 THEN ',"created_at":"not a time"'
+            WHEN id % 107 = 13 THEN ',"created_at":null'
+            WHEN id % 109 = 17 THEN ',"created_at":"2024"'
             ELSE ',"created_at":"' || iso || '"' END
     || ',"public":' || CASE WHEN id % 13 = 0 THEN 'false' ELSE 'true' END
     || ',"payload":' || CASE
@@ -241,3 +243,23 @@ def write_archive(spark: SparkSession, sf_dir: str) -> str:
         fs.rename(names[name], target)
         fs.setTimes(target, first_time + 1000 * n, -1)
     return root
+
+
+def damaged_archive(spark: SparkSession, root: str, day: str, cut_off: int, absent: int) -> str:
+    """The hour files of one day in a new folder, one of them cut off and one left out."""
+    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    to = new_path(spark, "damaged")
+    fs = path(root).getFileSystem(configuration)
+    fs.mkdirs(path(to))
+    for status in fs.globStatus(path(f"{root}/{day}-*.json.gz")):
+        name = status.getPath().getName()
+        hour = int(name.removeprefix(f"{day}-").removesuffix(".json.gz"))
+        if hour == cut_off:
+            content = spark.read.format("binaryFile").load(status.getPath().toString()).first().content
+            out = fs.create(path(f"{to}/{name}"))
+            out.write(bytes(content[: len(content) // 2]))
+            out.close()
+        elif hour != absent:
+            jvm.org.apache.hadoop.fs.FileUtil.copy(fs, status.getPath(), fs, path(f"{to}/{name}"), False, configuration)
+    return to

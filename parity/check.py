@@ -20,11 +20,12 @@ TABLES = (
 ).split()
 
 
-def session(cpus: int = 8) -> SparkSession:
+def session(cpus: int = 8, folder: str = "/tmp/eventloom-staging") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("eventloom")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", folder)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.functions.scratch import new_path, staged
 from eventloom.functions.text import iso_datetimes
-from eventloom.functions.time_windows import ntz
 from eventloom.operators import (
     base_stats,
     browse,
@@ -29,9 +28,10 @@ from eventloom.plans.nightly import update_all
 from eventloom.sinks import tables as sinks
 from eventloom.sources import archive
 from eventloom.streaming import archive_stream, running_stats
-from parity.adapter import AS_OF, STREAM_FILES, spark_table, write_archive
+from parity.adapter import AS_OF, STREAM_FILES, damaged_archive, spark_table, write_archive
 
 FIRST_DAY, LAST_DAY, ONE_DAY, ONE_HOUR = "2024-01-01", "2024-01-30", "2024-01-15", 6
+CUT_OFF_HOUR, ABSENT_HOUR = 6, 12
 RETENTION_DAYS = 20
 _archives: dict[tuple[str, str], str] = {}
 
@@ -169,6 +169,13 @@ def ingest_range(t: Given) -> DataFrame:
     return flat(archive.ingest_range(t.spark, t.archive, FIRST_DAY, LAST_DAY))
 
 
+@query
+def ingest_report(t: Given) -> DataFrame:
+    """A day of which one hour is cut off and another is absent."""
+    root = damaged_archive(t.spark, t.archive, ONE_DAY, cut_off=CUT_OFF_HOUR, absent=ABSENT_HOUR)
+    return archive.ingest_report(t.spark, root, ONE_DAY, ONE_DAY).select("archive_hour", "state", "lines")
+
+
 @query
 def extract_actors(t: Given) -> DataFrame:
     return entities.extract_actors(t.raw, t.stored_actors)
@@ -373,13 +380,8 @@ def table_inventory(t: Given) -> DataFrame:
 
 @query
 def stats_summary(t: Given) -> DataFrame:
-    """The last update is taken from the newest event behind each table."""
-    newest = t.events.agg(F.max("created_at").alias("newest")).first()[0]
-    stamped = {
-        name: df.withColumn("stats_time" if name == "event_stats_daily" else "updated_at", ntz(newest))
-        for name, df in statistics_tables(t).items()
-    }
-    return browse.stats_summary(stamped)
+    """Of the tables as the full refresh leaves them, with its time of update."""
+    return update_all({"events": t.events, "actors": t.actors, "repos": t.repos}, AS_OF)["summary"]
 
 
 @query
@@ -397,6 +399,33 @@ def run_sql(t: Given) -> DataFrame:
     )
 
 
+@query
+def run_sql_limited(t: Given) -> DataFrame:
+    """A limit of the query's own, above the cap, holds."""
+    t.events.createOrReplaceTempView("gh_events")
+    return browse.run_sql(t.spark, "SELECT gh_event_id, actor_id FROM gh_events ORDER BY gh_event_id DESC LIMIT 3000")
+
+
+@query
+def run_sql_capped(t: Given) -> DataFrame:
+    t.events.createOrReplaceTempView("gh_events")
+    return browse.run_sql(t.spark, "WITH e AS (SELECT * FROM gh_events) SELECT gh_event_id FROM e ORDER BY gh_event_id")
+
+
+@query
+def table_pages(t: Given) -> DataFrame:
+    """All pages by a key that many rows share, across the change of method, with their numbers."""
+    day_events = t.events.where(f"created_at_date = DATE'{ONE_DAY}'")
+    size = 100
+    last = -(-day_events.count() // size)
+    pages = (
+        browse.table_page(day_events, n, size, "repo_id", deep=last * size // 2)
+        .select(F.lit(n).alias("page"), "gh_event_id")
+        for n in range(1, last + 1)
+    )
+    return reduce(DataFrame.union, pages)
+
+
 # --- statistics ------------------------------------------------------------------
 
 
@@ -640,9 +669,9 @@ def stream_ingest(t: Given) -> DataFrame:
 @query
 def stream_dedupe(t: Given) -> DataFrame:
     lines = archive_stream.line_stream(t.spark, t.archive, STREAM_FILES)
-    path = t.path("distinct")
-    archive_stream.stream_dedupe(lines, path, t.path("progress"), as_of=AS_OF).awaitTermination()
-    return t.spark.read.parquet(path)
+    store = archive_stream.event_store(t.spark, t.path("distinct"))
+    archive_stream.stream_dedupe(lines, store, t.path("progress"), as_of=AS_OF).awaitTermination()
+    return store.rows().select("gh_event_id", "event_type", "created_at", "actor_id", "repo_id")
 
 
 @query

@@ -13,8 +13,8 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return session(cpus=8)
+def spark(tmp_path_factory):
+    return session(cpus=8, folder=str(tmp_path_factory.mktemp("staging")))
 
 
 @pytest.fixture(scope="session")

@@ -66,13 +66,13 @@ def test_nested_payload_stays_json(parsed):
     assert rows(parsed(line(2)).select("payload")) == [("{}",)]
 
 
-def test_only_uneven_archives_are_spread(spark, tmp_path):
-    glob = archive.file_glob(archive.days_between("2024-01-05", "2024-01-06"))
-    text = [line(n) for n in range(50)]
-    for hour in range(24):
-        write_hour(tmp_path, f"2024-01-05-{hour}", text)
-        write_hour(tmp_path, f"2024-01-06-{hour}", text)
-    assert not archive.uneven(spark, str(tmp_path), glob)
-    write_hour(tmp_path, "2024-01-06-0", [line(n, note=str(n**9)) for n in range(5000)])
-    assert archive.uneven(spark, str(tmp_path), glob)
-    assert not archive.uneven(spark, str(tmp_path), "none")
+def test_report_names_every_hour(spark, tmp_path):
+    for hour in (0, 2, 3):
+        lines = [line(hour * 1000 + n, note="x" * (n % 50)) for n in range(500)]
+        write_hour(tmp_path, f"2024-01-05-{hour}", lines, keep=800 if hour == 2 else None)
+    report = {r.archive_hour.hour: r for r in archive.ingest_report(spark, str(tmp_path), "2024-01-05", "2024-01-05").collect()}
+    assert {h: r.state for h, r in report.items()} == {h: {0: "loaded", 2: "damaged", 3: "loaded"}.get(h, "missing") for h in range(24)}
+    assert (report[0].lines, report[2].lines, report[1].lines) == (500, 0, 0)
+    assert "FAILED_READ_FILE" in report[2].error and report[1].error is None
+    nothing = archive.ingest_report(spark, str(tmp_path), "2024-02-01", "2024-02-02")
+    assert rows(nothing.groupBy("state").count()) == [("missing", 48)]

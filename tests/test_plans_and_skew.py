@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from eventloom.functions import joins
 from eventloom.functions.scratch import shared_folder
 from eventloom.operators import base_stats, daily_stats, entity_stats, events, leaderboards
 from eventloom.sinks import tables as sinks
@@ -152,6 +153,33 @@ def test_lines_are_parsed_once_and_after_they_are_spread(spark, tmp_path):
     assert text.index("from_json") < text.index("REBALANCE_PARTITIONS_BY_NONE")
 
 
+def test_facts_are_read_at_most_twice_to_validate(spark, stored, make_actors, make_repos, make_orgs):
+    stages = []
+    original = joins.staged
+
+    def scans(df):
+        return sum("FileScan parquet" in text and "actor_id#" in text for text in plan(df).splitlines())
+
+    def counting(df, label="stage"):
+        stages.append(scans(df))
+        return original(df, label)
+
+    joins.staged = counting
+    try:
+        checked = events.validate_events(stored, make_actors({"actor_id": 1}), make_repos({"repo_id": 1}), make_orgs({"org_id": 1}))
+    finally:
+        joins.staged = original
+    assert sum(stages) + scans(checked) == 2
+
+
+def test_retention_counts_read_only_what_expires(stored):
+    tables = {"events": stored, "event_stats_daily": stored.selectExpr("created_at_date as stats_date"),
+              "user_repo_relation": stored.selectExpr("created_at as last_event_at")}
+    text = plan(sinks.retention_counts(tables, 20, AS_OF))
+    assert text.count("FileScan parquet") == 3
+    assert text.count("PartitionFilters: [isnotnull(created_at_date") >= 2
+
+
 def test_retention_prunes_partitions(stored):
     kept = sinks.retain(
         {"events": stored, "event_stats_daily": stored.selectExpr("created_at_date as stats_date"),

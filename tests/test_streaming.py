@@ -103,11 +103,39 @@ def test_daily_statistics_stay_exact(spark, tmp_path):
     ]
 
 
-def test_repeats_are_dropped_within_the_delay(spark, tmp_path):
-    path = str(tmp_path / "distinct")
-    stream.stream_dedupe(stream.line_stream(spark, hours(tmp_path)), path, str(tmp_path / "progress"), as_of=AS_OF).awaitTermination()
-    found = [r[0] for r in rows(spark.read.parquet(path).select("gh_event_id"), "gh_event_id")]
-    assert found == [*range(1, 16), 99]
+def test_repeats_are_dropped_however_late(spark, tmp_path):
+    store = stream.event_store(spark, str(tmp_path / "distinct"))
+    root = hours(tmp_path)
+
+    def run_on():
+        stream.stream_dedupe(stream.line_stream(spark, root), store, str(tmp_path / "progress"), as_of=AS_OF).awaitTermination()
+        return [r[0] for r in rows(store.rows().select("gh_event_id"), "gh_event_id")]
+
+    assert run_on() == [*range(1, 16), 99]
+    # An hour that comes late, an id on two dates, and lines without an id.
+    late = [line(50, time="2024-01-01T00:00:00Z"), line(3), line(3, time="2024-01-06T00:00:00Z"), line(id=None), line(id=None)]
+    write_hour(tmp_path / "archive", "2024-01-01-0", late)
+    assert run_on() == [0, 1, 2, 3, 3, *range(4, 16), 50, 99]
+
+
+def test_staging_is_freed_after_every_batch(spark, tmp_path, make_actors):
+    from pathlib import Path
+
+    from eventloom.functions.scratch import application_folder
+
+    root = hours(tmp_path)
+    for hour in (3, 4, 5):
+        add_hour(tmp_path / "archive", hour, [line(100 + hour, time=f"2024-01-05T0{hour}:00:00Z")])
+    folder = Path(application_folder(spark))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    store = stream.event_store(spark, str(tmp_path / "events"))
+    dimensions = {"actor_id": make_actors(*({"actor_id": n} for n in (1, 2, 3)))}
+    daily = running.daily_updates(store, str(tmp_path / "daily"))
+    stream.stream_ingest(
+        stream.line_stream(spark, root), store, str(tmp_path / "progress"), dimensions, (daily,), AS_OF
+    ).awaitTermination()
+    assert store.rows().count() == 19
+    assert set(folder.iterdir()) == before
 
 
 def test_invalid_events_go_to_quarantine(spark, tmp_path, make_actors, make_repos, make_orgs):

@@ -131,7 +131,7 @@ def test_inventory_and_summary(spark, month):
         "SELECT created_at FROM month_events",
         "SELECT 'DROP TABLE x; DELETE' AS t, updated_at FROM (SELECT created_at AS updated_at FROM month_events);",
         "WITH e AS (SELECT * FROM month_events) SELECT count(*) FROM e -- limit",
-        "SELECT * FROM month_events ORDER BY created_at DESC LIMIT 5000",
+        "SELECT x.* FROM (SELECT * FROM month_events LIMIT 200) x",
     ],
 )
 def test_queries_are_accepted_and_capped(spark, month, sql):
@@ -139,6 +139,62 @@ def test_queries_are_accepted_and_capped(spark, month, sql):
     assert 0 < browse.run_sql(spark, sql, max_rows=100).count() <= 100
 
 
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "SELECT * FROM month_events ORDER BY created_at DESC LIMIT 200",
+        "WITH e AS (SELECT * FROM month_events) SELECT * FROM e LIMIT 200",
+        "(SELECT * FROM month_events) LIMIT 200;",
+    ],
+)
+def test_a_limit_of_the_query_holds(spark, month, sql):
+    month.createOrReplaceTempView("month_events")
+    assert browse.run_sql(spark, sql, max_rows=100).count() == 200
+    assert browse.run_sql(spark, "SELECT * FROM month_events", max_rows=None).count() == 280
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "SELECT TRANSFORM(gh_event_id) USING 'cat' FROM month_events",
+        "SELECT * FROM (SELECT TRANSFORM(gh_event_id) USING 'cat' AS x FROM month_events) t",
+        "WITH t AS (SELECT TRANSFORM(gh_event_id) USING 'cat' AS x FROM month_events) SELECT count(*) FROM t",
+        "SELECT reflect('java.lang.System', 'getenv', 'HOME')",
+        "SELECT java_method('java.lang.System', 'getenv', 'HOME') FROM month_events",
+        "SELECT try_reflect('java.lang.System', 'getenv', 'HOME')",
+        "SELECT 1 WHERE 'x' IN (SELECT reflect('java.lang.System', 'getenv', 'HOME'))",
+        "SELECT (SELECT upper(reflect('java.lang.System', 'getenv', 'HOME'))) AS h FROM month_events",
+        "WITH t AS (SELECT 1 AS x WHERE reflect('java.lang.System', 'getenv', 'HOME') = 'x') SELECT * FROM t",
+    ],
+)
+def test_programs_are_refused(spark, month, sql):
+    month.createOrReplaceTempView("month_events")
+    with pytest.raises(ValueError):
+        browse.run_sql(spark, sql)
+
+
+def test_words_in_texts_are_no_programs(spark):
+    assert rows(browse.run_sql(spark, "SELECT 'reflect(TRANSFORM)' AS t")) == [("reflect(TRANSFORM)",)]
+    assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
+
+
+def test_pages_of_equal_keys_join_up(month):
+    pages = [rows(browse.table_page(month, n, 30, "repo_id", deep=120).select("gh_event_id")) for n in range(1, 11)]
+    assert sorted(r for page in pages for r in page) == [(n,) for n in range(280)]
+    first = [rows(browse.table_page(month.select("actor_id", "gh_event_id"), n, 30).select("gh_event_id")) for n in range(1, 11)]
+    assert len({r for page in first for r in page}) == 280
+
+
+def test_stored_relations_expire(spark, tmp_path):
+    stored = spark.createDataFrame(
+        [(1, datetime(2024, 1, 10, 23)), (2, datetime(2024, 1, 11)), (3, None)], "k bigint, last_event_at timestamp_ntz"
+    )
+    first = sinks.replace_table(stored, str(tmp_path))
+    second = sinks.expire_relations(spark, first, str(tmp_path), 20, AS_OF)
+    assert rows(spark.read.parquet(second).select("k"), "k") == [(2,), (3,)]
+    assert spark.read.parquet(first).count() == 3
+
+
 def test_order_survives_the_cap(spark, month):
     month.createOrReplaceTempView("month_events")
     found = browse.run_sql(spark, "SELECT gh_event_id FROM month_events ORDER BY 1 DESC", 3)
@@ -192,4 +248,5 @@ def test_refresh_survives_a_failing_table(spark, month, dimensions):
     state = {"events": month, "user_repo_relation": stored, **dimensions}
     after = update_all(state, AS_OF)
     assert after["user_repo_relation"] is stored
+    assert [r.name for r in after["failures"].collect()] == ["user_repo_relation"]
     assert after["actors"].agg({"total_events": "sum"}).first()[0] == 280
