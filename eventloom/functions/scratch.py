@@ -78,8 +78,11 @@ def staged_all(
     The jobs share the cluster, so the tail of one does not leave it idle.
     """
 
+    scope = _in_scope.get()
+
     @inheritable_thread_target(spark)
     def stage(name: str) -> DataFrame:
+        _in_scope.set(scope)
         return staged(builders[name](), name)
 
     done, failed = {}, {}
