@@ -133,7 +133,7 @@ def anchored(batches: Iterable[pa.RecordBatch], length: int, core: int) -> Itera
         copy[order] = (doc[order] != doc[head]) | (start[order] != start[head])
         yield arrow(
             kind=np.where(copy, REPEATED, OPEN).astype(np.int32),
-            anchor=signed(np.where(copy, mixed(whole), anchor)),
+            anchor=signed(np.where(copy, mixed(whole ^ mixed((doc + start).view(np.uint64))), anchor)),  # copies anywhere
             whole=signed(whole),
             doc_id=doc,
             start=start,
