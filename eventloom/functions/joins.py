@@ -39,6 +39,7 @@ def keep_known(facts: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     Removing the few unknown ids spares the fact rows the shuffles that semi
     joins with large dimensions would need.
     """
+    columns = facts.columns
     for key, unknown in unknown_ids(facts, dimensions).items():
         facts = facts.join(unknown, key, "left_anti").where(f"{key} is not null")
-    return facts
+    return facts.select(*columns)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from eventloom.functions.counting import count_kind
 from eventloom.functions.joins import keep_known
+from eventloom.functions.scratch import staged
 from eventloom.functions.time_windows import ntz
 from eventloom.operators.entity_stats import relation_type
 from eventloom.operators.upsert import ADD, REPLACE, upsert
@@ -107,7 +108,8 @@ def relations(
 ) -> DataFrame:
     """Relations of a batch of events, merged into ``prior``.
 
-    Only known actors and known repositories count.
+    Only known actors and known repositories count. Ids are checked once the events
+    have shrunk to relations.
     """
-    known = keep_known(batch, {"actor_id": actors, "repo_id": repos})
-    return merge_relations(batch_relations(known), prior)
+    found = staged(batch_relations(batch), "relations")
+    return merge_relations(keep_known(found, {"actor_id": actors, "repo_id": repos}), prior)

@@ -2,33 +2,38 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eventloom.functions.scratch import staged
 from eventloom.functions.text import as_id, clipped
 
 
+#: Above every line number.
+LINES_AN_HOUR = Decimal(10**19)
+
+
 def input_order() -> Column:
-    return F.struct("archive_hour", "line_no")
+    """The input order as one number, which a hash aggregate can take the least of."""
+    hour = F.date_diff(F.to_date("archive_hour"), F.lit("1970-01-01").cast("date")) * 24 + F.hour("archive_hour")
+    hour = F.coalesce(hour, F.lit(0)).cast("decimal(10,0)")
+    return (hour * F.lit(LINES_AN_HOUR) + F.col("line_no")).cast("decimal(38,0)")
 
 
 def _first_seen(raw: DataFrame, existing: DataFrame, entity: str, key: str, unique: str, fields):
     """Rows to add to a dimension: the first one per new id and per new name.
 
-    Names collide regardless of case. Both "first" steps are aggregates with a
-    map-side part, so a hot entity, or a name that many ids share, travels as
-    one row per task. The dimension is met only after the batch has shrunk to
-    one row per id, then to one per name.
+    Names collide regardless of case. The first line of every id is a hash
+    aggregate of two numbers, combined on the map side, so no raw line is sorted and
+    a hot entity travels as one row per task. The ids that the dimension lacks are
+    staged, normally few; only for their first lines are the fields fetched.
     """
     fields = F.struct(*(value.alias(name) for name, value in fields.items()))
-    seen = raw.select(
-        as_id(f"{entity}.id").alias(key), fields.alias("row"), input_order().alias("seq")
-    )
-    new_ids = (
-        seen.where(f"{key} is not null")
-        .groupBy(key)
-        .agg(F.min_by("row", "seq").alias("row"), F.min("seq").alias("seq"))
-        .join(existing.select(key), key, "left_anti")
-    )
+    lines = raw.select(as_id(f"{entity}.id").alias(key), input_order().alias("seq"), fields.alias("row"))
+    first_lines = lines.where(f"{key} is not null").groupBy(key).agg(F.min("seq").alias("seq"))
+    new_lines = staged(first_lines.join(existing.select(key), key, "left_anti"), f"new-{entity}")
+    new_ids = lines.join(new_lines, [key, "seq"])
     new_names = new_ids.groupBy(F.lower(f"row.{unique}").alias("name_key")).agg(
         F.min_by(F.struct(key, "row"), "seq").alias("first")
     )

@@ -27,7 +27,7 @@ def usable_lines(raw: DataFrame, as_of=None) -> DataFrame:
     created_at = F.when(F.col("created_at").isNull() & ~F.col("null_time"), now).otherwise(F.col("created_at"))
     time = F.when(created_at.rlike(WRITTEN_TIME), created_at.try_cast("timestamp_ntz"))
     rows = raw.select(
-        *line_columns(raw),
+        *line_columns(),
         clipped("type", 50).alias("event_type"),
         F.when(F.coalesce("public", F.lit("")).isin(*FALSE_TEXTS), 0).otherwise(1).alias("public"),
         time.alias("created_at"),

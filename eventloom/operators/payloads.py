@@ -22,7 +22,6 @@ KIND_TABLES = {
     CREATE: "payload_create",
 }
 LOADED_KINDS = tuple(KIND_TABLES)
-OTHER = "other"
 SHARED_PAYLOAD_ID = 1
 LINE = ("archive_hour", "line_no")
 
@@ -32,10 +31,9 @@ def gh_event_id() -> Column:
     return F.coalesce(F.col("id").try_cast("bigint"), F.lit(0)).alias("gh_event_id")
 
 
-def line_columns(raw: DataFrame) -> list:
-    """What identifies a line, and its payload id where it has been given one."""
-    numbered = ["payload_id"] if "payload_id" in raw.columns else []
-    return [*LINE, *numbered, gh_event_id()]
+def line_columns() -> list:
+    """What identifies a line."""
+    return [*LINE, gh_event_id()]
 
 
 def _of_kind(raw: DataFrame, event_type: str, schema: str | None = None) -> DataFrame:
@@ -48,7 +46,7 @@ def payload_push(raw: DataFrame) -> DataFrame:
         return F.coalesce(F.col(f"p.{name}").try_cast("int"), F.lit(0)).alias(name)
 
     return _of_kind(raw, PUSH, PUSH_PAYLOAD).select(
-        *line_columns(raw),
+        *line_columns(),
         F.col("p.push_id").try_cast("bigint").alias("push_id"),
         count("size"),
         count("distinct_size"),
@@ -59,7 +57,7 @@ def payload_push(raw: DataFrame) -> DataFrame:
 
 def payload_star(raw: DataFrame) -> DataFrame:
     return _of_kind(raw, WATCH).select(
-        *line_columns(raw),
+        *line_columns(),
         F.lit("started").alias("action"),
         F.coalesce(F.col("repo.id").try_cast("bigint"), F.lit(0)).alias("star_repo_id"),
     )
@@ -67,7 +65,7 @@ def payload_star(raw: DataFrame) -> DataFrame:
 
 def payload_fork(raw: DataFrame) -> DataFrame:
     return _of_kind(raw, FORK, FORK_PAYLOAD).select(
-        *line_columns(raw),
+        *line_columns(),
         F.col("p.forkee.id").try_cast("bigint").alias("forkee_id"),
         clipped("p.forkee.full_name", 255).alias("forkee_name"),
     )
@@ -75,7 +73,7 @@ def payload_fork(raw: DataFrame) -> DataFrame:
 
 def payload_create(raw: DataFrame) -> DataFrame:
     return _of_kind(raw, CREATE, CREATE_PAYLOAD).select(
-        *line_columns(raw),
+        *line_columns(),
         clipped("p.ref", 255).alias("ref"),
         clipped("p.ref_type", 20).alias("ref_type"),
         F.col("p.description").alias("description"),
@@ -90,25 +88,32 @@ PAYLOADS = {
 }
 
 
-def with_payload_ids(raw: DataFrame, start_ids: dict[str, int] | None = None) -> DataFrame:
-    """Archive lines with the id of their payload row, staged.
+def payload_numbers(raw: DataFrame, start_ids: dict[str, int] | None = None) -> DataFrame:
+    """The payload id of every archive line of a loaded kind.
 
-    Each loaded kind is numbered without gaps in input order, from
-    ``start_ids[kind]`` (default 1). Every other kind shares payload id 1. With
-    the id on the line itself, every later step is a plain projection.
+    Each kind is numbered without gaps in input order, from ``start_ids[kind]``
+    (default 1). Only the places of these lines are sorted: no payload moves, and
+    lines of other kinds stay where they are.
     """
-    kind = F.when(F.col("type").isin(*LOADED_KINDS), F.col("type")).otherwise(OTHER)
     first = F.lit(1)
     for event_type, value in (start_ids or {}).items():
         first = F.when(F.col("group") == event_type, F.lit(value)).otherwise(first)
-    payload_id = F.when(F.col("group") == OTHER, F.lit(SHARED_PAYLOAD_ID)).otherwise(
-        first + F.col("number")
-    )
-    return numbered(raw, kind, *LINE).select(
-        *raw.columns, payload_id.cast("bigint").alias("payload_id")
+    places = raw.where(F.col("type").isin(*LOADED_KINDS)).select(*LINE, "type")
+    return numbered(places, F.col("type"), *LINE).select(
+        *LINE, (first + F.col("number")).cast("bigint").alias("payload_id")
     )
 
 
+def with_payload_ids(rows: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Rows that name their line, with its payload id; kinds without a table share id 1."""
+    found = numbers.select(*(F.col(c).alias(f"of_{c}") for c in LINE), "payload_id")
+    same = F.lit(True)
+    for c in LINE:
+        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    payload_id = F.coalesce("payload_id", F.lit(SHARED_PAYLOAD_ID).cast("bigint"))
+    return rows.join(found, same, "left").select(*rows.columns, payload_id.alias("payload_id"))
+
+
 def next_payload_ids(tables: dict[str, DataFrame]) -> dict[str, int]:
     """Per loaded kind, the first payload id that its stored table leaves free."""
     stored = {kind: tables[name] for kind, name in KIND_TABLES.items() if name in tables}
@@ -123,7 +128,7 @@ def next_payload_ids(tables: dict[str, DataFrame]) -> dict[str, int]:
 
 def payload_keys(raw: DataFrame, start_ids: dict[str, int] | None = None) -> DataFrame:
     """The payload id of every archive line."""
-    keys = with_payload_ids(raw.select(*LINE, "id", "type"), start_ids)
+    keys = with_payload_ids(raw.select(*LINE, "id", "type"), payload_numbers(raw, start_ids))
     return keys.select(
         *LINE, gh_event_id(), F.coalesce("type", F.lit("")).alias("event_type"), "payload_id"
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from eventloom.functions.scratch import staged_all
 from eventloom.operators.entities import extract_actors, extract_orgs, extract_repos
 from eventloom.operators.events import dedupe_events, ingest_metrics, project_events
-from eventloom.operators.payloads import LINE, PAYLOADS, next_payload_ids, with_payload_ids
+from eventloom.operators.payloads import LINE, PAYLOADS, next_payload_ids, payload_numbers, with_payload_ids
 from eventloom.sources.archive import well_formed
 
 
@@ -23,7 +23,8 @@ def ingest(
     """
     if start_ids is None:
         start_ids = next_payload_ids(state)
-    raw = with_payload_ids(well_formed(lines), start_ids)
+    raw = well_formed(lines)
+    numbers = payload_numbers(raw, start_ids)
     projected = project_events(raw, as_of=as_of)
     new, failed = staged_all(
         raw.sparkSession,
@@ -31,7 +32,7 @@ def ingest(
             "actors": lambda: extract_actors(raw, state["actors"]),
             "repos": lambda: extract_repos(raw, state["repos"]),
             "organizations": lambda: extract_orgs(raw, state["organizations"]),
-            "events": lambda: dedupe_events(projected, state.get("events")),
+            "events": lambda: with_payload_ids(dedupe_events(projected, state.get("events")), numbers),
         },
     )
     for error in failed.values():
@@ -39,5 +40,5 @@ def ingest(
     new["metrics"] = ingest_metrics(lines, projected, new["events"], new["actors"], new["repos"])
     new["events"] = new["events"].drop(*LINE)
     for name, project in PAYLOADS.items():
-        new[name] = project(raw).drop(*LINE)
+        new[name] = with_payload_ids(project(raw), numbers).drop(*LINE)
     return new

@@ -8,9 +8,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from eventloom.functions import joins
-from eventloom.functions.scratch import shared_folder
-from eventloom.operators import base_stats, daily_stats, entity_stats, events, leaderboards
+from eventloom.functions import joins, numbering
+from eventloom.functions.scratch import shared_folder, staged
+from eventloom.operators import base_stats, daily_stats, entities, entity_stats, events, leaderboards, payloads
 from eventloom.sinks import tables as sinks
 from eventloom.sources import archive
 from tests.conftest import line, rows, write_hour
@@ -186,3 +186,41 @@ def test_retention_prunes_partitions(stored):
          "user_repo_relation": stored.selectExpr("created_at as last_event_at")}, 20, AS_OF,
     )
     assert "PartitionFilters: [((created_at_date" in plan(kept["events"])
+
+
+def staged_by(module, work):
+    """What ``work`` returns, and the plans of what it staged through ``module``."""
+    plans, original = [], module.staged
+
+    def noting(df, label="stage"):
+        plans.append(plan(df))
+        return original(df, label)
+
+    module.staged = noting
+    try:
+        return work(), plans
+    finally:
+        module.staged = original
+
+
+def test_entities_are_found_without_sorting_lines(spark, parsed, make_actors):
+    raw = archive.well_formed(staged(parsed(*(line(n, actor=n % 5) for n in range(50)))))
+    found, (first,) = staged_by(entities, lambda: entities.extract_actors(raw, make_actors({"actor_id": 1})))
+    before_exchange = first[first.index("functions=[partial_min(") :]
+    before_exchange = before_exchange[: before_exchange.index("FileScan")]
+    assert "SortAggregate" not in first and "Sort [" not in before_exchange and "payload" not in first
+    assert found.count() == 3
+
+
+def test_numbering_moves_neither_payloads_nor_other_kinds(spark, parsed):
+    kinds = ("PushEvent", "IssuesEvent")
+    raw = archive.well_formed(staged(parsed(*(line(n, kinds[n % 2]) for n in range(50)))))
+    numbers, (placed,) = staged_by(numbering, lambda: payloads.payload_numbers(raw))
+    assert "payload" not in placed and "PushedFilters" in placed and numbers.count() == 25
+
+
+def test_relations_read_the_facts_once(stored, make_actors, make_repos):
+    known = make_actors({"actor_id": 1}), make_repos({"repo_id": 1})
+    found, (grouped,) = staged_by(base_stats, lambda: base_stats.relations(stored, *known))
+    assert grouped.count("FileScan parquet") == 1
+    assert "event_type" not in plan(found)
