@@ -8,7 +8,7 @@ tells the optimizer its exact size, so that Spark's own size check
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -54,10 +54,15 @@ def staging_freed(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _in_scope.reset(token)
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for path in paths:
-            files = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            files.delete(folder(path), True)
+        delete_folders(spark, paths)
+
+
+def delete_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders, with all in them, where they exist."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        files = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(folder(path), True)
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:

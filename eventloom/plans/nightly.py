@@ -25,6 +25,8 @@ from eventloom.operators.entity_stats import (
     repo_stats_of,
 )
 from eventloom.operators.leaderboards import active_developers, hot_repos
+from eventloom.schemas import TABLES
+from eventloom.sinks.tables import replace_table
 
 DAILY_DAYS = 30
 
@@ -94,3 +96,14 @@ def update_all(
         [(name, str(error).splitlines()[0]) for name, error in sorted(failed.items())], "name string, error string"
     )
     return results
+
+
+def publish(results: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Store the tables that a refresh updated, each as a new version; returns their paths.
+
+    A table whose update failed is not written, so its stored version stays. Readers
+    of earlier versions go on undisturbed until they are given the new paths.
+    """
+    failed = {row["name"] for row in results["failures"].collect()}
+    kept = [name for name in results if name in TABLES and name not in failed]
+    return {name: replace_table(results[name], f"{root.rstrip('/')}/{name}") for name in kept}

@@ -8,7 +8,7 @@ from datetime import date, datetime, time, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom.functions.counting import one_row, row_counts
-from eventloom.functions.scratch import staged
+from eventloom.functions.scratch import delete_folders, staged
 from eventloom.functions.text import iso_datetimes
 from eventloom.functions.time_windows import day, moment, ntz
 
@@ -41,11 +41,9 @@ def dates_in(df: DataFrame, date_column: str) -> set[date]:
     return {row[0] for row in df.select(date_column).distinct().collect()}
 
 
-def clear_dates(table: DataFrame, path: str, date_column: str, dates) -> None:
-    """Empty the folders of some dates. An empty overwrite touches no other date."""
-    nothing = table.limit(0).drop(date_column)
-    for d in sorted(dates):
-        nothing.write.mode("overwrite").parquet(f"{path}/{date_column}={d:%Y-%m-%d}")
+def clear_dates(spark: SparkSession, path: str, date_column: str, dates) -> None:
+    """Delete the folders of some dates, one call to the file system for each and no job."""
+    delete_folders(spark, (f"{path}/{date_column}={d:%Y-%m-%d}" for d in sorted(dates)))
 
 
 def replace_dates(
@@ -68,7 +66,7 @@ def replace_dates(
     )
     table = rows.sparkSession.read.schema(rows.schema).parquet(path)
     emptied = dates_in(table.where(replaced), date_column) - dates_in(new, date_column)
-    clear_dates(table, path, date_column, emptied)
+    clear_dates(rows.sparkSession, path, date_column, emptied)
 
 
 RETAINED = {
@@ -123,9 +121,9 @@ def expire_relations(spark: SparkSession, path: str, root: str, days: int, as_of
 
 def expire_dates(spark: SparkSession, path: str, date_column: str, days: int, as_of=None) -> None:
     """Age out whole date folders of a stored table without rewriting the rest."""
-    table = spark.read.parquet(path)
+    table = spark.read.schema(f"{date_column} date").parquet(path)  # folders may all be gone
     old = table.where(F.col(date_column) < day(cutoff_date(days, as_of)))
-    clear_dates(table, path, date_column, dates_in(old, date_column))
+    clear_dates(spark, path, date_column, dates_in(old, date_column))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

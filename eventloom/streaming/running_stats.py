@@ -1,8 +1,7 @@
 """Statistics kept current after every insert of the event stream.
 
-A batch leaves only its increments behind. To keep their number small, write
-the current tables from time to time and let the stream go on with new, empty
-increment tables.
+A batch leaves only its increments behind. ``compact`` folds them from time to
+time, so that they do not grow with the number of batches.
 """
 
 from __future__ import annotations
@@ -41,6 +40,16 @@ def increment_tables(spark: SparkSession, root: str) -> dict[str, BatchTable]:
     return {n: BatchTable(spark, f"{root}/{n}", s).create() for n, s in schemas.items()}
 
 
+def compact(tables: dict[str, BatchTable], root: str) -> dict[str, BatchTable]:
+    """The increment tables with all batches before the last folded, below ``root``."""
+    folds = {
+        "actors": lambda rows: coarser(rows.drop(BATCH), "actor_id"),
+        "repos": lambda rows: coarser(rows.drop(BATCH), "repo_id"),
+        "relations": folded_relations,
+    }
+    return {name: table.compacted(f"{root}/{name}", folds[name]) for name, table in tables.items()}
+
+
 def counters(tables: dict[str, BatchTable]) -> AfterInsert:
     """Record what a batch adds to its actors and repositories."""
 
@@ -70,6 +79,16 @@ def relation_updates(tables: dict[str, BatchTable]) -> AfterInsert:
     return step
 
 
+def folded_relations(rows: DataFrame) -> DataFrame:
+    """One row per relation: first times of its first batch, last time of its latest."""
+    return rows.groupBy(*RELATION_KEY).agg(
+        F.min_by("relation_time", BATCH).alias("relation_time"),
+        F.min_by("first_event_at", BATCH).alias("first_event_at"),
+        F.max_by("last_event_at", BATCH).alias("last_event_at"),
+        F.sum("event_count").alias("event_count"),
+    )
+
+
 def current_relations(
     tables: dict[str, BatchTable],
     actors: DataFrame,
@@ -82,13 +101,7 @@ def current_relations(
     from the latest one, as if every batch had been merged in turn.
     """
     known = keep_known(tables["relations"].read(), {"actor_id": actors, "repo_id": repos})
-    folded = known.groupBy(*RELATION_KEY).agg(
-        F.min_by("relation_time", BATCH).alias("relation_time"),
-        F.min_by("first_event_at", BATCH).alias("first_event_at"),
-        F.max_by("last_event_at", BATCH).alias("last_event_at"),
-        F.sum("event_count").alias("event_count"),
-    )
-    return merge_relations(folded, prior)
+    return merge_relations(folded_relations(known), prior)
 
 
 def daily_updates(store: BatchTable, path: str) -> AfterInsert:

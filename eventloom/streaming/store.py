@@ -8,6 +8,7 @@ increments, added up on reading, and never by rewriting large state.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -16,6 +17,8 @@ from pyspark.sql.types import StructType
 
 BATCH = "batch_id"
 
+Fold = Callable[[DataFrame], DataFrame]
+
 
 @dataclass(frozen=True)
 class BatchTable:
@@ -63,3 +66,20 @@ class BatchTable:
 
     def rows(self) -> DataFrame:
         return self.read().drop(BATCH)
+
+    def compacted(self, path: str, fold: Fold | None = None) -> BatchTable:
+        """A new table at ``path`` in which all batches before the last are one.
+
+        ``fold`` combines their rows; without it they are only gathered into fewer
+        files. The last batch stays by itself, because a stream that was stopped may
+        run it again. Call this between runs and start the stream on the new table;
+        this one is left as it is.
+        """
+        new = BatchTable(self.spark, path, self.schema, self.partitions).create()
+        last = self.read().agg(F.max(BATCH)).first()[0]
+        if last is not None:
+            before = self.read().where(F.col(BATCH) < last)
+            folded = fold(before) if fold else before
+            new.write(folded if self.partitions else folded.hint("rebalance"), last - 1)
+            new.write(self.read().where(F.col(BATCH) == last), last)
+        return new

@@ -25,7 +25,7 @@ from eventloom.operators import (
 )
 from eventloom.plans import load
 from eventloom.plans.ingest import ingest
-from eventloom.plans.nightly import update_all
+from eventloom.plans.nightly import publish, update_all
 from eventloom.plans.tables import completed
 from eventloom.sinks import tables as sinks
 from eventloom.sources import archive
@@ -37,6 +37,7 @@ CUT_OFF_HOUR, ABSENT_HOUR = 6, 12
 RETENTION_DAYS = 20
 _archives: dict[tuple[str, str], str] = {}
 _loads: dict[tuple[str, str], dict] = {}
+_refreshes: dict[tuple[str, str], dict[str, str]] = {}
 
 
 def archive_of(spark: SparkSession, sf_dir: str) -> str:
@@ -672,6 +673,35 @@ def update_all_(t: Given) -> DataFrame:
     return result
 
 
+def refreshed(t: Given) -> dict[str, str]:
+    """The paths of the tables that a full refresh published."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _refreshes:
+        after = update_all({"events": t.events, "actors": t.actors, "repos": t.repos}, AS_OF)
+        _refreshes[key] = publish(after, t.path("published"))
+    return _refreshes[key]
+
+
+#: The columns that a refresh changes in tables that have others as well.
+REFRESHED = {
+    "hot_repos": ("*",),
+    "active_developers": ("*",),
+    "actor_stats_cache": ("*",),
+    "repo_stats_cache": ("*",),
+    "event_stats_daily": ("*",),
+    "actors": ("actor_id", "total_events", "last_active_at"),
+    "repos": ("repo_id", "total_events", "total_stars", "total_forks", "last_event_at"),
+    "user_repo_relation": ("*",),
+}
+
+
+def published(name: str, columns: tuple[str, ...]) -> Query:
+    return lambda t: t.spark.read.parquet(refreshed(t)[name]).select(*columns)
+
+
+REGISTRY |= {f"update_all_{name}": published(name, columns) for name, columns in REFRESHED.items()}
+
+
 # --- views -------------------------------------------------------------------------
 
 
@@ -779,6 +809,15 @@ def stream_relations(t: Given) -> DataFrame:
     return running_stats.current_relations(tables, t.actors, t.repos)
 
 
+@query
+def stream_relations_compacted(t: Given) -> DataFrame:
+    """The same relations once the increments have been folded."""
+    tables = running_stats.increment_tables(t.spark, t.path("increments"))
+    run_stream(t, lambda _: running_stats.relation_updates(tables))
+    folded = running_stats.compact(tables, t.path("folded"))
+    return running_stats.current_relations(folded, t.actors, t.repos)
+
+
 @query
 def stream_daily_stats(t: Given) -> DataFrame:
     path = t.path("stream-daily")

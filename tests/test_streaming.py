@@ -91,6 +91,34 @@ def test_relations_follow_the_order_of_batches(spark, tmp_path, make_actors, mak
     assert star.event_count == 3
 
 
+def test_folded_increments_give_the_same_totals(spark, tmp_path, make_actors, make_repos):
+    tables = running.increment_tables(spark, str(tmp_path / "increments"))
+    steps = (lambda _: running.counters(tables), lambda _: running.relation_updates(tables))
+    store = run(spark, tmp_path, *steps)
+    add_hour(tmp_path / "archive", 3, [line(60 + n, "WatchEvent", time="2024-01-05T03:00:00Z") for n in range(4)])
+    run(spark, tmp_path, *steps)
+    actors, repos = make_actors(*({"actor_id": n} for n in (1, 2, 3))), make_repos({"repo_id": 1})
+
+    def state(of):
+        return (
+            rows(running.current_actors(of, actors), "actor_id"),
+            rows(running.current_repos(of, repos), "repo_id"),
+            rows(running.current_relations(of, actors, repos), "actor_id", "relation_type"),
+        )
+
+    folded = running.compact(tables, str(tmp_path / "folded"))
+    assert state(folded) == state(tables)
+    assert rows(folded["actors"].read().groupBy("batch_id").count(), "batch_id") == [(1, 3), (2, 1)]
+    # The last batch may run again, and the stream goes on, on the folded tables.
+    running.counters(folded)(store.read().where("batch_id = 2").drop("batch_id"), 2)
+    assert state(folded) == state(tables)
+    events = store.compacted(str(tmp_path / "fewer"))
+    assert rows(events.rows(), "gh_event_id") == rows(store.rows(), "gh_event_id")
+    assert rows(events.read().select("batch_id").distinct(), "batch_id") == [(1,), (2,)]
+    empty = running.increment_tables(spark, str(tmp_path / "none"))
+    assert running.compact(empty, str(tmp_path / "still-none"))["repos"].rows().count() == 0
+
+
 def test_daily_statistics_stay_exact(spark, tmp_path):
     path = str(tmp_path / "daily")
     run(spark, tmp_path, lambda store: running.daily_updates(store, path))

@@ -11,7 +11,7 @@ import pytest
 
 from eventloom.operators import browse
 from eventloom.operators.upsert import ADD, GREATEST, KEEP, REPLACE, upsert
-from eventloom.plans.nightly import update_all
+from eventloom.plans.nightly import publish, update_all
 from eventloom.sinks import tables as sinks
 from tests.conftest import rows
 
@@ -87,6 +87,9 @@ def test_stored_dates_expire(spark, month, tmp_path):
     sinks.expire_dates(spark, path, "created_at_date", 20, AS_OF)
     kept = spark.read.schema(month.schema).parquet(path).select(*month.columns)
     assert rows(kept, "gh_event_id") == rows(month.where("created_at_date >= '2024-01-11'"), "gh_event_id")
+    for _ in range(2):  # all dates, then none that are left
+        sinks.expire_dates(spark, path, "created_at_date", 0, AS_OF)
+    assert spark.read.schema(month.schema).parquet(path).count() == 0
 
 
 def test_csv_survives_quotes_commas_and_line_breaks(spark, tmp_path):
@@ -243,6 +246,19 @@ def test_refresh_keeps_old_dates_and_adds_only_the_batch(spark, month, dimension
     assert {r.name for r in after["summary"].collect()} == set(browse.SUMMARY_TABLES)
 
 
+def test_a_refresh_is_published_beside_the_earlier_one(spark, month, dimensions, tmp_path):
+    state = {"events": month, **dimensions}
+    first = publish(update_all(state, AS_OF), str(tmp_path))
+    assert set(first) == {
+        "hot_repos", "active_developers", "actor_stats_cache", "repo_stats_cache", "event_stats_daily",
+        "actors", "repos", "user_repo_relation",
+    }
+    stored = spark.createDataFrame([(1,)], "unexpected bigint")
+    second = publish(update_all({**state, "user_repo_relation": stored}, AS_OF), str(tmp_path))
+    assert set(first) - set(second) == {"user_repo_relation"} and not set(first.values()) & set(second.values())
+    assert spark.read.parquet(first["actors"]).agg({"total_events": "sum"}).first()[0] == 280
+
+
 def test_refresh_survives_a_failing_table(spark, month, dimensions):
     stored = spark.createDataFrame([(1,)], "unexpected bigint")
     state = {"events": month, "user_repo_relation": stored, **dimensions}
