@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+def limited(df: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` rows; all of them where ``n`` is None."""
+    return df if n is None else df.limit(n)
+
+
 def top_ranked(df: DataFrame, k: int, *order: Column, rank: str = "rank_position") -> DataFrame:
     """The first ``k`` rows in ``order``, numbered from 1.
 

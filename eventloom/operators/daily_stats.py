@@ -6,6 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
+from eventloom.functions.ranking import limited
 from eventloom.functions.time_windows import CALENDAR, day, last_days, moment
 
 
@@ -34,14 +35,14 @@ def daily_stats_recent(events: DataFrame, days: int = 30, as_of=None) -> DataFra
     return recent.orderBy(F.desc("stats_date"), F.desc("total_count"), F.asc("event_type"))
 
 
-def recent_daily_summary(stats: DataFrame, as_of=None) -> DataFrame:
-    """Sums over the newest 3 dates from three days ago on.
+def recent_daily_summary(stats: DataFrame, as_of=None, n: int | None = 3) -> DataFrame:
+    """Sums over the newest ``n`` dates (None: all) from three days ago on.
 
     Distinct counts of several types are added up, so an actor active in two
     types counts twice.
     """
     first = moment(as_of).date() - timedelta(days=3)
-    return (
+    sums = (
         stats.where(F.col("stats_date") >= day(first))
         .groupBy("stats_date")
         .agg(
@@ -50,6 +51,5 @@ def recent_daily_summary(stats: DataFrame, as_of=None) -> DataFrame:
             F.sum("unique_actors").alias("total_actors"),
             F.sum("unique_repos").alias("total_repos"),
         )
-        .orderBy(F.desc("stats_date"))
-        .limit(3)
     )
+    return limited(sums.orderBy(F.desc("stats_date")), n)

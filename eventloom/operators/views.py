@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventloom.functions.joins import keep_known
+from eventloom.functions.ranking import limited
 from eventloom.functions.time_windows import CALENDAR, last_days, day, window_start
 
 RECENT_ROWS = 10_000
@@ -12,19 +13,19 @@ BOARD_ROWS = 100
 
 
 def recent_events_summary(
-    events: DataFrame, actors: DataFrame, repos: DataFrame, as_of=None, n: int = RECENT_ROWS
+    events: DataFrame, actors: DataFrame, repos: DataFrame, as_of=None, n: int | None = RECENT_ROWS
 ) -> DataFrame:
     """The newest events of the last 7 days with actor and repository details.
 
     Events of unknown actors or repositories must not take up places, so they
     are removed first. The newest rows are then chosen before the joins, which
-    leaves the details to be joined to ``n`` rows at most.
+    leaves the details to be joined to ``n`` rows at most (None: no limit).
     """
     window = events.where(last_days(7, as_of)).select(
         "gh_event_id", "event_type", "created_at", "actor_id", "repo_id", "actor_login", "repo_name"
     )
     known = keep_known(window, {"actor_id": actors, "repo_id": repos})
-    newest = known.orderBy(F.desc("created_at"), F.asc("gh_event_id")).limit(n)
+    newest = limited(known.orderBy(F.desc("created_at"), F.asc("gh_event_id")), n)
     details = newest.join(actors.select("actor_id", "display_login"), "actor_id").join(
         repos.select("repo_id", "total_stars", "total_forks"), "repo_id"
     )
@@ -41,53 +42,45 @@ def recent_events_summary(
     ).orderBy(F.desc("created_at"), F.asc("gh_event_id"))
 
 
-def trending_repos_view(board: DataFrame, repos: DataFrame) -> DataFrame:
-    """The repository leaderboard with stored totals."""
+def trending_repos_view(board: DataFrame, repos: DataFrame, n: int | None = BOARD_ROWS) -> DataFrame:
+    """The first ``n`` of the repository leaderboard (None: all) with stored totals."""
     contributors_7d = (
         F.col("contributors_7d") if "contributors_7d" in board.columns else F.lit(0).cast("bigint")
     )
     totals = repos.select("repo_id", "total_stars", "total_forks", "total_contributors")
-    return (
-        board.join(totals, "repo_id")
-        .select(
-            "repo_id",
-            "repo_name",
-            "total_stars",
-            "total_forks",
-            "total_contributors",
-            "score",
-            "stars_7d",
-            "forks_7d",
-            "prs_7d",
-            contributors_7d.alias("contributors_7d"),
-            "rank_position",
-        )
-        .orderBy("rank_position")
-        .limit(BOARD_ROWS)
+    detailed = board.join(totals, "repo_id").select(
+        "repo_id",
+        "repo_name",
+        "total_stars",
+        "total_forks",
+        "total_contributors",
+        "score",
+        "stars_7d",
+        "forks_7d",
+        "prs_7d",
+        contributors_7d.alias("contributors_7d"),
+        "rank_position",
     )
+    return limited(detailed.orderBy("rank_position"), n)
 
 
-def active_developers_view(board: DataFrame, actors: DataFrame) -> DataFrame:
-    """The developer leaderboard with stored totals."""
+def active_developers_view(board: DataFrame, actors: DataFrame, n: int | None = BOARD_ROWS) -> DataFrame:
+    """The first ``n`` of the developer leaderboard (None: all) with stored totals."""
     totals = actors.select("actor_id", "total_events", "total_repos", "last_active_at")
-    return (
-        board.join(totals, "actor_id")
-        .select(
-            "actor_id",
-            "actor_login",
-            "activity_score",
-            "commits_7d",
-            "prs_7d",
-            "issues_7d",
-            "repos_7d",
-            "rank_position",
-            "total_events",
-            "total_repos",
-            "last_active_at",
-        )
-        .orderBy("rank_position")
-        .limit(BOARD_ROWS)
+    detailed = board.join(totals, "actor_id").select(
+        "actor_id",
+        "actor_login",
+        "activity_score",
+        "commits_7d",
+        "prs_7d",
+        "issues_7d",
+        "repos_7d",
+        "rank_position",
+        "total_events",
+        "total_repos",
+        "last_active_at",
     )
+    return limited(detailed.orderBy("rank_position"), n)
 
 
 def repo_detail_stats(repos: DataFrame, stats: DataFrame) -> DataFrame:

@@ -199,3 +199,41 @@ def test_weighted_board_equals_four_joins(small, repos):
     expected = joined.withColumn("score", F.expr(score)).where("score > 0")
     board = leaderboards.hot_repos(small, repos, AS_OF, "weighted").select(*expected.columns)
     assert rows(board, "repo_id") == rows(expected, "repo_id")
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """12,000 recent events: 1,500 actors and repositories, 25 types."""
+    kinds = F.array(*(F.lit(f"{k}Event") for k in ["Watch", "Push", *(f"Kind{n:02d}" for n in range(23))]))
+    n = F.col("id")
+    return spark.range(12_000).select(
+        n.alias("gh_event_id"),
+        F.element_at(kinds, (F.when(n < 6000, n % 2).otherwise(n % 25) + 1).cast("int")).alias("event_type"),
+        F.expr("TIMESTAMP_NTZ'2024-01-31 11:00:00' - make_dt_interval(0, 0, 0, id)").alias("created_at"),
+        F.lit(date(2024, 1, 31)).alias("created_at_date"),
+        (n % 1500).alias("actor_id"),
+        (n % 1500).alias("repo_id"),
+        F.lit("someone").alias("actor_login"),
+        F.lit("org/repo").alias("repo_name"),
+    )
+
+
+def test_limits_that_are_exceeded(many, make_actors, make_repos):
+    actors = make_actors(*({"actor_id": n} for n in range(1500)))
+    repos = make_repos(*({"repo_id": n} for n in range(1500)))
+    newest = rows(views.recent_events_summary(many, actors, repos, AS_OF).select("gh_event_id"))
+    assert newest == [(n,) for n in range(10_000)]
+    assert views.recent_events_summary(many, actors, repos, AS_OF, None).count() == 12_000
+    types = rows(overview.event_types(many).select("event_type"))
+    assert len(types) == 20 and ("WatchEvent",) in types and ("Kind22Event",) not in types
+
+    for board, key, view, table in (
+        (leaderboards.hot_repos(many, repos, AS_OF, "weighted"), "repo_id", views.trending_repos_view, repos),
+        (leaderboards.active_developers(many, actors, AS_OF, "weighted"), "actor_id", views.active_developers_view, actors),
+    ):
+        ranked = rows(board.select("rank_position", "score" if key == "repo_id" else "activity_score", key), "rank_position")
+        assert [r[0] for r in ranked] == list(range(1, 1001))
+        assert ranked == sorted(ranked, key=lambda r: (-r[1], r[2]))
+        shown = rows(view(board, table).select("rank_position"))
+        assert shown == [(n,) for n in range(1, 101)]
+        assert view(board, table, None).count() == 1000
