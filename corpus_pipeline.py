@@ -17,27 +17,40 @@ from eventloom.llm.queries import QUERIES as OPERATOR_QUERIES, table
 LEAST_SCORE = 0.4
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps texts in a learned language: not ``und``, nor a mixture without a main language."""
     field = language.learn(docs)
-    judged = language.identified(docs.withColumn("lang_pred", F.lit(None).cast("string")), field)
-    kept = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    return judged.where(kept).select(docs.columns)
+    predicted, score = unused(docs, "predicted"), unused(docs, "score")
+    judged = language.identified(docs, field, names=(predicted, score))
+    return judged.where((F.col(predicted) != language.UNDETERMINED) & (F.col(score) >= LEAST_SCORE)).drop(predicted, score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each group of near-duplicates."""
-    classes = simhash.near_duplicates(docs)
-    kept = classes.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"])
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id"])
+    """Keeps the document of smallest id of each group of near-duplicates.
+
+    Texts are told apart by more than their id, so different ones that share an id, or
+    have none, are groups of their own; of repeated rows one stays.
+    """
+    mark = unused(docs, "text_mark")
+    marked = docs.withColumn(mark, simhash.text_mark(F.col("text")))
+    kept = simhash.representatives(simhash.near_duplicates(docs)).toDF("kept_id", "kept_mark")
+    same = marked["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (marked[mark] == kept["kept_mark"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", mark]).drop(mark)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of the benchmark."""
+    """Drops documents that hold a window of the benchmark, not others that share their id."""
     found = decontaminate.matched(docs, table(spark, sf_dir, "benchmark"))
-    dirty = found.where("n_hit > 0").select(F.col("doc_id").alias("dirty_id")).distinct()
-    return docs.join(dirty, docs["doc_id"].cast("long").eqNullSafe(dirty["dirty_id"]), "left_anti")
+    dirty = found.where("n_hit > 0").select(F.col("row").alias("dirty_row")).distinct()
+    return docs.join(dirty, decontaminate.row_name(docs["doc_id"], docs["text"]) == dirty["dirty_row"], "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

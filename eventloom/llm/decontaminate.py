@@ -39,6 +39,11 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
+def row_name(doc_id: Column, text: Column) -> Column:
+    """Names a row in every pass over the documents; equal rows have equal results."""
+    return F.concat_ws(":", doc_id.cast("string"), F.hex(F.xxhash64(text)), F.length(text))
+
+
 def windows_of(benchmark: DataFrame, window: int) -> DataFrame:
     """item_id (as text) and the words of each of its windows, without repeats."""
     items = benchmark.select(
@@ -162,13 +167,14 @@ def occurrences(found: DataFrame, windows: DataFrame, window: int, shingle: int)
 
 
 def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, items (array of item ids as text, sorted).
+    """Per document: row, doc_id, n_words, n_hit, items (array of item ids as text, sorted).
 
     A word is hit if it lies in an occurrence of a window; ``items`` are those with
     windows that occur. Null texts have no words and match nothing; an item without
     words has no window; a null item id is the item ``null``. Repeated rows give a row
-    each; a null doc_id is kept. Only doc_id, item_id and text are read. Empty tables
-    give no row, or no hits.
+    each; a null doc_id is kept; ``row`` is the document's ``row_name``, which tells
+    texts that share a doc_id apart. Only doc_id, item_id and text are read. Empty
+    tables give no row, or no hits.
     """
     windows = staged(windows_of(benchmark, window), "windows")
     distinct = windows.select(
@@ -179,8 +185,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle
     distinct = staged(distinct, "benchmark-shingles")
     blocks = max(1, -(-distinct.count() // MOST_SHINGLES))
     texts = docs.select(
-        # Names a row in every pass over the documents; equal rows have equal results.
-        F.concat_ws(":", F.col("doc_id").cast("string"), F.hex(F.xxhash64("text")), F.length("text")).alias("row"),
+        row_name(F.col("doc_id"), F.col("text")).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
@@ -231,6 +236,7 @@ def joined(counts: DataFrame, hits: list, windows: DataFrame, window: int, shing
         .join(words_hit, "row", "left")
         .join(items, "row", "left")
         .select(
+            "row",
             "doc_id",
             "n_words",
             F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from eventloom.functions.scratch import staged
 from eventloom.llm.text import parts
@@ -34,6 +35,8 @@ LEXICON_SHARE = 1e-4
 MOST_LANGUAGES = 200
 #: The sample: documents per language (at most), and code points of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 240, 1200
+#: Steps of the random draw, so fine that the sample stays bounded for any number of documents.
+DRAWS = 1 << 52
 ROUNDS, RATE, DECAY = 40, 0.5, 1e-4
 UNDETERMINED = "und"
 #: Distinct words that a task counts before it passes its counts on.
@@ -195,7 +198,7 @@ def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(lang, w, n) for lang, of_lang in counts.items() for w, n in of_lang.items()]
         return pa.RecordBatch.from_pylist([dict(zip(("lang", "word", "n"), r)) for r in rows]) if rows else None
 
-    for batch in batches:
+    for batch in parts(batches, "text"):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             counts.setdefault(lang, Counter()).update(words_in(text))
             if sum(map(len, counts.values())) > COUNTED:
@@ -208,7 +211,7 @@ def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(labelled: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Field:
     """A field from ``text`` and ``lang`` of ``labelled``; rows without lang are left out.
 
-    ``doc_id`` only chooses the sample: at most ``per_language`` documents of each
+    ``doc_id`` and text choose the sample: at most ``per_language`` documents of each
     language, ``chars`` code points from a place that its hash names.
     """
     rows = labelled.where("lang is not null").select(
@@ -233,11 +236,11 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAM
     membership = np.zeros((len(lexicon), len(languages)))
     if places:
         membership[tuple(np.array(places).T)] = 1
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(DRAWS))
     kept = F.lit(False)
     for row in sizes:
         share = min(1.0, 1.5 * per_language / row["count"])
-        kept = kept | ((F.col("lang") == row["lang"]) & (draw < share * (1 << 20)))
+        kept = kept | ((F.col("lang") == row["lang"]) & (draw < share * DRAWS))
     place = 1 + F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.greatest(F.length("text") - chars, F.lit(1)))
     drawn = rows.where(kept).select("lang", draw.alias("draw"), F.substr("text", place.cast("int"), F.lit(chars)).alias("text"))
     taken: Counter = Counter()
@@ -268,15 +271,17 @@ def label_texts(texts: list[str | None], field: Field) -> list[tuple[str, float]
     ]
 
 
-def identified(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score; columns of these names are replaced.
+def identified(
+    docs: DataFrame, field: Field, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """``docs`` with language and score under ``names``; columns of these names are replaced.
 
     ``und`` with score 0 where a text is null or has no letter, or where the field has
     learned no language. Every row is labelled for itself, by its text alone, so
     repeated rows get equal labels; an empty table gives no row.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(field))  # bounded by languages, BUCKETS and LEXICON_SHARE
-    own = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    own = [c for c in docs.columns if c not in names]
 
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = Field(**shared.value)
@@ -288,11 +293,12 @@ def identified(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
                     pa.array([name for name, _ in labels], pa.string()),
                     pa.array([score for _, score in labels], pa.float64()),
                 ],
-                [*own, "lang_pred", "score"],
+                [*own, *names],
             )
 
-    schema = docs.select(own).schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(own).mapInArrow(label, schema)
+    kept = docs.select(*(F.col(f"`{c}`") for c in own))
+    schema = StructType([*kept.schema.fields]).add(names[0], "string").add(names[1], "double")
+    return kept.mapInArrow(label, schema)
 
 
 def held_out(doc_id: Column) -> Column:

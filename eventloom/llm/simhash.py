@@ -18,7 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from eventloom.functions.scratch import staged
@@ -56,8 +56,13 @@ def fingerprint(text: bytes, words_in_shingle: int) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.int64)[0])
 
 
+def text_mark(text: Column) -> Column:
+    """A number that tells texts under one doc_id apart."""
+    return F.xxhash64(text.cast("string"))
+
+
 def fingerprints(docs: DataFrame, words_in_shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fingerprint (long) of every row; null texts have no words."""
+    """doc_id, text_mark and fingerprint (longs) of every row; null texts have no words."""
 
     def of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, "text"):
@@ -67,11 +72,16 @@ def fingerprints(docs: DataFrame, words_in_shingle: int = SHINGLE_WORDS) -> Data
                 for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values, pa.int64())], ["doc_id", "fingerprint"]
+                [batch.column("doc_id"), batch.column("text_mark"), pa.array(values, pa.int64())],
+                ["doc_id", "text_mark", "fingerprint"],
             )
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return wanted.mapInArrow(of_batches, "doc_id long, fingerprint long")
+    wanted = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_mark(F.col("text")).alias("text_mark"),
+        F.col("text").cast("string").alias("text"),
+    )
+    return wanted.mapInArrow(of_batches, "doc_id long, text_mark long, fingerprint long")
 
 
 def probes(distance: int) -> list[tuple[int, ...]]:
@@ -177,7 +187,10 @@ def links(entries: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words_in_shingle: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """Per document: doc_id, fingerprint (long), component_id (smallest doc_id reachable).
+    """Per document: doc_id, text_mark, fingerprint (long), root, component_id (smallest doc_id reachable).
+
+    ``root`` is one fingerprint of the component and names it, also where texts of
+    several components share a doc_id or have none.
 
     Texts without words, null ones included, have fingerprint 0, which is linked like
     any other. Repeated rows get a row each; null doc_ids count as larger than all
@@ -192,5 +205,15 @@ def near_duplicates(docs: DataFrame, words_in_shingle: int = SHINGLE_WORDS, dist
     )
     hung = staged(hung, "hung")
     named = hung.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = staged(hung.join(named, "root").select("fingerprint", "component_id"), "classes")
-    return marked.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    classes = staged(hung.join(named, "root").select("fingerprint", "root", "component_id"), "classes")
+    return marked.join(classes, "fingerprint").select("doc_id", "text_mark", "fingerprint", "root", "component_id")
+
+
+def representatives(classes: DataFrame) -> DataFrame:
+    """doc_id and text_mark of one document of each component of ``near_duplicates``: that of smallest id."""
+    return (
+        classes.where("doc_id <=> component_id")
+        .groupBy("root")
+        .agg(F.min("doc_id").alias("doc_id"), F.min("text_mark").alias("text_mark"))
+        .select("doc_id", "text_mark")
+    )

@@ -72,6 +72,34 @@ def test_odd_rows_pass_all_stages(spark, odd, documents, tmp_path):
     assert docs.count() > 0
 
 
+def test_texts_that_share_an_id_are_judged_apart(spark, documents):
+    clean = [r.text for r in documents.where("lang = 'en' and n_chars between 300 and 3000").orderBy("doc_id").limit(40).collect()]
+    prints = {t: test_simhash.plain_fingerprint(t) for t in clean}
+    apart = [t for t in prints if all(t == o or ((prints[t] ^ prints[o]) & (1 << 64) - 1).bit_count() > 3 for o in prints)][:6]
+    assert len(apart) == 6
+    rows = [(7, apart[0]), (7, apart[1]), (7, apart[1]), (None, apart[2]), (None, apart[3]), (8, apart[4]), (9, apart[4])]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], documents.schema)
+    docs = docs.selectExpr("*", "'x' AS text_mark", "'y' AS score", "'z' AS predicted", "'w' AS row")
+    stages = dict(corpus_pipeline.STAGES)
+
+    kept = stages["simhash_near_dedup"](spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    left = [(7, apart[0]), (7, apart[1]), (None, apart[2]), (None, apart[3]), (8, apart[4])]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(left)
+    assert {(r.text_mark, r.score, r.predicted, r.row) for r in kept.collect()} == {("x", "y", "z", "w")}
+
+    item = next(r.text for r in table(spark, SMALL, "benchmark").collect() if len(r.text.split()) >= 12)
+    dirty = spark.createDataFrame([(7, item, "en", "a", 1, "x", "y", "z", "w"), (None, item, "en", "a", 1, "x", "y", "z", "w")], docs.schema)
+    clean_rows = stages["decontamination"](spark, docs.union(dirty), SMALL)
+    assert Counter((r.doc_id, r.text) for r in clean_rows.collect()) == Counter(
+        (r.doc_id, r.text) for r in stages["decontamination"](spark, docs, SMALL).collect()
+    )
+    assert all(r.text != item for r in clean_rows.collect()) and clean_rows.count() > 0
+
+    spoken = stages["language_id"](spark, docs, SMALL)
+    assert spoken.columns == docs.columns and {(r.score, r.predicted) for r in spoken.collect()} == {("y", "z")}
+
+
 def test_empty_documents_pass_all_stages(spark, documents):
     docs = documents.limit(0)
     for _, stage in corpus_pipeline.STAGES:
