@@ -3,12 +3,14 @@
 Every document of a source is due the same expected number of copies (times its
 boost): target words / words of the source. The whole part is allotted for certain.
 For the rest, p, documents are ranked by random odds over inclusion odds,
-Q = (u / (1 - u)) / (p / (1 - p)), and taken in that order until the source's words
-are reached; what then still fits among the next few in rank fills the gap.
+Q = (u / (1 - u)) / (p / (1 - p)), and looked at in that order: one is taken if it
+fits in what its source's words leave, until none that fits is left.
 
 Sizes are summed per rank bucket, so that no source is ever sorted as a whole: only
-the bucket in which a source's words run out is ranked row by row. The outcome is a
-small table of cutoffs per source, which any frame of documents can be held against.
+the bucket in which a source's words run out is ranked row by row. What is left of
+the words only shrinks, so documents that are larger never fit again, and the ranks
+after are summed anew, in passes, over those that do. The outcome is a small table per
+source, the words left after a rank, which any frame of documents can be held against.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from eventloom.functions.scratch import staged
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
-#: Documents per rank bucket, and documents after the cutoff that may fill the gap.
-BUCKET_ROWS, FILLERS = 1024, 64
+#: Documents per rank bucket, and documents after its cutoff that a pass ranks one by one.
+BUCKET_ROWS, PASS_ROWS = 1024, 64
+#: Documents after the cutoff that may fill the gap: all, in as many passes as it takes.
+FILLERS = float("inf")
 UNIFORM_BITS = 52
 #: The columns that stand for one document's place in the ranking.
 RANK = ("q", "doc_id", "size")
@@ -96,84 +100,105 @@ def ranked(documents: DataFrame, shares: DataFrame, most: int, seed: int) -> Dat
 
 
 def cutoffs(documents: DataFrame, shares: DataFrame, most: int = MOST_COPIES, seed: int = 1) -> DataFrame:
-    """``shares`` with ``last``, the last rank taken, and ``fillers``, ranks taken after it.
+    """``shares`` with ``room``, the words to fill, and ``steps``, what is left of them after a rank.
 
-    A source's fillers are at most FILLERS ranks, the size of a row here is bounded.
+    A pass adds at most PASS_ROWS + 1 steps to a source. Passes end when all that still
+    fits one by one also fits together; each pass takes what it can, mostly whole
+    buckets, and few of many documents fit after it, so there are few passes.
     """
     rows = documents.count()
     buckets = max(1, -(-rows // BUCKET_ROWS))
     rank = F.struct(*RANK)
-    open_rows = (
-        ranked(documents, shares, most, seed)
-        .where("q is not null")
-        .withColumn("bucket", F.floor(F.col("q") / (1 + F.col("q")) * buckets))
+    all_ranked = ranked(documents, shares, most, seed)
+    open_rows = staged(
+        all_ranked.where("q is not null and size > 0").select(
+            "source", *RANK, F.floor(F.col("q") / (1 + F.col("q")) * buckets).alias("bucket")
+        ),
+        "open-ranks",
     )
-    certain = ranked(documents, shares, most, seed).groupBy("source").agg(
-        F.sum(F.col("certain") * F.col("size")).alias("certain_words"),
-        F.sum(F.col("due") * F.col("size")).alias("due_words"),
-    )
-    wanted = certain.select("source", (F.col("due_words") - F.col("certain_words")).alias("words"))
-    per_bucket = open_rows.groupBy("source", "bucket").agg(
-        F.sum("size").alias("bucket_words"), F.count("*").alias("bucket_rows")
-    )
-    ascending = Window.partitionBy("source").orderBy("bucket")
+    words = F.sum(F.col("due") * F.col("size")) - F.sum(F.col("certain") * F.col("size"))
+    wanted = staged(all_ranked.groupBy("source").agg(F.greatest(words, F.lit(0.0)).alias("room")), "rooms")
+    state = wanted.select(F.col("source").alias("s"), F.col("room").alias("gap"), F.lit(None).alias("seen"))
+    passes: list[DataFrame] = []
+    while True:
+        found = staged(one_pass(open_rows, state, rank), "steps")
+        if not found.take(1):
+            break
+        passes.append(found)
+        state = found.select("s", F.element_at("steps", -1)["left"].alias("gap"), "seen")
+    ends = shares.join(wanted.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    if not passes:  # nothing runs out: every open rank is taken
+        return ends.withColumn("steps", F.lit(None).cast(found.schema["steps"].dataType))
+    steps = passes[0]
+    for more in passes[1:]:
+        steps = steps.union(more)
+    steps = steps.groupBy("s").agg(F.flatten(F.collect_list("steps")).alias("steps"))
+    return ends.join(steps, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+
+
+def one_pass(open_rows: DataFrame, state: DataFrame, rank: Column) -> DataFrame:
+    """For sources whose words run out: s, ``steps`` (after, left), and the last rank ``seen``.
+
+    Only ranks after those seen are looked at, and only sizes that fit in the gap.
+    """
+    fits = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") <= F.col("gap"))
+    if dict(state.dtypes)["seen"] != "void":
+        fits = fits & (rank > F.col("seen"))
+    left = open_rows.join(state, fits).select("s", "gap", *RANK, "bucket")
+    ascending = Window.partitionBy("s").orderBy("bucket")
     up_to = ascending.rowsBetween(Window.unboundedPreceding, 0)
-    # The bucket in which the words run out, and as many more as hold FILLERS rows.
+    # The bucket in which the words run out, and as many more as hold PASS_ROWS rows.
     edge = (
-        per_bucket.join(wanted.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        left.groupBy("s", "bucket")
+        .agg(
+            F.first("gap").alias("gap"),
+            F.sum("size").alias("bucket_words"),
+            F.count("*").alias("bucket_rows"),
+            F.max(rank).alias("bucket_last"),
+        )
         .withColumn("until", F.sum("bucket_words").over(up_to))
-        .where(F.col("until") > F.col("words"))
+        .withColumn("before", F.lag("bucket_last").over(ascending))
+        .where(F.col("until") > F.col("gap"))
         .withColumn("nth", F.row_number().over(ascending))
         .withColumn("rows_before", F.coalesce(F.sum("bucket_rows").over(ascending.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("first_rows", F.first("bucket_rows").over(ascending))
-        .where((F.col("nth") == 1) | (F.col("rows_before") - F.col("first_rows") < FILLERS))
+        .where((F.col("nth") == 1) | (F.col("rows_before") - F.col("first_rows") < PASS_ROWS))
         .select(
-            F.col("source").alias("s"),
+            F.col("s").alias("of_s"),
             F.col("bucket").alias("b"),
-            "words",
             F.first(F.col("until") - F.col("bucket_words")).over(ascending).alias("words_before"),
+            F.first("before").over(ascending).alias("before"),
         )
     )
-    by_rank = Window.partitionBy("source").orderBy(*RANK)
+    by_rank = Window.partitionBy("s").orderBy(*RANK)
     near = (
-        open_rows.join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+        left.join(edge, F.col("s").eqNullSafe(F.col("of_s")) & (F.col("bucket") == F.col("b")))
         .withColumn("until", F.col("words_before") + F.sum("size").over(by_rank.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("taken", F.col("until") <= F.col("words"))
+        .withColumn("taken", F.col("until") <= F.col("gap"))
         .withColumn("nth_after", F.sum(F.when(F.col("taken"), 0).otherwise(1)).over(by_rank.rowsBetween(Window.unboundedPreceding, 0)))
-        .where(F.col("nth_after") <= FILLERS)
-        .groupBy("source")
+        .where(F.col("nth_after") <= PASS_ROWS)
+        .groupBy("s")
         .agg(
             F.max(F.when(F.col("taken"), rank)).alias("last_near"),
             F.max(F.when(F.col("taken"), F.col("until"))).alias("until"),
-            F.first("words").alias("words"),
+            F.first("gap").alias("gap"),
             F.first("words_before").alias("words_before"),
-            F.min("bucket").alias("bucket"),
-            F.sort_array(F.collect_list(F.when(~F.col("taken"), rank))).alias("after"),
+            F.first("before").alias("before"),
+            F.max(rank).alias("seen"),
+            F.sort_array(F.collect_list(F.when(~F.col("taken"), rank))).alias("rest"),
         )
     )
-    gap = F.col("words") - F.coalesce("until", "words_before")
-    nothing = F.slice("after", 1, 0)
-
-    def fill(state: Column, x: Column) -> Column:
-        fits = x["size"] <= state["gap"]
-        return F.struct(
-            F.when(fits, state["gap"] - x["size"]).otherwise(state["gap"]).alias("gap"),
-            F.when(fits, F.concat(state["taken"], F.array(x))).otherwise(state["taken"]).alias("taken"),
-        )
 
-    filled = near.select(
-        F.col("source").alias("s"),
-        "bucket",
-        F.lit(buckets).alias("buckets"),
-        "last_near",
-        F.aggregate(
-            "after", F.struct(gap.cast("double").alias("gap"), nothing.alias("taken")), fill, lambda s: s["taken"]
-        ).alias("fillers"),
-    )
-    # Without a row for its source nothing runs out: every open rank is taken.
-    return shares.join(filled, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        *shares.columns, "bucket", "buckets", "last_near", "fillers"
-    )
+    def step(after: Column, gap: Column) -> Column:
+        return F.struct(after.alias("after"), gap.cast("double").alias("left"))
+
+    def fill(steps: Column, x: Column) -> Column:
+        gap = F.element_at(steps, -1)["left"]
+        return F.when(x["size"] <= gap, F.concat(steps, F.array(step(x, gap - x["size"])))).otherwise(steps)
+
+    # The first that fits is always taken, so there is a last rank taken.
+    first = step(F.coalesce("last_near", "before"), F.col("gap") - F.coalesce("until", "words_before"))
+    return near.select("s", F.aggregate("rest", F.array(first), fill).alias("steps"), "seen")
 
 
 def allotted(documents: DataFrame, ends: DataFrame, most: int = MOST_COPIES, seed: int = 1) -> DataFrame:
@@ -183,13 +208,8 @@ def allotted(documents: DataFrame, ends: DataFrame, most: int = MOST_COPIES, see
     its size allows and otherwise joins by shuffle, where it splits a hot source.
     """
     rank = F.struct(*RANK)
-    below = F.floor(F.col("q") / (1 + F.col("q")) * F.col("buckets")) < F.col("bucket")
-    chosen = (
-        F.col("bucket").isNull()
-        | below
-        | F.coalesce(rank <= F.col("last_near"), F.lit(False))
-        | F.coalesce(F.array_contains("fillers", rank), F.lit(False))
-    )
+    too_large = F.exists("steps", lambda step: (step["left"] < F.col("size")) & (step["after"] < rank))
+    chosen = (F.col("size") <= F.col("room")) & ~F.coalesce(too_large, F.lit(False))
     extra = F.when(F.col("q").isNotNull() & chosen, 1).otherwise(0)
     return ranked(documents, ends, most, seed).withColumn("copies", (F.col("certain") + extra).cast("int"))
 
@@ -205,8 +225,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, most=MOST_COPIES, seed=1, boost: Colum
     """Per document: doc_id, source, size, source_size, target (its source's), copies.
 
     Reads doc_id, source, text and what ``boost`` names. ``boost`` makes documents of a
-    source unequal: copies due grow in proportion to it, up to ``most``. Taken words
-    are near the target of a source unless its boosts run into ``most``.
+    source unequal: copies due grow in proportion to it, up to ``most``. Unless boosts
+    run into ``most``, what a source's words lack to its target is less than the
+    smallest of its documents that was due a further copy and did not get it.
 
     Null text has size 0 and so costs nothing; null source is a source, the last one;
     a null boost is 0; null or repeated doc_ids share one random number, and rows equal

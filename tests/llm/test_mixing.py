@@ -98,3 +98,17 @@ def test_odd_rows_have_results(odd):
     assert len(got) == odd.count()
     assert [r for r in got if r[0] == 2] == [(2, None, 0, 0, 0.0, got[[g[0] for g in got].index(2)][5])]
     assert sorted(got, key=repr) == sorted(rows_of(mixing.mix(odd)), key=repr)
+
+
+def test_gap_of_one_dominant_document_is_filled(spark, monkeypatch):
+    long, weights = 30_000, (1, 3)  # "s" has 60,000 words at p = 0.5
+    rows = [(0, "w " * long, "s"), *((i, "w " * (1 + i % 19), "s") for i in range(1, 3001)), (4000, "w " * 60_000, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed, bucket, ahead in ((5, 1024, 64), (1, 16, 2)):
+        monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket)
+        monkeypatch.setattr(mixing, "PASS_ROWS", ahead)
+        all_rows = rows_of(mixing.mix(docs, weights, seed=seed))
+        assert sorted(all_rows) == sorted(brute_force([(d, t, s) for d, t, s in rows], weights, seed=seed))
+        got = [r for r in all_rows if r[1] == "s"]
+        lacking = got[0][4] - sum(r[2] * r[5] for r in got)
+        assert 0 <= lacking < min(r[2] for r in got if r[5] < 1)
