@@ -1,8 +1,12 @@
 """License scans: sentences to known identifiers, identifier sequences to rules.
 
-Native: each text is cut into sentences, sentences are normalised and looked up in a
-catalogue, and the resulting identifier sequence is compared with ordered rules, all
-inside one row. Nothing is shuffled and a long document is one row's work.
+Native: each text is cut into sentences and lines, these are normalised and looked up
+in a catalogue, and the resulting identifier sequence is compared with ordered rules,
+all inside one row. Nothing is shuffled and a long document is one row's work.
+
+A sentence may be wrapped: lines that only a line break parts, without sentence
+punctuation or a blank line, are looked up joined as well, up to the length of the
+longest sentence of the catalogue.
 """
 
 from __future__ import annotations
@@ -52,6 +56,8 @@ RULES = (
     ("MPL-2.0", ("mpl-copy",)),
 )
 SENTENCE_END = r"[.!?:]+[ \t\r\n\f]+|[\r\n]+"
+#: What parts two lines of one sentence: a line break, and not a blank line.
+LINE_BREAKS = ("\n", "\r\n", "\r")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A catalogue is looked up inside each row; a larger one must be given in blocks.
 MOST_SENTENCES = 2000
@@ -66,28 +72,91 @@ def normalized_text(sentence: str) -> str:
     return " ".join("".join(kept).split())
 
 
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def joined(pieces: Column, known: Column, most_words: int, most_chars: int) -> Column:
+    """The longest known sentence that begins with the first of ``pieces``: id, length in pieces."""
+
+    def add(state: Column, piece: Column) -> Column:
+        words = F.when(piece["words"] == "", state["words"]).otherwise(
+            F.ltrim(F.concat(state["words"], F.lit(" "), piece["words"]))
+        )
+        n = state["n"] + 1
+        return F.when(state["open"], let(F.struct(words.alias("words"), F.try_element_at(known, words).alias("id")), lambda x: F.struct(
+            x["words"].alias("words"),
+            (piece["goes_on"] & (F.length(x["words"]) < most_chars)).alias("open"),
+            n.alias("n"),
+            F.coalesce(x["id"], state["id"]).alias("id"),
+            F.when(x["id"].isNotNull(), n).otherwise(state["length"]).alias("length"),
+        ))).otherwise(state)
+
+    nothing = F.struct(
+        F.lit("").alias("words"), F.lit(True).alias("open"), F.lit(0).alias("n"),
+        F.lit(None).cast("string").alias("id"), F.lit(0).alias("length"),
+    )
+    # Between two words there may be one empty piece, a line prefix such as "! ".
+    return F.aggregate(F.slice(pieces, 1, 2 * most_words), nothing, add, lambda x: F.struct(x["id"], x["length"]))
+
+
 def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES, key: str = "doc_id") -> DataFrame:
     """Per document: ``key``, found (array of (sentence number, identifier)), licenses.
 
-    ``found`` has each recognised sentence in the order of the text; ``licenses`` the
-    names, sorted, of those rules whose identifiers follow each other without another
-    recognised sentence between.
+    ``found`` has each recognised sentence in the order of the text, by the number of
+    the sentence or line in which it begins; ``licenses`` the names, sorted, of those
+    rules whose identifiers follow each other without another recognised sentence
+    between. A sentence begins at the start of a line or after another one. Of several
+    that begin at one place the longest counts, and none that begins within the lines
+    of an earlier one.
 
     A null or empty text has none of either. Repeated rows give repeated rows; only
     ``key`` and text are read, so other columns can have any name.
     """
     if len(sentences) > MOST_SENTENCES:
         raise ValueError(f"give the catalogue in blocks of {MOST_SENTENCES} sentences")
-    known = F.create_map(
-        *(F.lit(x) for name, text in sentences.items() for x in (normalized_text(text), name))
-    )
-    cut = F.split(F.coalesce("text", F.lit("")), SENTENCE_END)
-    numbered = F.transform(
-        cut, lambda s, i: F.struct(i.alias("sentence"), F.try_element_at(known, normalized(s)).alias("id"))
-    )
-    found = docs.select(
-        F.col(key), F.filter(numbered, lambda s: s["id"].isNotNull()).alias("found")
-    )
+    texts = {normalized_text(text): name for name, text in sentences.items()}
+    known = F.create_map(*(F.lit(x) for pair in texts.items() for x in pair))
+    most_words = max((len(text.split()) for text in texts), default=1)
+    most_chars = max(map(len, texts), default=0)
+    first_words = sorted({text.split(" ")[0] for text in texts})
+
+    def piece(raw: Column, i: Column, breaks: Column) -> Column:
+        parted = F.try_element_at(breaks, i + 1)
+        words = normalized(raw)
+        # An empty piece is a blank line, or before a mark on the same line a line prefix.
+        prefix = ~F.contains(parted, F.lit("\n")) & ~F.contains(parted, F.lit("\r"))
+        return let(words, lambda w: F.struct(
+            w.alias("words"),
+            F.coalesce(F.when(w == "", prefix).otherwise(parted.isin(*LINE_BREAKS)), F.lit(False)).alias("goes_on"),
+        ))
+
+    def recognised(pieces: Column) -> Column:
+        def at(p: Column, i: Column) -> Column:
+            begins = p["goes_on"] & F.substring_index(p["words"], " ", 1).isin(first_words)
+            alone = F.struct(F.try_element_at(known, p["words"]).alias("id"), F.lit(1).alias("length"))
+            longest = F.when(
+                begins, joined(F.slice(pieces, i + 1, 2 * most_words), known, most_words, most_chars)
+            ).otherwise(alone)
+            return let(longest, lambda x: F.struct(i.alias("sentence"), x["id"].alias("id"), x["length"].alias("length")))
+
+        return F.filter(F.transform(pieces, at), lambda s: s["id"].isNotNull())
+
+    def outermost(found: Column) -> Column:
+        def begins_within(s: Column, i: Column) -> Column:
+            reach = F.least(i, F.lit(2 * most_words))
+            return F.exists(
+                F.slice(found, i - reach + 1, reach), lambda e: e["sentence"] + e["length"] > s["sentence"]
+            )
+
+        kept = F.filter(found, lambda s, i: ~begins_within(s, i))
+        return F.transform(kept, lambda s: F.struct(s["sentence"].alias("sentence"), s["id"].alias("id")))
+
+    text = F.coalesce("text", F.lit(""))
+    breaks = F.regexp_extract_all(text, F.lit(SENTENCE_END), F.lit(0))
+    pieces = let(breaks, lambda b: F.transform(F.split(text, SENTENCE_END), lambda raw, i: piece(raw, i, b)))
+    found = docs.select(F.col(key), let(let(pieces, recognised), outermost).alias("found"))
     order = F.concat(F.lit(" "), F.array_join(F.col("found.id"), "  "), F.lit(" "))
     fits = [
         F.when(F.contains(order, F.lit(f" {'  '.join(ids)} ")), F.lit(name)) for name, ids in rules

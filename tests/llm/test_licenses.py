@@ -45,3 +45,42 @@ def test_odd_rows_and_empty_table(odd, none):
 def test_catalogue_size_is_checked(odd):
     with pytest.raises(ValueError):
         licenses.scan(odd, {str(i): f"s {i}" for i in range(licenses.MOST_SENTENCES + 1)}, ())
+
+
+def test_wrapped_sentences(spark):
+    mit = "The above copyright notice and this permission notice shall be included in\nall copies or substantial portions of the Software.\n"
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided "
+        "that the following conditions are met:\n\n1. Redistributions of source code.\n\n3. Neither the name of the "
+        "copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived "
+        "from\n   this software without specific prior written permission.\n"
+    )
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General "
+        "Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your "
+        "option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT "
+        "ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See "
+        "the\nGNU General Public License for more details.\n"
+    )
+    mpl = (
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was "
+        "not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.\n"
+    )
+    apache = "you may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://x\n"
+    names = ["MIT", "BSD-3-Clause", "GPL-3.0-or-later", "MPL-2.0", "Apache-2.0"]
+    plain = [mit, bsd, gpl, mpl, apache]
+    forms = ["", " * ", "# ", "! ", "// "]
+    texts = ["".join(f"{form}{line}\n" for line in text.splitlines()) for form in forms for text in plain]
+    texts += [text.replace("\n", "\r\n") for text in plain]
+    texts += ["Words before\n" + text + "words after" for text in plain]
+    got = found(spark, texts)
+    assert [got[i][1] for i in range(len(texts))] == [[name] for name in names] * 7
+    split = ["Released under\n\nthe MIT License.", "# Released under\n#\n# the MIT License.", "Released under. the MIT License.", "Released under\nthe\nMIT\n! License."]
+    assert [ids for ids, _ in found(spark, split).values()] == [[], [], [], ["mit-notice"]]
+
+
+def test_longest_wrapped_sentence_counts(spark):
+    sentences = {"a": "one two", "b": "one two three four", "c": "three four", "d": "five"}
+    docs = spark.createDataFrame([(0, "x\none\ntwo\nthree\nfour\nfive\none\ntwo\nthree four"), (1, "one two\nthree\none two\n\nthree\nfour")], "doc_id long, text string")
+    got = {r.doc_id: [(f.sentence, f.id) for f in r.found] for r in licenses.scan(docs, sentences, ()).collect()}
+    assert got == {0: [(1, "b"), (5, "d"), (6, "b")], 1: [(0, "a"), (2, "a"), (3, "c")]}
