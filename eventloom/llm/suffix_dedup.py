@@ -17,6 +17,9 @@ have equal anchors at equal places. So:
    groups, to the depth of LENGTH, by tripling ranks.
 3. The strings found are merged per document and cut out.
 
+A text is named by its doc_id and a hash of itself (``NAME``), which tells texts that
+share a doc_id, or have none, apart; places are in the order of name, then byte.
+
 An anchor that a great many different segments share (a common phrase) is dealt by
 string instead of by anchor, so no task gets a group that grows with the corpus.
 """
@@ -41,6 +44,8 @@ PIECE, BLOCK = 1 << 22, 1 << 20
 PLACE_BITS = 24
 REPEATED, OPEN = 1, 2
 NO_ID = -(1 << 63)
+#: The columns that name a text; ``digest`` is a hash of the text and of whether it has an id.
+NAME = ("doc_id", "digest")
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -100,54 +105,55 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def pieces(batches: Iterable[pa.RecordBatch], length: int):
-    """Ids, bytes, ends and offsets of texts, at most about PIECE bytes at once.
+    """Names, bytes, ends and offsets of texts, at most about PIECE bytes at once.
 
     A longer text comes in pieces that overlap by ``length`` - 1 bytes; an offset is
     the place of a piece in its text.
     """
     for batch in parts(batches, "text", PIECE):
         data, bounds = bytes_of(batch.column("text"))
-        ids = batch.column("doc_id").to_numpy()
+        names = np.stack([batch.column(n).to_numpy() for n in NAME], axis=1)
         if batch.num_rows > 1 or bounds[-1] - bounds[0] <= PIECE + length:
-            yield ids, data[bounds[0] : bounds[-1]], bounds[1:] - bounds[0], np.zeros(len(ids), np.int64)
+            yield names, data[bounds[0] : bounds[-1]], bounds[1:] - bounds[0], np.zeros(len(names), np.int64)
             continue
         for at in range(0, int(bounds[1] - bounds[0]), PIECE):
             piece = data[bounds[0] + at : min(bounds[0] + at + PIECE + length - 1, bounds[1])]
-            yield ids, piece, np.array([len(piece)]), np.array([at])
+            yield names, piece, np.array([len(piece)]), np.array([at])
 
 
 def anchored(batches: Iterable[pa.RecordBatch], length: int, core: int) -> Iterator[pa.RecordBatch]:
     """Segments as rows; those that repeat an earlier one of the same piece as such."""
-    for ids, data, ends, offsets in pieces(batches, length):
+    for names, data, ends, offsets in pieces(batches, length):
         first, count, anchor, lead, text = segments(np.frombuffer(data, np.uint8), ends, length, core)
         if not len(first):
             continue
         spans = zip(first.tolist(), (first + count + length - 1).tolist(), lead.tolist())
         whole = np.fromiter((xxh3_64_intdigest(data[a:b], seed=c) for a, b, c in spans), np.uint64, len(first))
-        doc, start = ids[text], first - (ends[text] - np.diff(ends, prepend=0)[text]) + offsets[text]
-        order = np.lexsort((start, doc, whole, anchor))
+        doc, start = names[text], first - (ends[text] - np.diff(ends, prepend=0)[text]) + offsets[text]
+        order = np.lexsort((start, doc[:, 1], doc[:, 0], whole, anchor))
         new = np.r_[True, (np.diff(anchor[order]) != 0) | (np.diff(whole[order]) != 0)]
         # The first of equals and those at its own place (a repeated row) are not copies.
         head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
         copy = np.empty(len(order), bool)
-        copy[order] = (doc[order] != doc[head]) | (start[order] != start[head])
+        copy[order] = (doc[order] != doc[head]).any(axis=1) | (start[order] != start[head])
         yield arrow(
             kind=np.where(copy, REPEATED, OPEN).astype(np.int32),
-            anchor=signed(np.where(copy, mixed(whole ^ mixed((doc + start).view(np.uint64))), anchor)),  # copies anywhere
+            anchor=signed(np.where(copy, mixed(whole ^ mixed((doc.sum(axis=1) + start).view(np.uint64))), anchor)),  # copies anywhere
             whole=signed(whole),
-            doc_id=doc,
+            doc_id=doc[:, 0],
+            digest=doc[:, 1],
             start=start,
             suffixes=count.astype(np.int32),
         )
 
 
 def told_apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (anchor, whole, doc_id, start): copies, and firsts with a rival.
+    """Rows sorted by (anchor, whole, doc_id, digest, start): copies, and firsts with a rival.
 
     What is held between batches is one row, however many share an anchor.
     """
-    names = ("anchor", "whole", "doc_id", "start", "suffixes")
-    held = np.empty((0, 5), np.int64)
+    names = ("anchor", "whole", *NAME, "start", "suffixes")
+    held = np.empty((0, 6), np.int64)
     rivalled = False  # whether the held first has been given out already
     for batch in batches:
         kinds = batch.column("kind").to_numpy()
@@ -159,7 +165,7 @@ def told_apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)]
         head = rows[np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))]
-        same_place = (rows[:, 2:4] == head[:, 2:4]).all(axis=1)
+        same_place = (rows[:, 2:5] == head[:, 2:5]).all(axis=1)
         gone.append(rows[~new & ~same_place])
         firsts = rows[new]
         shared = firsts[1:, 0] == firsts[:-1, 0]
@@ -176,7 +182,12 @@ def given(gone: np.ndarray, rivals: np.ndarray) -> pa.RecordBatch:
     rows = np.concatenate((gone, rivals))
     kind = np.repeat(np.array([REPEATED, OPEN], np.int32), (len(gone), len(rivals)))
     return arrow(
-        kind=kind, anchor=rows[:, 0], doc_id=rows[:, 2], start=rows[:, 3], suffixes=rows[:, 4].astype(np.int32)
+        kind=kind,
+        anchor=rows[:, 0],
+        doc_id=rows[:, 2],
+        digest=rows[:, 3],
+        start=rows[:, 4],
+        suffixes=rows[:, 5].astype(np.int32),
     )
 
 
@@ -185,8 +196,9 @@ def fetched(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Recor
     for batch in parts(batches, "text", PIECE):
         data, bounds = bytes_of(batch.column("text"))
         marks = batch.column("marks").to_pylist()
-        rows: list[tuple[int, int, int, int, bytes]] = []
-        for doc, at, end, of_doc in zip(batch.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), marks):
+        rows: list[tuple[int, tuple[int, int], int, int, bytes]] = []
+        docs = zip(*(batch.column(n).to_pylist() for n in NAME))
+        for doc, at, end, of_doc in zip(docs, bounds[:-1].tolist(), bounds[1:].tolist(), marks):
             for mark in of_doc:
                 begin, n, anchor = mark["start"], mark["suffixes"], mark["anchor"]
                 text = bytes(data[at + begin : min(at + begin + n + length - 1, end)])
@@ -213,7 +225,7 @@ def fetched(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Recor
                 else:
                     merged.append([doc, start, suffixes])
             doc, start, suffixes = zip(*merged)
-            spread = mixed(np.array(doc, np.int64).view(np.uint64) + mixed(np.array(start, np.uint64)))
+            spread = mixed(np.array(doc, np.int64).sum(axis=1).view(np.uint64) + mixed(np.array(start, np.uint64)))
             yield of_bytes(REPEATED, signed(spread), doc, start, suffixes, [b""] * len(merged))
 
 
@@ -222,12 +234,12 @@ def of_bytes(kind: int, anchor: np.ndarray, doc, start, suffixes, text) -> pa.Re
         [
             pa.array(np.full(len(anchor), kind, np.int32)),
             pa.array(anchor),
-            pa.array(doc, pa.int64()),
+            *(pa.array(part, pa.int64()) for part in zip(*doc)),
             pa.array(start, pa.int64()),
             pa.array(suffixes, pa.int32()),
             pa.array(text, pa.binary()),
         ],
-        ["kind", "anchor", "doc_id", "start", "suffixes", "bytes"],
+        ["kind", "anchor", *NAME, "start", "suffixes", "bytes"],
     )
 
 
@@ -261,18 +273,22 @@ def later_copies(octets: np.ndarray, places: np.ndarray, doc: np.ndarray, start:
     new = np.r_[True, np.diff(keys[order]) != 0]
     head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
     copy = np.empty(len(order), bool)
-    copy[order] = (doc[order] != doc[head]) | (start[order] != start[head])
+    copy[order] = (doc[order] != doc[head]).any(axis=1) | (start[order] != start[head])
     return copy
 
 
 def sorted_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Repeated strings among rows sorted by (anchor, doc_id, start), block by block."""
+    """Repeated strings among rows sorted by (anchor, doc_id, digest, start), block by block."""
+
+    def spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+        return arrow(doc_id=doc[:, 0], digest=doc[:, 1], start=start, end=end)
 
     def work(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = pa.Table.from_batches(rows).combine_chunks()
         old = block.column("kind").to_numpy() == REPEATED
-        doc, start, count = (block.column(n).to_numpy().astype(np.int64) for n in ("doc_id", "start", "suffixes"))
-        yield arrow(doc_id=doc[old], start=start[old], end=start[old] + count[old] - 1 + length)
+        doc = np.stack([block.column(n).to_numpy() for n in NAME], axis=1)
+        start, count = (block.column(n).to_numpy().astype(np.int64) for n in ("start", "suffixes"))
+        yield spans(doc[old], start[old], start[old] + count[old] - 1 + length)
         texts = block.column("bytes").combine_chunks().cast(pa.large_binary())
         texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
         octets = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
@@ -287,9 +303,7 @@ def sorted_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Re
             return
         new = np.flatnonzero(np.r_[True, (np.diff(copy) != 1) | (np.diff(row[copy]) != 0)])
         first, last = copy[new], copy[np.r_[new[1:] - 1, len(copy) - 1]]
-        yield arrow(
-            doc_id=doc[row[first]], start=start[row[first]] + nth[first], end=start[row[last]] + nth[last] + length
-        )
+        yield spans(doc[row[first]], start[row[first]] + nth[first], start[row[last]] + nth[last] + length)
 
     held: list[pa.RecordBatch] = []
     size = 0
@@ -314,40 +328,41 @@ def sorted_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Re
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFrame:
-    """doc_id, start, end: byte spans that, together, cover all later copies.
+    """doc_id, digest, start, end: byte spans that, together, cover all later copies.
 
-    ``docs`` has doc_id (not null) and text. Spans of one document may overlap.
+    ``docs`` has doc_id, digest (neither null) and text. Spans of one document may overlap.
     """
     if length < 2 * core or length > 9 * 24 or length >= PIECE:
         raise ValueError("give a length of 2 * core up to 216 bytes")
-    segment = "kind int, anchor long, whole long, doc_id long, start long, suffixes int"
+    segment = "kind int, anchor long, whole long, doc_id long, digest long, start long, suffixes int"
     dealt = (
         docs.mapInArrow(lambda b: anchored(b, length, core), segment)
         .repartition("anchor")
-        .sortWithinPartitions("anchor", "whole", "doc_id", "start")
+        .sortWithinPartitions("anchor", "whole", *NAME, "start")
     )
     told = staged(
-        dealt.mapInArrow(told_apart, "kind int, anchor long, doc_id long, start long, suffixes int"), "segments"
+        dealt.mapInArrow(told_apart, "kind int, anchor long, doc_id long, digest long, start long, suffixes int"),
+        "segments",
     )
     rivals = told.where(F.col("kind") == OPEN).drop("kind")
     hot = staged(rivals.groupBy("anchor").count().where(F.col("count") > HOT).select("anchor"), "hot-anchors")
     marks = (
         rivals.join(hot.withColumn("hot", F.lit(True)), "anchor", "left")
-        .groupBy("doc_id")
+        .groupBy(*NAME)
         .agg(F.collect_list(F.struct("start", "suffixes", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("marks"))
     )
     strings = (
-        docs.join(marks, "doc_id")
+        docs.join(marks, [*NAME])
         .mapInArrow(
             lambda b: fetched(b, length),
-            "kind int, anchor long, doc_id long, start long, suffixes int, bytes binary",
+            "kind int, anchor long, doc_id long, digest long, start long, suffixes int, bytes binary",
         )
         .repartition("anchor")
-        .sortWithinPartitions("anchor", "doc_id", "start")
-        .mapInArrow(lambda b: sorted_out(b, length), "doc_id long, start long, end long")
+        .sortWithinPartitions("anchor", *NAME, "start")
+        .mapInArrow(lambda b: sorted_out(b, length), "doc_id long, digest long, start long, end long")
     )
     whole = told.where(F.col("kind") == REPEATED).select(
-        "doc_id", "start", (F.col("start") + F.col("suffixes") - 1 + length).alias("end")
+        *NAME, "start", (F.col("start") + F.col("suffixes") - 1 + length).alias("end")
     )
     return whole.union(strings)
 
@@ -371,7 +386,7 @@ def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append((end - at, merged, kept))
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"),
+                batch.column("given_id"),
                 pa.array([n for n, _, _ in out], pa.int64()),
                 pa.array([m for _, m, _ in out], pa.list_(pa.list_(pa.int64()))),
                 pa.array([k for _, _, k in out], pa.binary()),
@@ -383,23 +398,25 @@ def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def deduplicated(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFrame:
     """Per document: doc_id, n_bytes, removed (array of [start, end)), kept (binary).
 
-    Earlier is: a smaller doc_id, or the same and an earlier byte. What remains may cut
-    a character, hence bytes. Null texts are empty; a null doc_id counts as smaller
-    than all others. Rows that share a doc_id and text are one text: each keeps what
-    the other keeps. If texts differ under one doc_id, what is removed from any is
-    removed from all, as far as they reach. Other columns are not read. An empty table
-    gives no row.
+    Earlier is: a smaller doc_id; of different texts with one doc_id, a smaller hash of
+    the text; in one text an earlier byte. What remains may cut a character, hence
+    bytes. Null texts are empty; a null doc_id counts as smaller than all others. Rows
+    that share a doc_id and text are one text: each keeps what the other keeps. Other
+    columns are not read. An empty table gives no row.
     """
+    given_id = F.col("doc_id").cast("long")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.coalesce(given_id, F.lit(NO_ID)).alias("doc_id"),
+        F.xxhash64(text, given_id.isNull()).alias("digest"),
+        given_id.alias("given_id"),
+        text.alias("text"),
     )
     spans = (
-        repeated_spans(own, length, core)
-        .groupBy("doc_id")
+        repeated_spans(own.drop("given_id"), length, core)
+        .groupBy(*NAME)
         .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     )
-    cut = own.join(spans, "doc_id", "left").mapInArrow(
+    return own.join(spans, [*NAME], "left").mapInArrow(
         cut_out, "doc_id long, n_bytes long, removed array<array<long>>, kept binary"
     )
-    return cut.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))

@@ -71,3 +71,27 @@ def test_odd_rows(odd, none):
     assert by_id[7].removed[0][1] == 300_003 - 0 or by_id[7].n_bytes == 300_003
     assert [r.removed for r in rows if r.doc_id == 1] == [[], []]
     assert deduplicated(none).count() == 0
+
+
+@pytest.mark.parametrize("hot, piece, block", [(512, 1 << 22, 1 << 20), (1, 700, 300)])
+def test_texts_that_share_an_id_or_have_none_are_told_apart(spark, monkeypatch, hot, piece, block):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    rng = random.Random(3)
+
+    def clean(n):
+        return "".join(rng.choice("abcdefghijkl ") for _ in range(n))
+
+    copy, texts = clean(200), []
+    for i in range(40):  # the copy at one place, at others, and in every second text not at all
+        middle = chr(33 + i) + copy * (i % 2) + chr(33 + i)  # other bytes around each copy
+        texts.append(clean(300) + middle + clean(50 + i) if i < 20 else clean(10 * i) + middle + clean(300))
+    for ids in ([None] * 40, [5] * 40, [-(1 << 63)] * 40, [None, -(1 << 63)] * 20):
+        df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(4)
+        rows = deduplicated(df).collect()
+        assert sorted(map(str, ids)) == sorted(str(r.doc_id) for r in rows)
+        kept = sorted(bytes(r.kept).decode() for r in rows)
+        whole = [text for text in texts if copy in text and text in kept]
+        assert len(whole) == 1  # the first of the copies, and clean bytes, stay
+        assert kept == sorted(text if text in whole else text.replace(copy, "") for text in texts)
