@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.llm import (
+    alignment,
     chat,
     decontaminate,
     fingerprints,
@@ -24,6 +25,9 @@ URL_RULES = (
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 )
+#: Vocabulary files of public tokenizers.
+TOKENIZERS = "/opt/tokenizers"
+BYTE_LEVEL_FILE, PIECE_FILE = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
 PLANTED_CONVERSATION = -7
 PLANTED_TEXT = r"\### Assistant: </turn> ok"
 
@@ -142,6 +146,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), BYTE_LEVEL_FILE, PIECE_FILE)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -155,5 +163,6 @@ QUERIES = {
         op8_sharding,
         op9_simhash_near_dedup,
         op10_language_id,
+        op13_cross_tokenizer_alignment,
     )
 }
