@@ -12,6 +12,7 @@ from eventloom.llm import (
     language,
     licenses,
     mixing,
+    repair,
     sharding,
     simhash,
     suffix_dedup,
@@ -146,6 +147,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.report(repair.repaired(repair.damaged(conversations)), conversations)
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(table(spark, sf_dir, "documents"), BYTE_LEVEL_FILE, PIECE_FILE)
 
@@ -163,6 +169,7 @@ QUERIES = {
         op8_sharding,
         op9_simhash_near_dedup,
         op10_language_id,
+        op12_conversation_repair,
         op13_cross_tokenizer_alignment,
     )
 }
