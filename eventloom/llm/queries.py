@@ -16,6 +16,7 @@ from eventloom.llm import (
     sharding,
     simhash,
     suffix_dedup,
+    toxicity,
     url_rules,
 )
 
@@ -147,6 +148,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    return toxicity.scored(docs, toxicity.learn(docs, labels)).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return repair.report(repair.repaired(repair.damaged(conversations)), conversations)
@@ -169,6 +181,7 @@ QUERIES = {
         op8_sharding,
         op9_simhash_near_dedup,
         op10_language_id,
+        op11_toxicity,
         op12_conversation_repair,
         op13_cross_tokenizer_alignment,
     )
