@@ -12,6 +12,9 @@ from eventloom.functions.scratch import new_path
 
 AS_OF = "2024-01-31 12:00:00"
 STREAM_FILES = 50
+ARRIVALS_PER_BATCH = 5
+#: The actor of the event that ends a stream of arrivals.
+CLOSING = -1
 
 DUCKDB = {
     "K": "CAST(json_extract_string(props, '$.k') AS BIGINT)",
@@ -144,6 +147,13 @@ FROM (SELECT id, archive_hour, id * 2 AS line_no, line FROM whole_lines
       SELECT id, archive_hour, id * 2 + 1 AS line_no, line FROM whole_lines WHERE id % 50 = 2) l
 """
 
+# Every eleventh event arrives three days late.
+ARRIVALS = """
+SELECT *, CASE WHEN gh_event_id % 11 = 0 THEN CAST(created_at_date + INTERVAL '3' DAY AS DATE)
+               ELSE created_at_date END AS arrival
+FROM gh_events
+"""
+
 # Tables that build on the given ones, in order.
 DEFINITIONS = {
     "gh_events": EVENTS,
@@ -155,6 +165,7 @@ DEFINITIONS = {
     "stored_orgs": STORED_ORGS,
     "whole_lines": WHOLE_LINES,
     "lines": LINES,
+    "arrivals": ARRIVALS,
 }
 GIVEN = ("events", "customer", "part", "supplier")
 USES = {
@@ -167,6 +178,7 @@ USES = {
     "stored_orgs": ("orgs", "supplier"),
     "whole_lines": ("gh_events",),
     "lines": ("whole_lines",),
+    "arrivals": ("gh_events",),
 }
 
 
@@ -219,7 +231,7 @@ def write_archive(spark: SparkSession, sf_dir: str) -> str:
     """
     hour = F.date_format("archive_hour", "yyyy-MM-dd-H").alias("hour")
     lines = spark_table(spark, sf_dir, "lines").select(hour, "line_no", "value")
-    written, root = new_path(spark, "hours"), new_path(spark, "archive")
+    written = new_path(spark, "hours")
     (
         lines.repartition(spark.sparkContext.defaultParallelism, "hour")
         .sortWithinPartitions("hour", "line_no")
@@ -228,23 +240,48 @@ def write_archive(spark: SparkSession, sf_dir: str) -> str:
         .option("compression", "gzip")
         .text(written)
     )
+    return in_order(spark, written, "hour", "archive", ".json.gz", lambda name: (name[:10], int(name[11:])))
+
+
+def in_order(spark: SparkSession, written: str, column: str, label: str, suffix: str, order) -> str:
+    """One file for each folder of ``written``, with modification times in their order; returns their folder."""
+    root = new_path(spark, label)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(written).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(path(root))
-    parts = fs.globStatus(path(f"{written}/hour=*/part-*"))
+    parts = fs.globStatus(path(f"{written}/{column}=*/part-*"))
     names = {}
     for status in parts:
-        name = status.getPath().getParent().getName().removeprefix("hour=")
+        name = status.getPath().getParent().getName().removeprefix(f"{column}=")
         names[name] = status.getPath()
-    in_order = sorted(names, key=lambda n: (n[:10], int(n[11:])))
-    first_time = parts[0].getModificationTime() - 1000 * len(in_order)
-    for n, name in enumerate(in_order):
-        target = path(f"{root}/{name}.json.gz")
+    first_time = parts[0].getModificationTime() - 1000 * len(names)
+    for n, name in enumerate(sorted(names, key=order)):
+        target = path(f"{root}/{name}{suffix}")
         fs.rename(names[name], target)
         fs.setTimes(target, first_time + 1000 * n, -1)
     return root
 
 
+def write_arrivals(spark: SparkSession, sf_dir: str) -> str:
+    """The events as files in the order of their arrival, some days late; returns their folder.
+
+    The last file holds one event long after the others, which closes what they left open.
+    """
+    arrivals = spark_table(spark, sf_dir, "arrivals")
+    written = new_path(spark, "arrivals")
+    closing = arrivals.limit(1).withColumns(
+        {
+            "actor_id": F.lit(CLOSING).cast("bigint"),
+            "created_at": F.expr("TIMESTAMP_NTZ'2024-06-01 00:00:00'"),
+            "created_at_date": F.expr("DATE'2024-06-01'"),
+            "arrival": F.expr("DATE'2024-06-01'"),
+        }
+    )
+    both = arrivals.union(closing.select(*arrivals.columns))
+    both.repartition(spark.sparkContext.defaultParallelism, "arrival").write.partitionBy("arrival").parquet(written)
+    return in_order(spark, written, "arrival", "arriving", ".parquet", str)
+
+
 def damaged_archive(spark: SparkSession, root: str, day: str, cut_off: int, absent: int) -> str:
     """The hour files of one day in a new folder, one of them cut off and one left out."""
     jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

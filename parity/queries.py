@@ -11,15 +11,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventloom.functions.scratch import new_path, staged
 from eventloom.functions.text import iso_datetimes
 from eventloom.operators import (
+    asof,
     base_stats,
     browse,
     daily_stats,
     entities,
     entity_stats,
     events as event_rows,
+    grouping,
+    intervals,
     leaderboards,
     overview,
     payloads,
+    quantiles,
+    sessions,
+    sketches,
     upsert,
     views,
 )
@@ -29,13 +35,24 @@ from eventloom.plans.nightly import publish, update_all
 from eventloom.plans.tables import completed
 from eventloom.sinks import tables as sinks
 from eventloom.sources import archive
-from eventloom.streaming import archive_stream, running_stats
-from parity.adapter import AS_OF, STREAM_FILES, damaged_archive, spark_table, write_archive
+from eventloom.schemas import EVENTS, PUSH, WATCH
+from eventloom.streaming import archive_stream, running_stats, session_stream, window_stream
+from parity.adapter import (
+    ARRIVALS_PER_BATCH,
+    AS_OF,
+    CLOSING,
+    STREAM_FILES,
+    damaged_archive,
+    spark_table,
+    write_archive,
+    write_arrivals,
+)
 
 FIRST_DAY, LAST_DAY, ONE_DAY, ONE_HOUR = "2024-01-01", "2024-01-30", "2024-01-15", 6
 CUT_OFF_HOUR, ABSENT_HOUR = 6, 12
 RETENTION_DAYS = 20
 _archives: dict[tuple[str, str], str] = {}
+_arrivals: dict[tuple[str, str], str] = {}
 _loads: dict[tuple[str, str], dict] = {}
 _refreshes: dict[tuple[str, str], dict[str, str]] = {}
 
@@ -48,6 +65,14 @@ def archive_of(spark: SparkSession, sf_dir: str) -> str:
     return _archives[key]
 
 
+def arrivals_of(spark: SparkSession, sf_dir: str) -> str:
+    """The events as files in the order of their arrival, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _arrivals:
+        _arrivals[key] = write_arrivals(spark, sf_dir)
+    return _arrivals[key]
+
+
 class Given:
     """The domain tables of one table folder."""
 
@@ -823,3 +848,88 @@ def stream_daily_stats(t: Given) -> DataFrame:
     path = t.path("stream-daily")
     run_stream(t, lambda store: running_stats.daily_updates(store, path))
     return running_stats.current_daily(t.spark, path)
+
+
+# --- time, distinct counts, distributions ---------------------------------------------
+
+
+@query
+def actor_sessions(t: Given) -> DataFrame:
+    return sessions.actor_sessions(t.events)
+
+
+@query
+def stream_sessions(t: Given) -> DataFrame:
+    """The same sessions from a stream in which every eleventh event comes three days late."""
+    events = session_stream.event_stream(t.spark, arrivals_of(t.spark, t.sf_dir), EVENTS, ARRIVALS_PER_BATCH)
+    path = t.path("sessions")
+    session_stream.stream_sessions(events, path, t.path("progress")).awaitTermination()
+    return session_stream.closed_sessions(t.spark, path).where(F.col("actor_id") != CLOSING)
+
+
+@query
+def window_counts(t: Given) -> DataFrame:
+    return window_stream.window_counts(t.events, 60, 30)
+
+
+@query
+def stream_windows(t: Given) -> DataFrame:
+    """Counts of sliding windows, on time and late, each with what the stream made of it."""
+    tables = window_stream.window_tables(t.spark, t.path("windows"))
+    events = session_stream.event_stream(t.spark, arrivals_of(t.spark, t.sf_dir), EVENTS, ARRIVALS_PER_BATCH)
+    window_stream.stream_windows(events.where(F.col("actor_id") != CLOSING), tables, t.path("progress"), 60, 30).awaitTermination()
+    kinds = {"closed": tables.closed.rows(), "open": window_stream.open_windows(tables), "late": window_stream.late_counts(tables)}
+    parts = [rows.select(F.lit(kind).alias("kind"), "window_start", "window_end", "event_type", "events") for kind, rows in kinds.items()]
+    return reduce(DataFrame.union, parts)
+
+
+@query
+def asof_daily_stats(t: Given) -> DataFrame:
+    """Each event with its repository's latest statistics of a day before."""
+    daily = t.events.groupBy("repo_id", "created_at_date").agg(
+        F.count("*").alias("day_events"), F.count_if(F.col("event_type") == WATCH).alias("day_stars")
+    )
+    known = daily.select(
+        "repo_id", F.expr("timestampadd(DAY, 1, CAST(created_at_date AS TIMESTAMP_NTZ))").alias("known_at"),
+        F.col("created_at_date").alias("stats_date"), "day_events", "day_stars",
+    )
+    events = t.events.select("gh_event_id", "repo_id", "created_at")
+    return asof.asof_join(events, known, "repo_id", "created_at", "known_at").drop("known_at")
+
+
+@query
+def star_push_pairs(t: Given) -> DataFrame:
+    """A star and a push of one actor within the hour after it."""
+
+    def of_kind(kind: str, name: str) -> DataFrame:
+        rows = t.events.where(F.col("event_type") == kind)
+        return rows.select("actor_id", *(F.col(c).alias(f"{name}_{c}") for c in ("gh_event_id", "repo_id", "created_at")))
+
+    return intervals.interval_join(
+        of_kind(WATCH, "star"), of_kind(PUSH, "push"), "actor_id", "star_created_at", "push_created_at", 3600
+    )
+
+
+def stored_sketches(t: Given) -> DataFrame:
+    return staged(sketches.daily_sketches(t.events), "sketches")
+
+
+@query
+def sketch_distincts(t: Given) -> DataFrame:
+    return sketches.distinct_between(stored_sketches(t), date(2024, 1, 1), date(2024, 1, 30))
+
+
+@query
+def returning_actors(t: Given) -> DataFrame:
+    ranges = (date(2024, 1, 1), date(2024, 1, 15)), (date(2024, 1, 16), date(2024, 1, 30))
+    return sketches.returning(stored_sketches(t), *ranges)
+
+
+@query
+def pause_quantiles(t: Given) -> DataFrame:
+    return quantiles.pause_quantiles(t.events)
+
+
+@query
+def grouping_sets(t: Given) -> DataFrame:
+    return grouping.grouping_sets(t.events)
