@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, time, timedelta, timezone
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 ROLLING = "rolling"
 CALENDAR = "calendar"
@@ -38,11 +38,16 @@ def window_start(as_of, days: int, mode: str = ROLLING) -> datetime:
 
 
 def ntz(value: datetime) -> Column:
-    return F.expr(f"TIMESTAMP_NTZ '{value:%Y-%m-%d %H:%M:%S.%f}'")
+    return F.expr(f"TIMESTAMP_NTZ '{value.isoformat(sep=' ', timespec='microseconds')}'")
 
 
 def day(value: date) -> Column:
-    return F.expr(f"DATE '{value:%Y-%m-%d}'")
+    return F.expr(f"DATE '{date_text(value)}'")
+
+
+def date_text(value: date) -> str:
+    """As folders of dates are named: four digits of the year, also before 1000."""
+    return date(value.year, value.month, value.day).isoformat()
 
 
 def since(start: datetime) -> Column:
@@ -56,3 +61,12 @@ def since(start: datetime) -> Column:
 
 def last_days(days: int, as_of=None, mode: str = ROLLING) -> Column:
     return since(window_start(as_of, days, mode))
+
+
+def dates_in(df: DataFrame, date_column: str) -> set[date]:
+    """The dates that occur; as many values as there are calendar days at most.
+
+    A date that Python cannot hold is left out: it must not end a load.
+    """
+    held = df.where(F.col(date_column).between(day(date.min), day(date.max)))
+    return {row[0] for row in held.select(date_column).distinct().collect()}

@@ -7,23 +7,25 @@ from pyspark.sql import DataFrame, Window, functions as F
 from eventloom.functions.counting import one_row, row_counts
 from eventloom.functions.joins import unknown_ids
 from eventloom.functions.text import as_id, clipped
-from eventloom.functions.time_windows import moment, ntz
+from eventloom.functions.time_windows import dates_in, day, moment, ntz
 from eventloom.operators.payloads import LINE, line_columns
 
 EVENT_KEY = ["gh_event_id", "created_at_date"]
 FALSE_TEXTS = ("false", "0", "")
-#: A full date, and optionally a time, its fraction and its offset.
-WRITTEN_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+#: A full date of a year from 1 on, and optionally a time, its fraction and its offset.
+WRITTEN_TIME = r"^(?!0000)\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 
 
 def usable_lines(raw: DataFrame, as_of=None) -> DataFrame:
     """Fact rows of the lines that have an actor, a repository and a time.
 
-    A line without a time gets the reference time; one whose time is null, or less
-    than a full date, has none. The written time is taken as it stands, without
-    shifting its zone.
+    A line without a time gets the reference time, by default the archive hour, so that
+    a load that runs again on another day stores the same rows. A line whose time is
+    null, less than a full date, or before year 1 has none. The written time is taken
+    as it stands, without shifting its zone.
     """
-    now = F.date_format(ntz(moment(as_of)), "yyyy-MM-dd'T'HH:mm:ss")
+    given = F.col("archive_hour") if as_of is None else ntz(moment(as_of))
+    now = F.date_format(given, "yyyy-MM-dd'T'HH:mm:ss")
     created_at = F.when(F.col("created_at").isNull() & ~F.col("null_time"), now).otherwise(F.col("created_at"))
     time = F.when(created_at.rlike(WRITTEN_TIME), created_at.try_cast("timestamp_ntz"))
     rows = raw.select(
@@ -94,8 +96,8 @@ def dedupe_events(batch: DataFrame, stored: DataFrame | None = None) -> DataFram
     """
     if stored is None:
         return first_copies(batch)
-    dates = [row[0] for row in batch.select("created_at_date").distinct().collect()]
-    return not_stored(batch, stored.where(F.col("created_at_date").isin(dates)))
+    dates = sorted(dates_in(batch, "created_at_date"))
+    return not_stored(batch, stored.where(F.col("created_at_date").isin(*map(day, dates))))
 
 
 def validate_events(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from eventloom.functions.counting import one_row, row_counts
 from eventloom.functions.scratch import delete_folders, staged
 from eventloom.functions.text import iso_datetimes
-from eventloom.functions.time_windows import day, moment, ntz
+from eventloom.functions.time_windows import date_text, dates_in, day, moment, ntz
 
 
 def write_events(events: DataFrame, path: str) -> None:
@@ -36,14 +36,9 @@ def replace_table(df: DataFrame, root: str) -> str:
     return path
 
 
-def dates_in(df: DataFrame, date_column: str) -> set[date]:
-    """The dates that occur; as many values as there are calendar days at most."""
-    return {row[0] for row in df.select(date_column).distinct().collect()}
-
-
 def clear_dates(spark: SparkSession, path: str, date_column: str, dates) -> None:
     """Delete the folders of some dates, one call to the file system for each and no job."""
-    delete_folders(spark, (f"{path}/{date_column}={d:%Y-%m-%d}" for d in sorted(dates)))
+    delete_folders(spark, (f"{path}/{date_column}={date_text(d)}" for d in sorted(dates)))
 
 
 def replace_dates(

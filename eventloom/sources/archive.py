@@ -13,6 +13,7 @@ from datetime import date, datetime, time, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.functions.scratch import staged
+from eventloom.functions.time_windows import date_text
 from eventloom.schemas import ARCHIVE_LINE
 
 log = logging.getLogger(__name__)
@@ -28,7 +29,7 @@ def as_date(value) -> date:
 
 def file_glob(days, hours=HOURS) -> str:
     """Glob for the archive files of some days."""
-    day_names = ",".join(f"{as_date(d):%Y-%m-%d}" for d in days)
+    day_names = ",".join(date_text(as_date(d)) for d in days)
     hour_names = ",".join(str(h) for h in hours)
     return f"{{{day_names}}}-{{{hour_names}}}.json.gz"
 
@@ -166,4 +167,4 @@ def ingest_hour(spark: SparkSession, root: str, day, hour: int) -> DataFrame:
     """Events of one hour, 0 to 23; a missing or damaged file is an error."""
     if hour not in HOURS:
         raise ValueError("hour must be between 0 and 23")
-    return read_archive(spark, f"{root.rstrip('/')}/{as_date(day):%Y-%m-%d}-{hour}.json.gz")
+    return read_archive(spark, f"{root.rstrip('/')}/{date_text(as_date(day))}-{hour}.json.gz")

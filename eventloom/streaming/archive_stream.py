@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eventloom.functions.scratch import staged, staging_freed
+from eventloom.functions.time_windows import dates_in
 from eventloom.operators.events import check_ids, not_stored, usable_lines, validate_events
 from eventloom.schemas import EVENTS
-from eventloom.sinks.tables import dates_in
 from eventloom.sources.archive import ARCHIVE_FILES, number_lines, parse_lines, well_formed, with_hour
 from eventloom.streaming.store import BATCH, BatchTable
 

@@ -15,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from eventloom.functions.time_windows import date_text
+
 BATCH = "batch_id"
 
 Fold = Callable[[DataFrame], DataFrame]
@@ -54,7 +56,7 @@ class BatchTable:
 
     def on_dates(self, dates) -> DataFrame:
         """Rows of some dates, listing only their folders."""
-        names = ",".join(f"{d:%Y-%m-%d}" for d in sorted(dates))
+        names = ",".join(map(date_text, sorted(dates)))
         folders = f"{self.path}/{self.partitions[0]}={{{names}}}"
         reader = self.spark.read.schema(self._schema()).option("basePath", self.path)
         try:

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventloom.functions.scratch import staged
-from eventloom.functions.time_windows import ntz
+from eventloom.functions.time_windows import dates_in, ntz
 from eventloom.schemas import EVENTS
-from eventloom.sinks.tables import clear_dates, dates_in
+from eventloom.sinks.tables import clear_dates
 from eventloom.streaming.archive_stream import freeing, start
 from eventloom.streaming.store import BATCH, BatchTable
 

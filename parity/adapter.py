@@ -111,6 +111,8 @@ SELECT id, archive_hour,
             WHEN id % 101 = 9 THEN ',"created_at":"not a time"'
             WHEN id % 107 = 13 THEN ',"created_at":null'
             WHEN id % 109 = 17 THEN ',"created_at":"2024"'
+            WHEN id % 113 = 19 THEN ',"created_at":"0000-01-01T00:00:00Z"'
+            WHEN id % 127 = 23 THEN ',"created_at":"0999-06-15T08:00:00Z"'
             ELSE ',"created_at":"' || iso || '"' END
     || ',"public":' || CASE WHEN id % 13 = 0 THEN 'false' ELSE 'true' END
     || ',"payload":' || CASE
@@ -144,7 +146,8 @@ SELECT archive_hour, line_no,
        CASE WHEN id % 97 = 0 THEN left(line, length(line) - 10) ELSE line END AS value
 FROM (SELECT id, archive_hour, id * 2 AS line_no, line FROM whole_lines
       UNION ALL
-      SELECT id, archive_hour, id * 2 + 1 AS line_no, line FROM whole_lines WHERE id % 50 = 2) l
+      SELECT id, archive_hour, id * 2 + 1 AS line_no, line FROM whole_lines
+      WHERE id % 50 = 2 OR id % 113 = 19 OR id % 127 = 23) l
 """
 
 # Every eleventh event arrives three days late.
