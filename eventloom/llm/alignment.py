@@ -310,7 +310,7 @@ def reducer(first: bytes, second: bytes):
             yield pa.RecordBatch.from_arrays([pa.array([cell]), *nothing, *lists], schema=schema)
 
         for batch in batches:
-            for part in parts([batch], "text"):
+            for part in parts([batch], "text", 1 << 21):
                 columns, keys, times = reduced_texts(part.column("text").to_pylist(), one, two, sizes, table)
                 bounds = np.searchsorted(keys, np.arange(part.num_rows + 1) << 2 * ID_BITS)
                 waiting.append((part.column("doc_id"), columns, keys & ((1 << 2 * ID_BITS) - 1), times.astype(np.int32), bounds))
