@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from eventloom.functions.scratch import staged
@@ -35,8 +35,6 @@ LEXICON_SHARE = 1e-4
 MOST_LANGUAGES = 200
 #: The sample: documents per language (at most), and code points of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 240, 1200
-#: Steps of the random draw, so fine that the sample stays bounded for any number of documents.
-DRAWS = 1 << 52
 ROUNDS, RATE, DECAY = 40, 0.5, 1e-4
 UNDETERMINED = "und"
 #: Distinct words that a task counts before it passes its counts on.
@@ -211,13 +209,14 @@ def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(labelled: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Field:
     """A field from ``text`` and ``lang`` of ``labelled``; rows without lang are left out.
 
-    ``doc_id`` and text choose the sample: at most ``per_language`` documents of each
-    language, ``chars`` code points from a place that its hash names.
+    A hash of the text chooses the sample: at most ``per_language`` distinct texts of each
+    language, ``chars`` code points from a place that the hash names. How often a row is
+    repeated does not matter to the sample.
     """
     rows = labelled.where("lang is not null").select(
-        F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
+        F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     )
-    sizes = rows.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
+    sizes = rows.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
     languages = [row["lang"] for row in sizes]
@@ -236,17 +235,22 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAM
     membership = np.zeros((len(lexicon), len(languages)))
     if places:
         membership[tuple(np.array(places).T)] = 1
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(DRAWS))
-    kept = F.lit(False)
-    for row in sizes:
-        share = min(1.0, 1.5 * per_language / row["count"])
-        kept = kept | ((F.col("lang") == row["lang"]) & (draw < share * DRAWS))
-    place = 1 + F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.greatest(F.length("text") - chars, F.lit(1)))
-    drawn = rows.where(kept).select("lang", draw.alias("draw"), F.substr("text", place.cast("int"), F.lit(chars)).alias("text"))
+    # Copies of a text are one, and each language ranks its own texts, so that neither
+    # repeated rows nor a large language can push others out of the sample.
+    texts = rows.where("text is not null").select("lang", F.xxhash64("text").alias("mark")).distinct()
+    by_draw = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(1), "mark"), "mark")
+    chosen = staged(texts.withColumn("nth", F.row_number().over(by_draw)).where(F.col("nth") <= 2 * per_language), "sample")
+    # at most 2 * per_language rows for each language
+    place = 1 + F.pmod(F.xxhash64(F.lit(1), "mark"), F.greatest(F.length("text") - chars, F.lit(1)))
+    drawn = (
+        rows.withColumn("mark", F.xxhash64("text"))
+        .join(F.broadcast(chosen), ["lang", "mark"])
+        .groupBy("lang", "nth")
+        .agg(F.min(F.substr("text", place.cast("int"), F.lit(chars))).alias("text"))
+    )
     taken: Counter = Counter()
     samples = []
-    most = 2 * per_language * max(1, len(languages))
-    for lang, _, text in sorted(drawn.orderBy("draw").limit(most).collect(), key=lambda r: (r[1], r[0], r[2] or "")):
+    for lang, _, text in sorted(drawn.collect(), key=lambda r: (r["nth"], r["lang"])):
         if taken[lang] < per_language and (words := words_in(text)):
             taken[lang] += 1
             samples.append((languages.index(lang), words))

@@ -4,6 +4,7 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eventloom.llm import language
 from eventloom.llm.language import Field, forward_backward, held_out, identified, label_texts, learn
@@ -88,3 +89,16 @@ def test_too_many_languages(spark, monkeypatch):
     rows = spark.createDataFrame([(i, "x", str(i)) for i in range(3)], "doc_id long, text string, lang string")
     with pytest.raises(ValueError):
         learn(rows)
+
+
+def test_repeated_rows_leave_the_sample_of_every_language_alone(spark, documents, monkeypatch):
+    samples = []
+    monkeypatch.setattr(language, "fit", lambda found, languages, *_: samples.append((found, languages)))
+    learn(documents)
+    one = documents.where("lang = 'fr'").first()
+    copies = spark.range(200_000).select(*(F.lit(one[f.name]).cast(f.dataType).alias(f.name) for f in documents.schema))
+    learn(documents.union(copies))
+    (once, languages), (again, same) = samples
+    assert languages == same and "fr" in languages
+    assert sorted(map(repr, once)) == sorted(map(repr, again))
+    assert {languages[i] for i, _ in once} == set(languages)
