@@ -24,34 +24,51 @@ WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 #: Documents per rank bucket, and documents after its cutoff that a pass ranks one by one.
 BUCKET_ROWS, PASS_ROWS = 1024, 64
-#: Documents after the cutoff that may fill the gap: all, in as many passes as it takes.
-FILLERS = float("inf")
+#: Copies of one row that one row of a narrow table stands for at a time.
+CHUNK = 1000
 UNIFORM_BITS = 52
 #: The columns that stand for one document's place in the ranking.
-RANK = ("q", "doc_id", "size")
+RANK = ("q", "doc_id", "size", "mark", "twin")
+#: What rows must share to be copies of each other; ``twin`` numbers these.
+IDENTITY = ("doc_id", "source", "size", "boost", "mark")
 
 
 def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def uniform(doc_id: Column, seed: int) -> Column:
-    """A number between 0 and 1, the same in every run: 52 bits of a digest of the id."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    bits = F.conv(F.substring(F.md5(text), 1, UNIFORM_BITS // 4), 16, 10).cast("double")
+def uniform(seed: int) -> Column:
+    """A number between 0 and 1, the same in every run: 52 bits of a digest of what names a row."""
+    named = (F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in ("doc_id", "mark", "twin"))
+    bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), *named)), 1, UNIFORM_BITS // 4), 16, 10).cast("double")
     return (bits + 0.5) / float(1 << UNIFORM_BITS)
 
 
 def sizes(boost: Column | None) -> list[Column]:
-    """doc_id, source, size and boost of a document."""
+    """doc_id, source, size, boost and mark (a hash of the text) of a document."""
+    text = F.col("text").cast("string")
     return [
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
-        size_of(F.col("text")).alias("size"),
+        size_of(text).alias("size"),
         F.coalesce(boost.cast("double") if boost is not None else F.lit(1.0), F.lit(0.0)).alias("boost"),
+        F.xxhash64(text).alias("mark"),
     ]
 
 
+def numbered_copies(documents: DataFrame) -> DataFrame:
+    """The rows of ``sizes`` with ``twin``, the number of a row among its copies, from 0.
+
+    Copies are counted on the map side and written out again in chunks, so that no task
+    meets a large group of them.
+    """
+    counted = documents.groupBy(*IDENTITY).agg(F.count("*").alias("n"))
+    chunks = counted.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / CHUNK))))
+    last = F.least(F.col("n"), (F.col("chunk") + 1) * CHUNK) - 1
+    each = chunks.hint("rebalance").withColumn("twin", F.explode(F.sequence(F.col("chunk") * CHUNK, last)))
+    return each.select(*IDENTITY, "twin")
+
+
 def targets(documents: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """One row per source: source, source_size, boosted, target.
 
@@ -93,7 +110,7 @@ def ranked(documents: DataFrame, shares: DataFrame, most: int, seed: int) -> Dat
         .withColumn("due", due)
         .withColumn("certain", F.floor("due"))
         .withColumn("p", F.col("due") - F.col("certain"))
-        .withColumn("u", uniform(F.col("doc_id"), seed))
+        .withColumn("u", uniform(seed))
     )
     q = (F.col("u") / (1 - F.col("u"))) * ((1 - F.col("p")) / F.col("p"))
     return placed.withColumn("q", F.when(F.col("p") > 0, q))
@@ -215,8 +232,8 @@ def allotted(documents: DataFrame, ends: DataFrame, most: int = MOST_COPIES, see
 
 
 def plan(docs: DataFrame, weights=WEIGHTS, most=MOST_COPIES, seed=1, boost=None) -> tuple[DataFrame, DataFrame]:
-    """The documents' sizes, and the cutoffs of every source; both staged."""
-    documents = staged(docs.select(*sizes(boost)), "sizes")
+    """The documents' sizes with their copies numbered, and the cutoffs of every source; both staged."""
+    documents = staged(numbered_copies(docs.select(*sizes(boost))), "sizes")
     shares = staged(targets(documents, weights, most), "targets")
     return documents, staged(cutoffs(documents, shares, most, seed), "cutoffs")
 
@@ -230,8 +247,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, most=MOST_COPIES, seed=1, boost: Colum
     smallest of its documents that was due a further copy and did not get it.
 
     Null text has size 0 and so costs nothing; null source is a source, the last one;
-    a null boost is 0; null or repeated doc_ids share one random number, and rows equal
-    in doc_id and size one decision. An empty table gives no row. Reruns agree.
+    a null boost is 0. Rows that share an id, or have none, are drawn by their texts, and
+    copies of one row one by one. An empty table gives no row. Reruns agree.
     """
     documents, ends = plan(docs, weights, most, seed, boost)
     return allotted(documents, ends, most, seed).select(
@@ -242,9 +259,31 @@ def mix(docs: DataFrame, weights=WEIGHTS, most=MOST_COPIES, seed=1, boost: Colum
 def mixed(docs: DataFrame, weights=WEIGHTS, most=MOST_COPIES, seed=1, boost: Column | None = None) -> DataFrame:
     """The mixture itself: rows of ``docs``, left out or repeated, with their columns.
 
-    Texts are not shuffled unless the table of cutoffs is too large to broadcast.
+    Texts are not shuffled unless the table of cutoffs is too large to broadcast; of rows
+    that are there several times, one is carried and written as often as the mixture
+    takes all of them, in chunks.
     """
-    _, ends = plan(docs, weights, most, seed, boost)
+    documents, ends = plan(docs, weights, most, seed, boost)
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    taken = allotted(docs.select(whole, *sizes(boost)), ends, most, seed).where("copies > 0")
-    return taken.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+    rows = docs.select(whole, *sizes(boost), F.lit(0).cast("long").alias("twin"))
+    identity = F.struct(*IDENTITY)
+    again = staged(documents.where("twin = 1").select(identity.alias("copied")), "copied")
+    if not again.take(1):
+        return written(allotted(rows, ends, most, seed).where("copies > 0"), F.col("copies"))
+    is_copy = identity == F.col("copied")
+    alone = allotted(rows.join(again, is_copy, "left_anti"), ends, most, seed).where("copies > 0")
+    wanted = (
+        allotted(documents.join(again, is_copy, "left_semi"), ends, most, seed)
+        .groupBy(identity.alias("wanted"))
+        .agg(F.sum("copies").alias("n"))
+        .where("n > 0")
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / CHUNK))))
+    )
+    copied = rows.join(again, is_copy, "left_semi").select("row", identity.alias("identity")).dropDuplicates(["identity"])
+    spread = copied.join(wanted, F.col("identity") == F.col("wanted")).repartition("identity", "chunk")
+    return written(alone, F.col("copies")).union(written(spread, F.least(F.lit(CHUNK), F.col("n") - F.col("chunk") * CHUNK)))
+
+
+def written(rows: DataFrame, times: Column) -> DataFrame:
+    """The columns of ``row``, as often as ``times`` says."""
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), times.cast("long")))).select("row.*")

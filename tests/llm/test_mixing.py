@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from hashlib import md5
 
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from eventloom.llm import mixing
 
@@ -33,16 +34,21 @@ def brute_force(rows, weights=(5, 2, 1), most=3, seed=1):
         due = min(most, target[source] / sizes[source]) if sizes[source] else 0
         p = due - int(due)
         ranked = []
-        for doc, size in own:
-            u = (int(md5(f"{seed}:{'null' if doc is None else doc}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
-            ranked.append((u / (1 - u) * (1 - p) / p if p else 0, doc is not None, doc or 0, size))
+        twins = Counter()
+        for (doc, size), text in zip(own, (t for _, t, s in rows if s == source)):
+            mark = 42 if text is None else xxh64_intdigest(text.encode(), 42)
+            mark -= (1 << 64) if mark >= 1 << 63 else 0
+            name = f"{seed}:{'null' if doc is None else doc}:{mark}:{twins[doc, mark]}"
+            u = (int(md5(name.encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            ranked.append((u / (1 - u) * (1 - p) / p if p else 0, doc is not None, doc or 0, size, mark, twins[doc, mark]))
+            twins[doc, mark] += 1
         gap, chosen, after = p * sizes[source], Counter(), 0
         for r in sorted(ranked) if p else ():
             if r[3] <= gap and not after:
                 chosen[r], gap = chosen[r] + 1, gap - r[3]
             else:
                 after += 1
-                if after <= mixing.FILLERS and r[3] <= gap:
+                if r[3] <= gap:
                     chosen[r], gap = chosen[r] + 1, gap - r[3]
         for (doc, size), r in zip(own, ranked):
             out.append((doc, source, size, sizes[source], target[source], int(due) + (chosen[r] > 0)))
@@ -112,3 +118,20 @@ def test_gap_of_one_dominant_document_is_filled(spark, monkeypatch):
         got = [r for r in all_rows if r[1] == "s"]
         lacking = got[0][4] - sum(r[2] * r[5] for r in got)
         assert 0 <= lacking < min(r[2] for r in got if r[5] < 1)
+
+
+def test_repeated_rows_and_rows_without_ids_take_what_the_target_says(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 64)
+    monkeypatch.setattr(mixing, "CHUNK", 30)
+    rows = [(1, "w " * 10, "s")] * 1000 + [(None, f"w{i} " * 7, "t") for i in range(400)] + [(None, "w w", "t")] * 300
+    rows += [(i, "w " * 20_000, "u") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = rows_of(mixing.mix(docs, (1, 1, 16)))
+    assert Counter(got) == Counter(brute_force(rows, (1, 1, 16)))
+    mixture = Counter(r.text for r in mixing.mixed(docs, (1, 1, 16)).collect())
+    for source in "st":
+        own = [r for r in got if r[1] == source]
+        taken = sum(r[2] * r[5] for r in own)
+        assert own[0][4] - 10 < taken <= own[0][4]
+        texts = {t for _, t, s in rows if s == source}
+        assert sum(n * sized(t) for t, n in mixture.items() if t in texts) == taken
