@@ -209,11 +209,7 @@ def near_duplicates(docs: DataFrame, words_in_shingle: int = SHINGLE_WORDS, dist
     return marked.join(classes, "fingerprint").select("doc_id", "text_mark", "fingerprint", "root", "component_id")
 
 
-def representatives(classes: DataFrame) -> DataFrame:
-    """doc_id and text_mark of one document of each component of ``near_duplicates``: that of smallest id."""
-    return (
-        classes.where("doc_id <=> component_id")
-        .groupBy("root")
-        .agg(F.min("doc_id").alias("doc_id"), F.min("text_mark").alias("text_mark"))
-        .select("doc_id", "text_mark")
-    )
+def representatives_of(classes: DataFrame) -> DataFrame:
+    """doc_id and text_mark of one text of each component (``root``): that of smallest id, nulls last."""
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_mark"))
+    return classes.groupBy("root").agg(least.alias("least")).select("least.doc_id", "least.text_mark")
