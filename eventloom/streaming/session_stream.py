@@ -9,10 +9,12 @@ event is lost however late it is.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -20,6 +22,9 @@ from eventloom.functions.cells import micros
 from eventloom.operators.sessions import GAP_MINUTES, PIECE, joined
 from eventloom.streaming.archive_stream import start
 
+# Executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MINUTE = 60_000_000
 MICROS = "actor_id bigint, first bigint, last bigint, n bigint"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"

@@ -15,15 +15,19 @@ from eventloom.operators import (
     base_stats,
     browse,
     daily_stats,
+    difference,
     entities,
     entity_stats,
     events as event_rows,
+    forks,
     grouping,
     intervals,
     leaderboards,
+    moving,
     overview,
     payloads,
     quantiles,
+    rhythm,
     sessions,
     sketches,
     upsert,
@@ -35,7 +39,7 @@ from eventloom.plans.nightly import publish, update_all
 from eventloom.plans.tables import completed
 from eventloom.sinks import tables as sinks
 from eventloom.sources import archive
-from eventloom.schemas import EVENTS, PUSH, WATCH
+from eventloom.schemas import EVENTS, FORK, PUSH, WATCH
 from eventloom.streaming import archive_stream, running_stats, session_stream, window_stream
 from parity.adapter import (
     ARRIVALS_PER_BATCH,
@@ -933,3 +937,44 @@ def pause_quantiles(t: Given) -> DataFrame:
 @query
 def grouping_sets(t: Given) -> DataFrame:
     return grouping.grouping_sets(t.events)
+
+
+@query
+def moving_sums(t: Given) -> DataFrame:
+    return moving.moving_sums(moving.repo_days(t.events))
+
+
+@query
+def leading_developers(t: Given) -> DataFrame:
+    return moving.leading_developers(t.events)
+
+
+def totals_of(events: DataFrame) -> DataFrame:
+    return events.groupBy("actor_id", "event_type").agg(F.count("*").alias("events"), F.max("created_at").alias("last_at"))
+
+
+@query
+def refresh_difference(t: Given) -> DataFrame:
+    """What the second half of the month changed in a table of totals; the key is the actor."""
+    return difference.difference(totals_of(t.earlier), totals_of(t.events), ["actor_id", "event_type"])
+
+
+@query
+def refresh_applied(t: Given) -> DataFrame:
+    """The later version, from the earlier one and the difference."""
+    old = staged(totals_of(t.earlier), "old")
+    return difference.applied(old, difference.difference(old, totals_of(t.events), ["actor_id", "event_type"]))
+
+
+@query
+def fork_trees(t: Given) -> DataFrame:
+    """Forks among the given repositories; several of them lie on cycles."""
+    made = t.events.where(F.col("event_type") == FORK).select(
+        F.col("repo_id").alias("parent"), (F.col("actor_id") * 7 % 397 + 1).alias("child"), F.col("created_at").alias("forked_at")
+    )
+    return forks.fork_trees(made)
+
+
+@query
+def actor_rhythms(t: Given) -> DataFrame:
+    return rhythm.rhythms(t.events).withColumn("entropy", F.round("entropy", 9))
