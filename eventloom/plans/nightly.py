@@ -27,6 +27,7 @@ from eventloom.operators.entity_stats import (
 from eventloom.operators.leaderboards import active_developers, hot_repos
 from eventloom.schemas import TABLES
 from eventloom.sinks.tables import replace_table
+from eventloom.sinks.versions import point_to
 
 DAILY_DAYS = 30
 
@@ -101,9 +102,13 @@ def update_all(
 def publish(results: dict[str, DataFrame], root: str) -> dict[str, str]:
     """Store the tables that a refresh updated, each as a new version; returns their paths.
 
-    A table whose update failed is not written, so its stored version stays. Readers
-    of earlier versions go on undisturbed until they are given the new paths.
+    Once all are written they become current together, and ``versions.current`` finds them
+    by name. A table whose update failed is not written, so its stored version stays.
+    Readers of earlier versions go on undisturbed; ``versions.clean`` deletes these.
     """
     failed = {row["name"] for row in results["failures"].collect()}
     kept = [name for name in results if name in TABLES and name not in failed]
-    return {name: replace_table(results[name], f"{root.rstrip('/')}/{name}") for name in kept}
+    paths = {name: replace_table(results[name], f"{root.rstrip('/')}/{name}") for name in kept}
+    if paths:
+        point_to(results["failures"].sparkSession, root, paths)
+    return paths

@@ -37,7 +37,7 @@ from eventloom.plans import load
 from eventloom.plans.ingest import ingest
 from eventloom.plans.nightly import publish, update_all
 from eventloom.plans.tables import completed
-from eventloom.sinks import tables as sinks
+from eventloom.sinks import tables as sinks, versions
 from eventloom.sources import archive
 from eventloom.schemas import EVENTS, FORK, PUSH, WATCH
 from eventloom.streaming import archive_stream, running_stats, session_stream, window_stream
@@ -55,10 +55,11 @@ from parity.adapter import (
 FIRST_DAY, LAST_DAY, ONE_DAY, ONE_HOUR = "2024-01-01", "2024-01-30", "2024-01-15", 6
 CUT_OFF_HOUR, ABSENT_HOUR = 6, 12
 RETENTION_DAYS = 20
+PAGES = 12
 _archives: dict[tuple[str, str], str] = {}
 _arrivals: dict[tuple[str, str], str] = {}
 _loads: dict[tuple[str, str], dict] = {}
-_refreshes: dict[tuple[str, str], dict[str, str]] = {}
+_refreshes: dict[tuple[str, str], str] = {}
 
 
 def archive_of(spark: SparkSession, sf_dir: str) -> str:
@@ -505,14 +506,12 @@ def run_sql_capped(t: Given) -> DataFrame:
 
 @query
 def table_pages(t: Given) -> DataFrame:
-    """All pages by a key that many rows share, across the change of method, with their numbers."""
-    day_events = t.events.where(f"created_at_date = DATE'{ONE_DAY}'")
-    size = 100
-    last = -(-day_events.count() // size)
+    """All events, page by page, by a key that many rows share, across the change of method."""
+    rows = t.events.count()
+    size = -(-rows // PAGES)
     pages = (
-        browse.table_page(day_events, n, size, "repo_id", deep=last * size // 2)
-        .select(F.lit(n).alias("page"), "gh_event_id")
-        for n in range(1, last + 1)
+        browse.table_page(t.events, n, size, "repo_id", deep=rows // 2).select(F.lit(n).alias("page"), "gh_event_id")
+        for n in range(1, PAGES + 1)
     )
     return reduce(DataFrame.union, pages)
 
@@ -702,12 +701,13 @@ def update_all_(t: Given) -> DataFrame:
     return result
 
 
-def refreshed(t: Given) -> dict[str, str]:
-    """The paths of the tables that a full refresh published."""
+def refreshed(t: Given) -> str:
+    """Where a full refresh published its tables."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     if key not in _refreshes:
         after = update_all({"events": t.events, "actors": t.actors, "repos": t.repos}, AS_OF)
-        _refreshes[key] = publish(after, t.path("published"))
+        _refreshes[key] = t.path("published")
+        publish(after, _refreshes[key])
     return _refreshes[key]
 
 
@@ -725,7 +725,7 @@ REFRESHED = {
 
 
 def published(name: str, columns: tuple[str, ...]) -> Query:
-    return lambda t: t.spark.read.parquet(refreshed(t)[name]).select(*columns)
+    return lambda t: versions.current(t.spark, refreshed(t), name).select(*columns)
 
 
 REGISTRY |= {f"update_all_{name}": published(name, columns) for name, columns in REFRESHED.items()}

@@ -12,7 +12,7 @@ import pytest
 from eventloom.operators import browse
 from eventloom.operators.upsert import ADD, GREATEST, KEEP, REPLACE, upsert
 from eventloom.plans.nightly import publish, update_all
-from eventloom.sinks import tables as sinks
+from eventloom.sinks import tables as sinks, versions
 from tests.conftest import rows
 
 AS_OF = "2024-01-31 12:00:00"
@@ -257,6 +257,29 @@ def test_a_refresh_is_published_beside_the_earlier_one(spark, month, dimensions,
     second = publish(update_all({**state, "user_repo_relation": stored}, AS_OF), str(tmp_path))
     assert set(first) - set(second) == {"user_repo_relation"} and not set(first.values()) & set(second.values())
     assert spark.read.parquet(first["actors"]).agg({"total_events": "sum"}).first()[0] == 280
+    later = spark.newSession()  # one that was given no paths
+    assert versions.current(later, str(tmp_path), "actors").agg({"total_events": "sum"}).first()[0] == 280
+    assert versions.folders(later, str(tmp_path)) == {**first, **second}
+    with pytest.raises(ValueError, match="not published"):
+        versions.current(later, str(tmp_path), "nothing")
+
+    third = publish(update_all(state, AS_OF), str(tmp_path))
+    assert set(versions.clean(spark, str(tmp_path), keep=1)) == {*first.values(), *second.values()}
+    assert versions.folders(spark, str(tmp_path)) == third
+    assert all(versions.current(later, str(tmp_path), name).columns for name in third)
+
+
+def test_one_of_two_publishers_fails_and_leaves_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    assert versions.folders(spark, root) == {} and versions.clean(spark, root) == []
+    assert versions.point_to(spark, root, {"a": f"{root}/a/1", "b": f"{root}/b/1"}) == 1
+    monkeypatch.setattr(versions, "publications", lambda *_: [])  # has not seen the other one
+    with pytest.raises(RuntimeError, match="another job"):
+        versions.point_to(spark, root, {"a": f"{root}/a/2"})
+    monkeypatch.undo()
+    assert versions.folders(spark, root) == {"a": f"{root}/a/1", "b": f"{root}/b/1"}
+    assert versions.point_to(spark, root, {"a": f"{root}/a/3"}) == 2
+    assert versions.clean(spark, root, keep=1) == [f"{root}/a/1"]
 
 
 def test_refresh_survives_a_failing_table(spark, month, dimensions):
