@@ -18,16 +18,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names.
+    """The folder that ``spark.checkpoint.dir`` names, or else the session's checkpoint folder.
 
-    Where it is unset, as in tests, a folder in the warehouse takes its place,
-    which all executors share as well.
+    Where neither is set, a folder in the warehouse takes its place, but only in a local
+    session: on a cluster the warehouse may be a local folder that executors do not share.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    return current or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
 
 
 def application_folder(spark: SparkSession) -> str:

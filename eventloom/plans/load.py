@@ -23,15 +23,37 @@ from eventloom.streaming.store import BATCH, BatchTable
 
 ENTITIES = ("actors", "repos", "organizations")
 LOADED = (*ENTITIES, *PAYLOADS, "events")
+#: After each load, the first payload id of each kind that is free.
+FREE_IDS = "free_payload_ids"
 
 
 def stored_tables(spark: SparkSession, root: str) -> dict[str, BatchTable]:
     """The tables that loads write, below ``root``; made when they do not exist."""
     parts = {"events": ("created_at_date",)}
-    return {
+    tables = {
         name: BatchTable(spark, f"{root}/{name}", TABLES[name], parts.get(name, ())).create()
         for name in LOADED
     }
+    tables[FREE_IDS] = BatchTable(spark, f"{root}/{FREE_IDS}", "kind string, next_id bigint").create()
+    return tables
+
+
+def free_payload_ids(tables: dict[str, BatchTable], batch_id: int) -> dict[str, int]:
+    """The first free payload id of each kind before a load, from a few rows per load.
+
+    Stored payloads are looked through only where no load has noted its ids.
+    """
+    noted = tables[FREE_IDS].read().where(F.col(BATCH) < batch_id)
+    found = {row.kind: row.next_id for row in noted.groupBy("kind").agg(F.max("next_id").alias("next_id")).collect()}
+    return found or next_payload_ids({name: tables[name].read().where(F.col(BATCH) < batch_id) for name in PAYLOADS})
+
+
+def note_payload_ids(tables: dict[str, BatchTable], before: dict[str, int], batch_id: int) -> None:
+    """Store what ``before`` has become by a load, from the rows of that load alone."""
+    own = next_payload_ids({name: tables[name].read().where(F.col(BATCH) == batch_id) for name in PAYLOADS})
+    free = [(kind, max(next_id, before.get(kind, 1))) for kind, next_id in own.items()]
+    spark = tables[FREE_IDS].spark
+    tables[FREE_IDS].write(spark.createDataFrame(free, "kind string, next_id bigint").coalesce(1), batch_id)
 
 
 def load_batch(tables: dict[str, BatchTable], lines: DataFrame, batch_id: int, as_of=None) -> None:
@@ -39,13 +61,12 @@ def load_batch(tables: dict[str, BatchTable], lines: DataFrame, batch_id: int, a
 
     An event of an actor or repository that is new in these lines is kept.
     """
-    others = {
-        name: table.read().where(F.col(BATCH) != batch_id).drop(BATCH) for name, table in tables.items()
-    }
-    earlier = {name: tables[name].read().where(F.col(BATCH) < batch_id) for name in PAYLOADS}
-    new = ingest(lines, others, next_payload_ids(earlier), as_of)
+    others = {name: tables[name].read().where(F.col(BATCH) != batch_id).drop(BATCH) for name in LOADED}
+    free = free_payload_ids(tables, batch_id)
+    new = ingest(lines, others, free, as_of)
     for name in LOADED:
         tables[name].write(completed(new[name], name), batch_id)
+    note_payload_ids(tables, free, batch_id)
 
 
 def load_archive(

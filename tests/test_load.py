@@ -62,3 +62,18 @@ def test_stream_keeps_events_of_new_actors_and_frees_its_staging(spark, tmp_path
     assert tables["events"].read().select("batch_id").distinct().count() == 3
     left = (set(staging.iterdir()) if staging.exists() else set()) - before
     assert not left
+
+
+def test_payload_ids_go_on_without_reading_stored_payloads(spark, tmp_path, monkeypatch):
+    root = archive_of_two_days(tmp_path)
+    tables = load.stored_tables(spark, str(tmp_path / "tables"))
+    load.load_archive(spark, root, tables, ["2024-01-05"], 1, as_of=AS_OF)
+    asked, real = [], load.next_payload_ids
+    monkeypatch.setattr(load, "next_payload_ids", lambda own: asked.append(own) or real(own))
+    load.load_archive(spark, root, tables, ["2024-01-06"], 2, as_of=AS_OF)
+    assert load.free_payload_ids(tables, 3)["PushEvent"] == 43
+    assert len(asked) == 1  # of the load itself, to note its ids
+    text = asked[0]["payload_push"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in text and "= 2" in text
+    load.load_archive(spark, root, tables, ["2024-01-07"], 3, as_of=AS_OF)  # a day without lines
+    assert load.free_payload_ids(tables, 4)["PushEvent"] == 43
