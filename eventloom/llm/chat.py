@@ -68,21 +68,24 @@ def format_conversations(turns: DataFrame, learn_from: str = "assistant") -> Dat
             ),
         ).alias("turns"),
     )
-    lengths = F.transform("turns", lambda t: F.length(t["lead"]) + F.length(t["text"]))
-    masks = F.transform(
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    placed = F.aggregate(  # one pass: where every turn begins
         "turns",
-        lambda t, i: F.when(
-            t["role"] == learn_from,
-            F.struct(
-                (
-                    F.aggregate(F.slice("lengths", F.lit(1), i), F.lit(0), lambda a, n: a + n)
-                    + F.length(t["lead"])
-                ).alias("start"),
-                F.length(t["text"]).alias("length"),
-            ),
+        nothing,
+        lambda done, t: F.struct(
+            (done["at"] + F.length(t["lead"]) + F.length(t["text"])).alias("at"),
+            F.concat(done["starts"], F.array(done["at"] + F.length(t["lead"]))).alias("starts"),
+        ),
+        lambda done: done["starts"],
+    )
+    masks = F.zip_with(
+        "turns",
+        placed,
+        lambda t, start: F.when(
+            t["role"] == learn_from, F.struct(start.alias("start"), F.length(t["text"]).alias("length"))
         ),
     )
-    return led.withColumn("lengths", lengths).select(
+    return led.select(
         "conv_id",
         F.concat(
             F.array_join(F.transform("turns", lambda t: F.concat(t["lead"], t["text"])), ""),

@@ -56,3 +56,18 @@ def test_any_text_survives(spark, conversations):
     for c, turns in enumerate(conversations):
         assert [tuple(t) for t in got[c].turns] == turns
         assert got[c].learned == "".join(text for role, text in turns if role == "assistant")
+
+
+def test_many_turns_long_texts_and_clashing_columns(spark):
+    from time import perf_counter
+
+    long = "wörd " * 200_000
+    rows = [(1, n, ("user", "assistant")[n % 2], f"turn {n} ###") for n in range(8000)] + [(2, 0, "user", None), (2, 1, "assistant", long)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns = turns.withColumns({c: F.lit("x") for c in ("turns", "formatted", "loss", "starts", "lead")})
+    begun = perf_counter()
+    written = chat.format_conversations(turns)
+    found = {r.conv_id: r for r in written.select("conv_id", chat.read_loss(F.col("formatted"), F.col("loss")).alias("learned")).collect()}
+    assert perf_counter() - begun < 60 and set(found) == {1, 2}
+    assert found[1].learned == "".join(t for c, _, r, t in rows if c == 1 and r == "assistant")
+    assert found[2].learned == long
