@@ -39,7 +39,62 @@ SENTENCES = {
     "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
     "PURPOSE.",
     "gpl-details": "See the GNU General Public License for more details.",
+    "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at "
+    "your option) any later version.",
+    "gpl2-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License version 2 as published by the Free Software Foundation.",
+    "lgpl21-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, "
+    "or (at your option) any later version.",
+    "lgpl3-free": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+    "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl3-free": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+    "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and "
+    "the following disclaimer.",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+    "and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-as-is": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+    "is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "0bsd-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+    "is hereby granted.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "cc0-law": "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+    "neighboring rights to this software to the public domain worldwide.",
+    "cc0-notice": "Licensed under CC0 1.0 Universal.",
+    "epl2-terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+    "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl1-terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+    "License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "cddl-terms": "The contents of this file are subject to the terms of the Common Development and Distribution "
+    'License (the "License").',
+    "zlib-origin": "The origin of this software must not be misrepresented; you must not claim that you wrote the "
+    "original software.",
+    "zlib-altered": "Altered source versions must be plainly marked as such, and must not be misrepresented as being "
+    "the original software.",
+    "bsl-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+    'software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, '
+    "distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit "
+    "third-parties to whom the Software is furnished to do so, all subject to the following:",
+    "postgresql-grant": "Permission to use, copy, modify, and distribute this software and its documentation for any "
+    "purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice "
+    "and this paragraph and the following two paragraphs appear in all copies.",
+    "spdx-tag": "SPDX-License-Identifier:",
 }
+# Identifiers that a tag names on the same line.
+TAGGED = (
+    "0BSD", "AFL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause",
+    "BSD-3-Clause", "BSD-4-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "CDDL-1.0",
+    "ECL-2.0", "EPL-1.0", "EPL-2.0", "EUPL-1.2", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+    "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+    "LPPL-1.3c", "MIT", "MIT-0", "MPL-2.0", "MS-PL", "MS-RL", "NCSA", "OFL-1.1", "OSL-3.0", "PostgreSQL",
+    "Unlicense", "UPL-1.0", "Vim", "WTFPL", "Zlib",
+)
+SENTENCES |= {f"tag-{name}": name for name in TAGGED}
 #: Licence and the sentences that state it, in their order. A licence may have several rules.
 RULES = (
     ("MIT", ("mit-notice",)),
@@ -54,6 +109,25 @@ RULES = (
     ("CC-BY-4.0", ("cc-by-notice",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-notice",)),
     ("MPL-2.0", ("mpl-copy",)),
+    ("GPL-2.0-or-later", ("gpl2-free",)),
+    ("GPL-2.0-only", ("gpl2-only",)),
+    ("LGPL-2.1-or-later", ("lgpl21-free",)),
+    ("LGPL-3.0-or-later", ("lgpl3-free",)),
+    ("AGPL-3.0-or-later", ("agpl3-free",)),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is")),
+    ("ISC", ("isc-grant",)),
+    ("0BSD", ("0bsd-grant",)),
+    ("Unlicense", ("unlicense",)),
+    ("CC0-1.0", ("cc0-law",)),
+    ("CC0-1.0", ("cc0-notice",)),
+    ("EPL-2.0", ("epl2-terms",)),
+    ("EPL-1.0", ("epl1-terms",)),
+    ("CDDL-1.0", ("cddl-terms",)),
+    ("Zlib", ("zlib-origin", "zlib-altered")),
+    ("BSL-1.0", ("bsl-grant",)),
+    ("PostgreSQL", ("postgresql-grant",)),
+    *((name, ("spdx-tag", f"tag-{name}")) for name in TAGGED),
 )
 SENTENCE_END = r"[.!?:]+[ \t\r\n\f]+|[\r\n]+"
 #: What parts two lines of one sentence: a line break, and not a blank line.

@@ -84,3 +84,46 @@ def test_longest_wrapped_sentence_counts(spark):
     docs = spark.createDataFrame([(0, "x\none\ntwo\nthree\nfour\nfive\none\ntwo\nthree four"), (1, "one two\nthree\none two\n\nthree\nfour")], "doc_id long, text string")
     got = {r.doc_id: [(f.sentence, f.id) for f in r.found] for r in licenses.scan(docs, sentences, ()).collect()}
     assert got == {0: [(1, "b"), (5, "d"), (6, "b")], 1: [(0, "a"), (2, "a"), (3, "c")]}
+
+
+BSD = """Copyright (c) someone
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL ..."""
+THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_families_of_licences_are_told_apart(spark):
+    texts = {
+        BSD.format(""): ["BSD-2-Clause"],
+        BSD.format(THIRD): ["BSD-3-Clause"],
+        "// SPDX-License-Identifier: GPL-2.0-only\n#include <x>": ["GPL-2.0-only"],
+        "# SPDX-License-Identifier: MIT\n": ["MIT"],
+        "the word MIT alone\nMIT\n": [],
+        " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser"
+        " General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or"
+        " (at your option) any later version.": ["LGPL-2.1-or-later"],
+        "Permission to use, copy, modify, and/or distribute this software for any purpose\nwith or without fee is hereby"
+        " granted.": ["0BSD"],
+        "Permission to use, copy, modify, and/or distribute this software for any purpose\nwith or without fee is hereby"
+        " granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": ["ISC"],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+    assert len({name for name, _ in licenses.RULES}) >= 40
