@@ -68,6 +68,6 @@ def test_many_turns_long_texts_and_clashing_columns(spark):
     begun = perf_counter()
     written = chat.format_conversations(turns)
     found = {r.conv_id: r for r in written.select("conv_id", chat.read_loss(F.col("formatted"), F.col("loss")).alias("learned")).collect()}
-    assert perf_counter() - begun < 60 and set(found) == {1, 2}
+    assert perf_counter() - begun < 120 and set(found) == {1, 2}
     assert found[1].learned == "".join(t for c, _, r, t in rows if c == 1 and r == "assistant")
     assert found[2].learned == long
