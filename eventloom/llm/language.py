@@ -35,6 +35,8 @@ LEXICON_SHARE = 1e-4
 MOST_LANGUAGES = 200
 #: The sample: documents per language (at most), and code points of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 240, 1200
+#: Steps of the random draw.
+DRAWS = 1 << 52
 ROUNDS, RATE, DECAY = 40, 0.5, 1e-4
 UNDETERMINED = "und"
 #: Distinct words that a task counts before it passes its counts on.
@@ -237,9 +239,15 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAM
         membership[tuple(np.array(places).T)] = 1
     # Copies of a text are one, and each language ranks its own texts, so that neither
     # repeated rows nor a large language can push others out of the sample.
-    texts = rows.where("text is not null").select("lang", F.xxhash64("text").alias("mark")).distinct()
-    by_draw = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(1), "mark"), "mark")
-    chosen = staged(texts.withColumn("nth", F.row_number().over(by_draw)).where(F.col("nth") <= 2 * per_language), "sample")
+    texts = staged(rows.where("text is not null").select("lang", F.xxhash64("text").alias("mark")).distinct(), "texts")
+    draw = F.pmod(F.xxhash64(F.lit(1), "mark"), F.lit(DRAWS))
+    few = F.lit(False)  # about 4 * per_language texts of each language, however many it has
+    for row in texts.groupBy("lang").count().collect():
+        share = min(1.0, 4 * per_language / row["count"])
+        few = few | ((F.col("lang") == row["lang"]) & (draw < F.lit(int(share * DRAWS))))
+    by_draw = Window.partitionBy("lang").orderBy(draw, "mark")
+    nth = texts.where(few).withColumn("nth", F.row_number().over(by_draw))
+    chosen = staged(nth.where(F.col("nth") <= 2 * per_language), "sample")
     # at most 2 * per_language rows for each language
     place = 1 + F.pmod(F.xxhash64(F.lit(1), "mark"), F.greatest(F.length("text") - chars, F.lit(1)))
     drawn = (
