@@ -14,8 +14,10 @@ have equal anchors at equal places. So:
    within a task before the shuffle.
 2. Segments that share an anchor but differ hold the ends of repeats. Only their bytes
    are fetched, and only there suffixes are sorted: by anchor, in blocks of whole
-   groups, to the depth of LENGTH, by tripling ranks.
-3. The strings found are merged per document and cut out.
+   groups, to the depth of LENGTH, by tripling ranks. Previous and next smaller
+   positions in that order give the LPF; suffixes of other blocks share less than
+   LENGTH bytes with those here, so an LPF of LENGTH is found whatever the blocks.
+3. The strings from suffixes with an LPF of LENGTH are merged per document and cut out.
 
 A text is named by its doc_id and a hash of itself (``NAME``), which tells texts that
 share a doc_id, or have none, apart; places are in the order of name, then byte.
@@ -42,6 +44,8 @@ HOT = 512
 #: Bytes that a task anchors, or sorts suffixes of, at once; ranks take 21 bits.
 PIECE, BLOCK = 1 << 22, 1 << 20
 PLACE_BITS = 24
+#: Steps in which all places look for smaller positions together.
+JUMPS = 64
 REPEATED, OPEN = 1, 2
 NO_ID = -(1 << 63)
 #: The columns that name a text; ``digest`` is a hash of the text and of whether it has an id.
@@ -250,31 +254,93 @@ def ranks(keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def later_copies(octets: np.ndarray, places: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
-    """Which suffixes (at ``places``, in text order within equal ones) have an LPF of ``length``.
+def common_prefixes(levels: list, words: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Bytes that the suffixes at ``a`` and ``b`` share, at most ``length``.
 
-    Ranks at a depth of 8 bytes are tripled to 24 and 72; two of the last overlap to
-    ``length``. In suffix order, ties standing in text order, the previous smaller
-    position of every suffix of a run but the first is its neighbour, with a common
-    prefix of ``length``; the first's neighbours outside the run share less.
+    ``levels`` are (depth, ranks), each three times as deep as the one before, so two
+    steps of a depth are enough; the last bytes are counted in one word of eight.
+    """
+    shared = np.zeros(len(a), np.int64)
+    for depth, rank in reversed(levels):
+        for _ in range(2):
+            same = (shared < length) & (rank[a + shared] == rank[b + shared])
+            shared += depth * same
+    differ = words[a + np.minimum(shared, length)] ^ words[b + np.minimum(shared, length)]
+    for n in range(1, 8):
+        shared += (differ >> np.uint64(64 - 8 * n)) == 0
+    return np.minimum(shared, length)
+
+
+def with_previous_smaller(position: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Bytes shared with the previous smaller position in suffix order, 0 without one.
+
+    ``common`` is shared with the place before. A place that looks at one of greater
+    position looks on to where that one looks, all places at once; the few that still
+    look after JUMPS steps finish in one sweep from the front, where what lies before
+    them is settled, as on a stack.
+    """
+    at, shared = np.arange(len(position)) - 1, common.copy()
+    looking = np.arange(1, len(position))
+    looking = looking[position[looking - 1] >= position[looking]]
+    for _ in range(JUMPS):
+        if not len(looking):
+            break
+        seen = at[looking]
+        shared[looking] = np.minimum(shared[looking], shared[seen])
+        at[looking] = at[seen]
+        looking = looking[at[looking] >= 0]
+        looking = looking[position[at[looking]] >= position[looking]]
+    for i in looking.tolist():
+        while at[i] >= 0 and position[at[i]] >= position[i]:
+            shared[i] = min(shared[i], shared[at[i]])
+            at[i] = at[at[i]]
+    return np.where(at >= 0, shared, 0)
+
+
+def longest_previous_factors(octets: np.ndarray, places: np.ndarray, position: np.ndarray, length: int) -> np.ndarray:
+    """How many bytes, at most ``length``, each suffix shares with one of smaller text position.
+
+    Suffixes (at ``places`` of ``octets``) are sorted to the depth of ``length``: ranks at
+    a depth of 8 bytes are tripled to 24 and 72, and two or three of the last overlap to
+    ``length``. The factor is the longer of the common prefixes with the previous and the
+    next smaller position in that order. Suffixes that are equal to that depth are one
+    place, of their least position; the others of them have a factor of ``length``.
     """
     depth, wide = 8, np.concatenate((octets, np.zeros(3 * length, np.uint8))).astype(np.uint64)
-    rank = np.zeros(len(wide) - depth, np.uint64)
+    words = np.zeros(len(wide) - depth, np.uint64)
     for i in range(depth):
-        rank = (rank << np.uint64(8)) | wide[i : i + len(rank)]
-    rank = ranks(rank)
+        words = (words << np.uint64(8)) | wide[i : i + len(words)]
+    rank = ranks(words)
+    levels = [(depth, rank)]
     while 3 * depth <= length:
-        keys = (rank[: -2 * depth] << np.uint64(42)) | (rank[depth:-depth] << np.uint64(21)) | rank[2 * depth :]
-        rank, depth = ranks(keys), 3 * depth
-    keys = (rank[places] << np.uint64(42)) | (rank[places + (length - depth)] << np.uint64(21))
+        rank = ranks((rank[: -2 * depth] << np.uint64(42)) | (rank[depth:-depth] << np.uint64(21)) | rank[2 * depth :])
+        depth *= 3
+        levels.append((depth, rank))
+    keys = (rank[places] << np.uint64(42)) | rank[places + (length - depth)]
     if 2 * depth < length:
-        keys |= rank[places + (length - depth) // 2]
+        keys |= rank[places + (length - depth) // 2] << np.uint64(21)
     order = np.argsort(keys, kind="stable")
     new = np.r_[True, np.diff(keys[order]) != 0]
-    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    copy = np.empty(len(order), bool)
-    copy[order] = (doc[order] != doc[head]).any(axis=1) | (start[order] != start[head])
-    return copy
+    heads = np.flatnonzero(new)
+    least = np.minimum.reduceat(position[order], heads)
+    first = places[order[heads]]
+    common = np.r_[0, common_prefixes(levels, words, first[:-1], first[1:], length)]
+    before = with_previous_smaller(least, common)
+    after = with_previous_smaller(least[::-1], np.r_[0, common[:0:-1]])[::-1]
+    run = np.cumsum(new) - 1
+    factors = np.empty(len(places), np.int64)
+    factors[order] = np.where(position[order] > least[run], length, np.maximum(before, after)[run])
+    return factors
+
+
+def text_positions(doc: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Numbers in text order for rows of ``count`` successive suffixes; equal for repeated rows."""
+    order = np.lexsort((start, doc[:, 1], doc[:, 0]))
+    new = np.r_[True, (np.diff(doc[order], axis=0) != 0).any(axis=1) | (np.diff(start[order]) != 0)]
+    taken = np.where(new, count[order], 0)
+    first = np.empty(len(order), np.int64)
+    first[order] = (np.cumsum(taken) - taken)[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    return first
 
 
 def sorted_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -298,7 +364,8 @@ def sorted_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Re
             return
         row = np.repeat(np.arange(len(doc)), count)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        copy = np.flatnonzero(later_copies(octets, at[row] + nth, doc[row], start[row] + nth, length))
+        position = text_positions(doc, start, count)[row] + nth
+        copy = np.flatnonzero(longest_previous_factors(octets, at[row] + nth, position, length) >= length)
         if not len(copy):
             return
         new = np.flatnonzero(np.r_[True, (np.diff(copy) != 1) | (np.diff(row[copy]) != 0)])

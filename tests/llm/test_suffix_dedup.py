@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from eventloom.llm import suffix_dedup
@@ -55,6 +56,35 @@ def test_edited_copies_periods_and_small_blocks(spark, monkeypatch, hot, piece,
     assert found(df) == brute_force({d: t.encode() for d, t in texts.items()}, LENGTH)
 
 
+@pytest.mark.parametrize("jumps", [64, 1, 0])
+@pytest.mark.parametrize("length", [16, 40, 100, 210])
+def test_longest_previous_factors_against_brute_force(monkeypatch, length, jumps):
+    monkeypatch.setattr(suffix_dedup, "JUMPS", jumps)
+    rng = random.Random(length)
+    phrase = bytes(rng.choice(b"abc\x00") for _ in range(3 * length))
+    text = b"".join(
+        rng.choice((phrase[rng.randrange(length) :], b"a" * length, bytes(rng.choices(b"ab\x00\xff", k=50)))) for _ in range(8)
+    )
+    n = len(text) - length + 1
+    places = np.array(rng.sample(range(n), n))
+    position = np.array(rng.sample(range(n), n))
+    position[:20] = position[20:40]  # repeated rows
+    places[:20] = places[20:40]
+    got = suffix_dedup.longest_previous_factors(np.frombuffer(text, np.uint8), places, position, length)
+    prefixes = [text[p : p + length] for p in places.tolist()]
+    least: dict[bytes, int] = {}  # the least position of every prefix of every suffix
+    for prefix, at in zip(prefixes, position.tolist()):
+        for k in range(1, length + 1):
+            least[prefix[:k]] = min(at, least.get(prefix[:k], at))
+    for prefix, at, factor in zip(prefixes, position.tolist(), got.tolist()):
+        assert factor == max((k for k in range(1, length + 1) if least[prefix[:k]] < at), default=0)
+
+
+def test_positions_follow_text_order():
+    doc, start, count = np.array([[2, 1], [1, 9], [2, 1], [1, 3], [2, 1]]), np.array([5, 0, 0, 7, 5]), np.array([3, 4, 5, 6, 3])
+    assert suffix_dedup.text_positions(doc, start, count).tolist() == [15, 6, 10, 0, 15]
+
+
 def test_other_lengths(documents, texts):
     short = {d: t.encode() for d, t in texts.items()}
     assert found(documents, 40, core=16) == brute_force(short, 40)
