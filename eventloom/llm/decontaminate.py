@@ -6,31 +6,36 @@ shingles, so one necessary shingle of each window is joined: its rarest in the
 documents. The shingle's place in the window and in the text bound where the window
 must begin and end; there its words are compared.
 
-Documents are read once. A task keeps the stretches of words whose shingles occur in
-the benchmark at all; rarity, join and verification are DataFrame operations on
-those. The benchmark's shingles are given to the tasks in blocks of bounded size.
+Documents are read once, whatever the size of the benchmark. A task keeps the stretches
+of words whose shingles may occur in the benchmark at all, by a bitmap of shingle hashes
+of at most MOST_BITS bits; rarity, join and verification are DataFrame operations on
+those, and drop what the bitmap let through by chance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import reduce
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from xxhash import xxh64_intdigest
 
 from eventloom.functions.scratch import staged
 from eventloom.llm.text import byte_table, bytes_of, parts
 
 WINDOW, SHINGLE = 10, 5
-#: Shingles that are given to the tasks at once.
-MOST_SHINGLES = 200_000
+#: Bits of the bitmap: SPARSE for each of the benchmark's shingles, but no more than
+#: MOST_BITS (32 MB). Ten million shingles then set one bit in 27.
+SPARSE, MOST_BITS = 64, 1 << 28
+#: Bits of a row that ``bitmap_construct_agg`` gives.
+BUCKET_BITS = 1 << 15
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = byte_table(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
-END_OF_TEXT = b"\x01"
 FACTORS = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) ** 5 % (1 << 64) | 1 for i in range(64)], np.uint64)
 
 
@@ -65,65 +70,100 @@ def shingled(words: Column, size: int) -> Column:
     return F.transform(starts, lambda i: F.slice(words, i, size))
 
 
-def codes(ids: np.ndarray, size: int) -> np.ndarray:
-    """One number for every ``size`` successive word numbers; 0 if one is unknown."""
-    n = len(ids) - size + 1
-    total, known = np.zeros(max(n, 0), np.uint64), np.ones(max(n, 0), bool)
-    for i in range(size if n > 0 else 0):
-        part = ids[i : i + n]
-        known &= part > 0
-        total += part.astype(np.uint64) * FACTORS[i] ^ (part.astype(np.uint64) << np.uint64(17 + i))
-    return np.where(known, total, 0)
+def codes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """One number for every ``size`` successive words, from the words' hashes."""
+    n = max(len(hashes) - size + 1, 0)
+    total = np.zeros(n, np.uint64)
+    for i in range(size):
+        total += (hashes[i : i + n] ^ (hashes[i : i + n] >> np.uint64(31))) * FACTORS[i % len(FACTORS)]
+    return total ^ (total >> np.uint64(32))
 
 
-def stretches(shingles: list[list[str]]):
-    """A function for ``mapInArrow`` that finds stretches covered by ``shingles``."""
-    numbers = {w: i + 1 for i, w in enumerate(sorted({w.encode() for s in shingles for w in s}))}
-    by_size: dict[int, np.ndarray] = {}
-    for size in sorted({len(s) for s in shingles}):
-        ids = np.array([[numbers[w.encode()] for w in s] for s in shingles if len(s) == size], np.int64)
-        by_size[size] = np.unique(codes(ids.ravel(), size)[::size])
-    numbers[END_OF_TEXT] = -1
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+
+
+def shingle_places(bits: int):
+    """A function for ``mapInArrow``: the bit, from 1, of every shingle (array of words)."""
+
+    def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shingles = batch.column("shingle").to_pylist()
+            numbers = [codes(hashes_of([w.encode() for w in s]), len(s))[0] for s in shingles]
+            bit = np.array(numbers, np.uint64) & np.uint64(bits - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(bit.astype(np.int64) + 1)], ["bit"])
+
+    return places
+
+
+def bitmap_of(shingles: DataFrame) -> tuple[bytes, int]:
+    """Where hashes of the shingles fall, and the number of bits, a power of two.
+
+    Spark combines the bits; the driver gets at most MOST_BITS of them.
+    """
+    wanted = min(MOST_BITS, SPARSE * max(1, shingles.count()))
+    bits = 1 << (wanted - 1).bit_length()
+    bitmap = bytearray(max(bits, BUCKET_BITS) // 8)
+    buckets = (
+        shingles.mapInArrow(shingle_places(bits), "bit long")
+        .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("set"))
+    )
+    for row in buckets.collect():  # no more than MOST_BITS / BUCKET_BITS rows of 4 KB
+        at = (row["bucket"] - 1) * BUCKET_BITS // 8
+        bitmap[at : at + BUCKET_BITS // 8] = row["set"]
+    return bytes(bitmap), bits
+
+
+def stretches(shared: Broadcast, bits: int, sizes: list[int]):
+    """A function for ``mapInArrow`` that finds stretches covered by shingles of the bitmap."""
 
     def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(shared.value, np.uint8)
         for batch in parts(batches, "text"):
             data, bounds = bytes_of(batch.column("text"))
-            texts = (bytes(data[a:b]).translate(SEPARATORS) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
-            words = b"".join(text + b" " + END_OF_TEXT + b" " for text in texts).split()
-            ids = np.fromiter(map(numbers.get, words, repeat(0)), np.int64, len(words))
-            ends = np.flatnonzero(ids == -1)
-            change = np.zeros(len(ids) + 1, np.int64)
-            for size, wanted in by_size.items():
-                here = codes(ids, size)
-                some = np.flatnonzero(here)
-                hit = some[np.isin(here[some], wanted)]
+            bounds = bounds.tolist()
+            texts = [bytes(data[a:b]).translate(SEPARATORS).split() for a, b in zip(bounds[:-1], bounds[1:])]
+            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+            words = list(chain.from_iterable(texts))
+            ends, text = np.cumsum(lengths), np.repeat(np.arange(len(texts)), lengths)
+            hashes = hashes_of(words)
+            change = np.zeros(len(words) + 1, np.int64)
+            for size in sizes:
+                bit = codes(hashes, size) & np.uint64(bits - 1)
+                known = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
+                hit = np.flatnonzero(known)
+                hit = hit[hit + size <= ends[text[hit]]]
                 np.add.at(change, hit, 1)
                 np.add.at(change, hit + size, -1)
-            covered = np.r_[False, np.cumsum(change[:-1]) > 0, False]
-            edges = np.flatnonzero(covered[1:] != covered[:-1])
-            begins, stops = edges[::2], edges[1::2]
-            text = np.searchsorted(ends, begins)
-            first_word = np.r_[0, ends[:-1] + 1]
-            of_text: list[list[dict]] = [[] for _ in ends]
-            for t, a, b in zip(text.tolist(), begins.tolist(), stops.tolist()):
+            covered = np.cumsum(change[:-1]) > 0
+            # A stretch begins at its first word or that of its text, and ends likewise.
+            fresh = np.diff(text, prepend=-1) != 0
+            begins = np.flatnonzero(covered & (fresh | ~np.r_[False, covered[:-1]]))
+            stops = np.flatnonzero(covered & (np.r_[fresh[1:], True] | ~np.r_[covered[1:], False])) + 1
+            of_text: list[list[dict]] = [[] for _ in texts]
+            first_word = ends - lengths
+            for t, a, b in zip(text[begins].tolist(), begins.tolist(), stops.tolist()):
                 of_text[t].append({"start": a - int(first_word[t]), "words": [w.decode() for w in words[a:b]]})
             kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.list_(pa.string()))]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(ends - first_word), pa.array(of_text, kind)],
+                [batch.column("row"), batch.column("doc_id"), pa.array(lengths), pa.array(of_text, kind)],
                 ["row", "doc_id", "n_words", "stretches"],
             )
 
     return found
 
 
-def occurrences(found: DataFrame, windows: DataFrame, window: int, shingle: int) -> DataFrame:
-    """row, start, width, words: where windows stand within the found stretches."""
+def occurrences(found: DataFrame, windows: DataFrame, window: int, shingle: int, sizes: list[int]) -> DataFrame:
+    """row, start, width, words: where windows stand within the found stretches.
+
+    ``sizes`` are the lengths of the benchmark's shingles, at most ``shingle`` numbers.
+    """
     width = F.least(F.lit(shingle), F.size("words"))
     tokens = windows.select("words").distinct().select(
         "words", width.alias("size"), F.posexplode(F.transform(
             F.sequence(F.lit(1), F.size("words") - width + 1), lambda i: F.slice("words", i, width))).alias("offset", "token")
     )
-    sizes = [row[0] for row in tokens.select("size").distinct().collect()]  # at most ``shingle`` numbers
     pieces = found.select("row", F.explode("stretches").alias("s")).select("row", "s.start", "s.words")
     reach = window - 1
 
@@ -138,9 +178,7 @@ def occurrences(found: DataFrame, windows: DataFrame, window: int, shingle: int)
             F.slice("words", begin + 1, F.col("at") - begin + size + reach).alias("around"),
         )
 
-    if not sizes:
-        sizes = [shingle]
-    placed = staged(reduce(DataFrame.union, map(of_size, sizes)), "shingles")
+    placed = staged(reduce(DataFrame.union, map(of_size, sizes or [shingle])), "shingles")
     rarity = placed.groupBy("token").agg(F.count("*").alias("n"))
     # All shingles of a window are necessary, so a prefix of one is enough: the rarest.
     # A window of which one shingle occurs nowhere occurs nowhere.
@@ -177,45 +215,33 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle
     tables give no row, or no hits.
     """
     windows = staged(windows_of(benchmark, window), "windows")
-    distinct = windows.select(
+    needed = windows.select(
         F.explode(
             F.when(F.size("words") < shingle, F.array("words")).otherwise(shingled(F.col("words"), shingle))
         ).alias("shingle")
     ).distinct()
-    distinct = staged(distinct, "benchmark-shingles")
-    blocks = max(1, -(-distinct.count() // MOST_SHINGLES))
+    needed = staged(needed, "benchmark-shingles")
+    sizes = [row[0] for row in needed.select(F.size("shingle")).distinct().collect()]  # at most ``shingle`` numbers
+    bitmap, bits = bitmap_of(needed)
     texts = docs.select(
         row_name(F.col("doc_id"), F.col("text")).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    all_windows = windows.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "words"), F.lit(blocks)))
-    counts, hits = None, []
-    for block in range(blocks):
-        own = all_windows.where(F.col("block") == block).drop("block")
-        needed = own.select(
-            F.explode(
-                F.when(F.size("words") < shingle, F.array("words")).otherwise(shingled(F.col("words"), shingle))
-            ).alias("shingle")
-        ).distinct()
-        given = [row[0] for row in needed.collect()]  # about MOST_SHINGLES by choice of blocks
-        found = staged(
-            texts.mapInArrow(
-                stretches(given),
-                "row string, doc_id long, n_words long, stretches array<struct<start:int,words:array<string>>>",
-            ),
-            "stretches",
-        )
-        counts = counts or found
-        hits.append((found.where(F.size("stretches") > 0), own))
-    return joined(counts, hits, windows, window, shingle)
+    found = staged(
+        texts.mapInArrow(
+            stretches(docs.sparkSession.sparkContext.broadcast(bitmap), bits, sizes),  # MOST_BITS at most
+            "row string, doc_id long, n_words long, stretches array<struct<start:int,words:array<string>>>",
+        ),
+        "stretches",
+    )
+    return joined(found, windows, window, shingle, sizes)
 
 
-def joined(counts: DataFrame, hits: list, windows: DataFrame, window: int, shingle: int) -> DataFrame:
-    """Occurrences of all blocks, counted per document."""
-    all_hits = staged(
-        reduce(DataFrame.union, (occurrences(found, own, window, shingle) for found, own in hits)).distinct(), "hits"
-    )
+def joined(found: DataFrame, windows: DataFrame, window: int, shingle: int, sizes: list[int]) -> DataFrame:
+    """Occurrences in the found stretches, counted per document."""
+    some = found.where(F.size("stretches") > 0)
+    all_hits = staged(occurrences(some, windows, window, shingle, sizes).distinct(), "hits")
     earlier = Window.partitionBy("row").orderBy("start", "width").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max(F.col("start") + F.col("width")).over(earlier), F.lit(0))
     words_hit = (
@@ -232,7 +258,7 @@ def joined(counts: DataFrame, hits: list, windows: DataFrame, window: int, shing
         .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     )
     return (
-        counts.select("row", "doc_id", "n_words")
+        found.select("row", "doc_id", "n_words")
         .join(words_hit, "row", "left")
         .join(items, "row", "left")
         .select(

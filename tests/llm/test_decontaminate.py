@@ -41,9 +41,9 @@ def compare(spark, texts, items, **more):
     assert sorted(got, key=repr) == brute_force(texts, items, more.get("window", 10))
 
 
-@pytest.mark.parametrize("most", [200_000, 3])
+@pytest.mark.parametrize("most", [1 << 28, 64, 1])
 def test_random_texts_against_brute_force(spark, monkeypatch, most):
-    monkeypatch.setattr(decontaminate, "MOST_SHINGLES", most)
+    monkeypatch.setattr(decontaminate, "MOST_BITS", most)  # few bits let most or all words through
     rng = random.Random(11)
     vocabulary = ["a", "b", "c", "É", "d1", "漢字", "e"]
     text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
@@ -52,6 +52,24 @@ def test_random_texts_against_brute_force(spark, monkeypatch, most):
     compare(spark, texts, items)
 
 
+@pytest.mark.parametrize("n", [0, 1, 3000])
+def test_bitmap_holds_every_shingle(spark, n):
+    own = [[f"w{i}", f"é{i % 7}", "x"][: 1 + i % 3] for i in range(n)]
+    bitmap, bits = decontaminate.bitmap_of(spark.createDataFrame([(s,) for s in own], "shingle array<string>"))
+    wanted = {int(decontaminate.codes(decontaminate.hashes_of([w.encode() for w in s]), len(s))[0]) % bits for s in own}
+    assert {8 * i + j for i, byte in enumerate(bitmap) for j in range(8) if byte >> j & 1} == wanted
+    assert bits >= decontaminate.SPARSE * n and bits & (bits - 1) == 0
+
+
+def test_documents_are_read_once_however_large_the_benchmark(spark, monkeypatch):
+    labels = []
+    staged = decontaminate.staged
+    monkeypatch.setattr(decontaminate, "staged", lambda df, label: labels.append(label) or staged(df, label))
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(3000)]
+    compare(spark, [(1, items[7][1]), (2, "clean"), (3, "so " + items[2999][1][9:])], items)
+    assert labels.count("stretches") == 1
+
+
 def test_short_items_overlaps_and_separators(spark):
     items = [(1, "Alpha"), (2, "one two"), (3, "x " * 30), (4, None), (5, "..."), (6, "one two"), (70, "q-r_s`t{u")]
     texts = [
