@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
@@ -144,33 +145,42 @@ def lexicon_of(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> Lexicon
 def in_neighbour_order(docs: DataFrame) -> DataFrame:
     """doc_id, text, cell, guest: partitions of cells, each in descending doc_id.
 
-    Behind a cell's rows stands, as a guest, the first row of the next cell, so that
-    every document has its successor in its own cell. The last cell's is the first.
+    Rows that share a doc_id, or have none, stand in order of a hash of their text; an
+    id of many rows is cut into cells by that hash. Behind a cell's rows stands, as a
+    guest, one row, the first of the next cell, so that every document has its successor
+    in its own cell. The last cell's is the first.
     """
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     place = F.coalesce("doc_id", F.lit(-(1 << 63)))
     shares = [i / (4 * width) for i in range(1, 4 * width)]
-    cuts = np.array(own.select(F.percentile_approx(place, shares, 100 * width)).first()[0] or [], np.int64)
-    cuts = np.unique(cuts)
-
-    @F.pandas_udf("int")
-    def cell_of(ids):
-        return ids.map(lambda i: np.searchsorted(cuts, i, "left")).astype("int32")
-
-    placed = own.withColumn("place", place).withColumn("cell", cell_of("place"))
-    ranges = placed.groupBy("cell").agg(F.max("place").alias("most")).orderBy("cell").collect()  # one row per cell
-    guests = spark.createDataFrame(
-        [(row["most"], ranges[(i + 1) % len(ranges)]["cell"]) for i, row in enumerate(ranges)], "place long, cell int"
-    )
-    guests = placed.drop("cell").join(F.broadcast(guests), "place")  # one row per cell
-    columns = ("doc_id", "text", "place", "cell")
+    found = np.array(own.select(F.percentile_approx(place, shares, 100 * width)).first()[0] or [], np.int64)
+    cuts, times = np.unique(found, return_counts=True)  # an id of many rows is a cut several times
+
+    @F.pandas_udf("long")
+    def cell_of(ids, marks):
+        places, marks = ids.to_numpy(np.int64), marks.to_numpy(np.int64)
+        at = np.searchsorted(cuts, places, "left")
+        known = np.r_[cuts, 0][at] == places if len(cuts) else np.zeros(len(at), bool)
+        parts_of = np.r_[times, 1][at].astype(np.int64)
+        high = (marks >> 32) + (1 << 31)  # 0 up to 2^32, in the order of the marks
+        part = np.where(known & (at < len(cuts)), high * parts_of >> 32, parts_of)
+        part[parts_of == 1] = 0
+        return pd.Series((len(cuts) - at) * (4 * width + 1) + part)
+
+    placed = own.withColumns({"place": place, "mark": F.xxhash64("text")})
+    placed = placed.withColumns({"cell": cell_of("place", "mark"), "down": F.bitwise_not("place")})
+    firsts = placed.groupBy("cell").agg(F.min(F.struct("down", "mark")).alias("first")).orderBy("cell").collect()
+    of_next = [(*firsts[(i + 1) % len(firsts)]["first"], row["cell"]) for i, row in enumerate(firsts)]  # one row per cell
+    wanted = spark.createDataFrame(of_next, "down long, mark long, cell long")
+    columns = ("doc_id", "text", "down", "mark", "cell")
+    guests = placed.drop("cell").join(F.broadcast(wanted), ["down", "mark"]).dropDuplicates(["cell"])
     return (
         placed.select(*columns, F.lit(False).alias("guest"))
         .union(guests.select(*columns, F.lit(True)))
         .repartition(width, "cell")
-        .sortWithinPartitions("cell", "guest", F.desc("place"), F.xxhash64("text"))
+        .sortWithinPartitions("cell", "guest", "down", "mark")
         .select("doc_id", "text", "cell", "guest")
     )
 

@@ -91,6 +91,22 @@ def test_odd_rows(odd, none):
     assert compared(none, lexicon_of(none)).count() == 0
 
 
+def test_an_id_of_many_rows_is_cut(spark):
+    rows = [(i if i % 3 else None, f"text number {i}") for i in range(1200)] + [(5, f"five {i}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    placed = fingerprints.in_neighbour_order(docs).collect()
+    own, cells = [r for r in placed if not r.guest], {}
+    for r in placed:
+        cells.setdefault(r.cell, []).append(r)
+    assert len(own) == len(rows) and len(placed) == len(rows) + len(cells)  # one guest each
+    assert max(map(len, cells.values())) < len(rows) / 8  # without a cut 600 and 400 rows
+    order = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "xxhash64(text) AS mark").collect()
+    order = sorted(order, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.mark))
+    after = {a.text: b.text for a, b in zip(order, [*order[1:], order[0]])}
+    for members in cells.values():
+        assert [after[r.text] for r in members[:-1]] == [r.text for r in members[1:]] and members[-1].guest
+
+
 def test_band_is_checked(documents, monkeypatch):
     monkeypatch.setattr(fingerprints, "MOST_TERMS", 5)
     with pytest.raises(ValueError):
