@@ -56,7 +56,11 @@ def test_random_texts_against_brute_force(spark, monkeypatch, most):
 def test_bitmap_holds_every_shingle(spark, n):
     own = [[f"w{i}", f"é{i % 7}", "x"][: 1 + i % 3] for i in range(n)]
     bitmap, bits = decontaminate.bitmap_of(spark.createDataFrame([(s,) for s in own], "shingle array<string>"))
-    wanted = {int(decontaminate.codes(decontaminate.hashes_of([w.encode() for w in s]), len(s))[0]) % bits for s in own}
+    wanted = {
+        int(decontaminate.probed(decontaminate.codes(decontaminate.hashes_of([w.encode() for w in s]), len(s)), i, bits)[0])
+        for s in own
+        for i in range(decontaminate.PROBES)
+    }
     assert {8 * i + j for i, byte in enumerate(bitmap) for j in range(8) if byte >> j & 1} == wanted
     assert bits >= decontaminate.SPARSE * n and bits & (bits - 1) == 0
 
