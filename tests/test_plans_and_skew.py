@@ -224,3 +224,16 @@ def test_relations_read_the_facts_once(stored, make_actors, make_repos):
     found, (grouped,) = staged_by(base_stats, lambda: base_stats.relations(stored, *known))
     assert grouped.count("FileScan parquet") == 1
     assert "event_type" not in plan(found)
+
+
+def test_loads_broadcast_nothing_that_grows(spark, stored, parsed, make_actors, monkeypatch):
+    raw = archive.well_formed(staged(parsed(*(line(n, actor=n % 5) for n in range(50)))))
+    numbers = payloads.payload_numbers(raw)
+    text = plan(payloads.with_payload_ids(payloads.payload_push(raw), numbers))
+    assert "SortMergeJoin" in text[: text.index("BroadcastHashJoin")]  # the shifts, a row a partition
+    numbered = stored.selectExpr("*", "created_at as archive_hour", "gh_event_id as line_no")
+    assert "Broadcast" not in plan(events.not_stored(numbered, stored))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 2)
+    found, (first,) = staged_by(entities, lambda: entities.extract_actors(raw, make_actors({"actor_id": 1})))
+    assert "Broadcast" not in first + plan(found)
+    assert rows(found.select("actor_id"), "actor_id") == [(2,), (3,), (4,)]
