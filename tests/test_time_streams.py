@@ -68,6 +68,21 @@ def test_late_events_reopen_and_join_sessions_over_restarts(spark, files, tmp_pa
     assert Counter(got) == Counter(whole) and (1, at(0), at(70), 4) in got
 
 
+def test_state_has_rows_for_cells_not_actors(spark, files, tmp_path, monkeypatch):
+    monkeypatch.setattr(session_stream, "CELLS", 4, raising=False)
+    out = str(tmp_path / "out")
+    files.arrive(*((actor, 5 * n) for actor in range(400) for n in range(3)))
+    files.arrive(*((actor, 20 + 30 * (actor % 2)) for actor in range(400)))
+    files.arrive((-1, 50_000))
+    query = session_stream.stream_sessions(files.stream(), out, str(tmp_path / "progress"))
+    query.awaitTermination()
+    kept = max(state.numRowsTotal for progress in query.recentProgress for state in progress.stateOperators)
+    assert 0 < kept <= 4 * 4  # a value and the entries of a timer for each cell
+    whole = [tuple(r) for r in sessions.actor_sessions(files.events()).where("actor_id >= 0").collect()]
+    got = [tuple(r) for r in session_stream.closed_sessions(spark, out).where("actor_id >= 0").collect()]
+    assert Counter(got) == Counter(whole) and len(got) == 600
+
+
 def test_windows_and_late_rows_add_up_and_batches_can_run_again(spark, files, tmp_path):
     tables = window_stream.window_tables(spark, str(tmp_path / "windows"))
     for n in range(6):
