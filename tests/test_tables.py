@@ -188,6 +188,25 @@ def test_pages_of_equal_keys_join_up(month):
     assert len({r for page in first for r in page}) == 280
 
 
+def test_large_pages_are_not_brought_together_in_one_task(spark, month, monkeypatch):
+    monkeypatch.setattr(browse, "DEEP_OFFSET", 50)
+    small, large = (browse.table_page(month, 1, size, "repo_id", deep=10_000) for size in (50, 60))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (small, large)]
+    assert "TakeOrderedAndProject" in plans[0]
+    assert not any(word in plans[1] for word in ("TakeOrdered", "GlobalLimit", "SinglePartition"))
+    pages = [rows(browse.table_page(month, n, 60, "repo_id", deep=10_000).select("gh_event_id")) for n in range(1, 7)]
+    assert [r for page in pages for r in page] == rows(month.orderBy("repo_id", *month.columns).select("gh_event_id"))
+
+
+def test_large_pages_of_nulls_and_one_value(spark, monkeypatch):
+    monkeypatch.setattr(browse, "DEEP_OFFSET", 0)
+    values = [None] * 7 + [float("nan")] * 3 + [1.5] * 11 + [-2.0] * 2
+    df = spark.createDataFrame([(v, n) for n, v in enumerate(values)], "v double, k int").repartition(4)
+    pages = [rows(browse.table_page(df, n, 5, "v").select("k")) for n in range(1, 7)]
+    assert pages == [rows(df.orderBy("v", "k").offset(5 * n).limit(5).select("k")) for n in range(6)]
+    assert [len(page) for page in pages] == [5, 5, 5, 5, 3, 0]
+
+
 def test_stored_relations_expire(spark, tmp_path):
     stored = spark.createDataFrame(
         [(1, datetime(2024, 1, 10, 23)), (2, datetime(2024, 1, 11)), (3, None)], "k bigint, last_event_at timestamp_ntz"
