@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pathlib import Path
+from threading import Barrier
+
+import pytest
 
 from eventloom.functions.scratch import application_folder
 from eventloom.plans import load
@@ -77,3 +80,36 @@ def test_payload_ids_go_on_without_reading_stored_payloads(spark, tmp_path, monk
     assert "PartitionFilters" in text and "= 2" in text
     load.load_archive(spark, root, tables, ["2024-01-07"], 3, as_of=AS_OF)  # a day without lines
     assert load.free_payload_ids(tables, 4)["PushEvent"] == 43
+
+
+def test_tables_are_written_at_the_same_time_and_events_last(spark, tmp_path, monkeypatch):
+    root = archive_of_two_days(tmp_path)
+    tables = load.stored_tables(spark, str(tmp_path / "tables"))
+    together, order, write = Barrier(len(load.LOADED) - 1, timeout=60), [], load.BatchTable.write
+
+    def noting(table, rows, batch_id):
+        name = Path(table.path).name
+        if name in load.LOADED and name != "events":
+            together.wait()  # goes on only when all of them are being written
+        write(table, rows, batch_id)
+        order.append(name)
+
+    monkeypatch.setattr(load.BatchTable, "write", noting)
+    load.load_archive(spark, root, tables, ["2024-01-05"], 1, as_of=AS_OF)
+    assert order.index("events") == len(load.LOADED) - 1 and tables["events"].read().count() == 20
+
+
+def test_a_failed_write_stops_a_load_before_its_events(spark, tmp_path, monkeypatch):
+    root = archive_of_two_days(tmp_path)
+    tables = load.stored_tables(spark, str(tmp_path / "tables"))
+    write = load.BatchTable.write
+
+    def failing(table, rows, batch_id):
+        if table.path.endswith("payload_fork"):
+            raise OSError("no room")
+        write(table, rows, batch_id)
+
+    monkeypatch.setattr(load.BatchTable, "write", failing)
+    with pytest.raises(OSError, match="no room"):
+        load.load_archive(spark, root, tables, ["2024-01-05"], 1, as_of=AS_OF)
+    assert tables["events"].read().count() == 0
