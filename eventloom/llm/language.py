@@ -8,7 +8,9 @@ learned together, by the gradient that forward-backward gives.
 
 Lexicons count the words of all labelled texts. The field is fitted on a bounded
 sample of them, spliced into sequences that switch language. Every text is labelled
-whole, in pieces of PIECE words; learning uses pieces of the same length.
+whole, in pieces of PIECE words; learning uses pieces of the same length. A task labels
+so many words at a time that its arrays have about CELLS numbers each, however many texts
+it is given and however long they, or their words, are.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +42,28 @@ SAMPLE_DOCS, SAMPLE_CHARS = 240, 1200
 DRAWS = 1 << 52
 ROUNDS, RATE, DECAY = 40, 0.5, 1e-4
 UNDETERMINED = "und"
+#: Numbers in an array of a task: words, or letters of distinct words, times languages.
+CELLS = 1 << 18
+#: Code points of a text that are cut into words at a time.
+CUT = 1 << 16
 #: Distinct words that a task counts before it passes its counts on.
 COUNTED = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
+def stretches(text: str | None) -> Iterator[list[str]]:
+    """Words, runs of letters, in lower case: those of CUT code points at a time, on to the end of a word."""
+    lowered = text.lower() if text else ""
+    end = 0
+    while (begin := end) < len(lowered):
+        rest = WORD.match(lowered, begin + CUT)
+        end = rest.end() if rest else begin + CUT
+        yield [w for w in WORD.findall(lowered, begin, end) if w.isalpha() or any(map(str.isalpha, w))]
+
+
 def words_in(text: str | None) -> list[str]:
-    """Words, runs of letters, in lower case."""
-    return [w for w in WORD.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))] if text else []
+    """All words of a text."""
+    return [w for words in stretches(text) for w in words]
 
 
 @dataclass
@@ -63,9 +80,23 @@ class Field:
     transition: np.ndarray
 
 
+def padded(word: str) -> bytes:
+    return b"\x02" + word.encode() + b"\x03"
+
+
+def hashed(octets: np.ndarray, k: int) -> np.ndarray:
+    """Bucket of the n-gram that starts at each octet, n the k-th of NGRAMS."""
+    m = len(octets) - NGRAMS[k] + 1
+    h = np.zeros(m, np.uint32)
+    for i in range(NGRAMS[k]):
+        h = (h ^ octets[i : i + m]) * np.uint32(0x01000193)
+    h ^= h >> np.uint32(15)
+    return (h % np.uint32(BUCKETS)).astype(np.int64) + k * BUCKETS
+
+
 def hashed_ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the byte n-grams of padded words, and the number of the word of each."""
-    coded = [b"\x02" + w.encode() + b"\x03" for w in words]
+    coded = [padded(w) for w in words]
     octets = np.frombuffer(b"".join(coded), np.uint8).astype(np.uint32)
     lengths = np.fromiter(map(len, coded), np.int64, len(coded))
     word = np.repeat(np.arange(len(words)), lengths)
@@ -74,12 +105,8 @@ def hashed_ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         m = len(octets) - n + 1
         if m <= 0:
             continue
-        h = np.zeros(m, np.uint32)
-        for i in range(n):
-            h = (h ^ octets[i : i + m]) * np.uint32(0x01000193)
-        h ^= h >> np.uint32(15)
         inside = np.flatnonzero(word[:m] == word[n - 1 :])
-        buckets.append((h[inside] % np.uint32(BUCKETS)).astype(np.int64) + k * BUCKETS)
+        buckets.append(hashed(octets, k)[inside])
         owners.append(word[inside])
     return np.concatenate(buckets), np.concatenate(owners)
 
@@ -89,9 +116,34 @@ def summed(rows: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(owners, rows[:, j], n) for j in range(rows.shape[1])], axis=1)
 
 
+def at_once(field: Field) -> int:
+    """Words, or letters of distinct words, that a task works on at a time: whole pieces."""
+    return max(1, CELLS // (PIECE * max(1, len(field.languages)))) * PIECE
+
+
+def ngram_scores(field: Field, words: list[str]) -> np.ndarray:
+    """Sums of the weights of each word's n-grams. A word beyond ``at_once`` is summed part by part."""
+    most = at_once(field)
+    scores = np.zeros((len(words), field.ngrams.shape[1]))
+    ends = np.cumsum([len(w) for w in words])
+    begin = 0
+    while begin < len(words):
+        end = int(np.searchsorted(ends, ends[begin] - len(words[begin]) + most, "right"))
+        if end > begin:
+            buckets, owners = hashed_ngrams(words[begin:end])
+            scores[begin:end] = summed(field.ngrams[buckets], owners, end - begin)
+        else:
+            end, octets = begin + 1, np.frombuffer(padded(words[begin]), np.uint8)
+            for k, n in enumerate(NGRAMS):
+                for at in range(0, len(octets) - n + 1, most):
+                    part = octets[at : at + most + n - 1].astype(np.uint32)
+                    scores[begin] += field.ngrams[hashed(part, k)].sum(axis=0)
+        begin = end
+    return scores
+
+
 def emissions(field: Field, words: list[str]) -> np.ndarray:
-    buckets, owners = hashed_ngrams(words)
-    scores = summed(field.ngrams[buckets], owners, len(words)) + field.bias
+    scores = ngram_scores(field, words) + field.bias
     known = np.fromiter((field.lexicon.get(w, -1) for w in words), np.int64, len(words))
     scores[known >= 0] += field.membership[known[known >= 0]] @ field.lexical
     return scores
@@ -195,15 +247,18 @@ def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, Counter] = {}
 
     def out() -> pa.RecordBatch:
-        rows = [(lang, w, n) for lang, of_lang in counts.items() for w, n in of_lang.items()]
-        return pa.RecordBatch.from_pylist([dict(zip(("lang", "word", "n"), r)) for r in rows]) if rows else None
+        langs = [lang for lang, of_lang in counts.items() for _ in of_lang]
+        words = [w for of_lang in counts.values() for w in of_lang]
+        ns = [n for of_lang in counts.values() for n in of_lang.values()]
+        return pa.RecordBatch.from_arrays([pa.array(langs), pa.array(words), pa.array(ns)], ["lang", "word", "n"]) if ns else None
 
     for batch in parts(batches, "text"):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            counts.setdefault(lang, Counter()).update(words_in(text))
-            if sum(map(len, counts.values())) > COUNTED:
-                yield out()
-                counts = {}
+            for words in stretches(text):
+                counts.setdefault(lang, Counter()).update(words)
+                if sum(map(len, counts.values())) > COUNTED:
+                    yield out()
+                    counts = {}
     if last := out():
         yield last
 
@@ -265,17 +320,43 @@ def learn(labelled: DataFrame, per_language: int = SAMPLE_DOCS, chars: int = SAM
     return fit(samples, languages, lexicon, membership)
 
 
+def blocks(texts: list[str | None], most: int) -> Iterator[list[tuple[int, list[str]]]]:
+    """Words of all texts with the numbers of the texts, at most ``most`` words at a time.
+
+    A longer text is cut after every ``most`` words, wherever it stands among the others.
+    """
+    block: list[tuple[int, list[str]]] = []
+    size = 0
+    for i, text in enumerate(texts):
+        held: list[str] = []
+        for words in chain(stretches(text), [None]):
+            held += words or []
+            while len(held) >= most or (words is None and held):
+                part, held = held[:most], held[most:]
+                if size + len(part) > most:
+                    yield block
+                    block, size = [], 0
+                block.append((i, part))
+                size += len(part)
+    if block:
+        yield block
+
+
 def label_texts(texts: list[str | None], field: Field) -> list[tuple[str, float]]:
     """Language and score (its share of the expected words) of every text."""
-    found = [words_in(t) for t in texts]
-    n_words = np.array([len(w) for w in found], np.int64)
-    if not field.languages or not n_words.sum():
+    if not field.languages:
         return [(UNDETERMINED, 0.0)] * len(texts)
-    number: dict[str, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for words in found for w in words])
-    lengths = np.concatenate([pieces_of(int(n)) for n in n_words])
-    marginal, _ = forward_backward(emissions(field, list(number))[ids], lengths, field)
-    shares = summed(marginal, np.repeat(np.arange(len(texts)), n_words), len(texts)) / np.maximum(n_words, 1)[:, None]
+    n_words, shares = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(field.languages)))
+    for block in blocks(texts, at_once(field)):
+        number: dict[str, int] = {}
+        ids = np.array([number.setdefault(w, len(number)) for _, words in block for w in words])
+        sizes = np.array([len(words) for _, words in block], np.int64)
+        lengths = np.concatenate([pieces_of(int(n)) for n in sizes])
+        marginal, _ = forward_backward(emissions(field, list(number))[ids], lengths, field)
+        owners = np.array([i for i, _ in block])
+        np.add.at(n_words, owners, sizes)
+        np.add.at(shares, owners, summed(marginal, np.repeat(np.arange(len(block)), sizes), len(block)))
+    shares /= np.maximum(n_words, 1)[:, None]
     best = shares.argmax(axis=1)
     return [
         (field.languages[b], float(min(1.0, shares[i, b]))) if n_words[i] else (UNDETERMINED, 0.0)

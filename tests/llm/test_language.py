@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 from itertools import product
 
 import numpy as np
@@ -102,3 +103,56 @@ def test_repeated_rows_leave_the_sample_of_every_language_alone(spark, documents
     assert languages == same and "fr" in languages
     assert sorted(map(repr, once)) == sorted(map(repr, again))
     assert {languages[i] for i, _ in once} == set(languages)
+
+
+def drawn_field(rng, size):
+    draw = lambda *shape: rng.normal(size=shape)
+    languages = [f"l{i}" for i in range(size)]
+    lexicon, membership = {"der": 0, "und": 1}, (draw(2, size) > 0).astype(float)
+    ngrams = draw(len(language.NGRAMS) * language.BUCKETS, size)
+    return Field(languages, lexicon, membership, ngrams, draw(size, size), draw(size), draw(size), draw(size, size))
+
+
+def drawn_words(rng, n):
+    return ["".join(rng.choice(list("abcdeéжΣ"), size=rng.integers(1, 9))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("shape", ["many texts", "one long text", "one long word"])
+@pytest.mark.parametrize("size", [4, 40])
+def test_memory_of_labelling_does_not_grow_with_the_texts(shape, size):
+    rng = np.random.default_rng(3)
+    field, words = drawn_field(rng, size), drawn_words(rng, 100_000)
+    cut = {"many texts": 300, "one long text": len(words), "one long word": len(words)}[shape]
+    texts = [("" if shape == "one long word" else " ").join(words[i : i + cut]) for i in range(0, len(words), cut)]
+    del words
+    tracemalloc.start()
+    labels = label_texts(texts, field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(labels) == len(texts) and all(name in field.languages for name, _ in labels)
+    assert peak < 40e6
+
+
+def test_labels_are_the_same_however_many_words_are_labelled_at_a_time(monkeypatch):
+    rng = np.random.default_rng(4)
+    field = drawn_field(rng, 3)
+    texts = [None, "", " 12 .", *(" ".join(drawn_words(rng, n)) for n in (1, 63, 64, 65, 700)), "Σ" * 3_000, "der und"]
+    texts += texts[::-1]
+    whole = label_texts(texts, field)
+    monkeypatch.setattr(language, "CELLS", 3 * 2 * language.PIECE)
+    monkeypatch.setattr(language, "CUT", 50)
+    cut = label_texts(texts, field)
+    assert language.at_once(field) == 2 * language.PIECE
+    assert [name for name, _ in cut] == [name for name, _ in whole]
+    assert np.allclose([score for _, score in cut], [score for _, score in whole])
+    assert cut == cut[::-1]
+
+
+def test_words_are_those_of_the_whole_text_wherever_it_is_cut(monkeypatch):
+    text = "Der ΟΔΟΣ's ΣΑΣ, x2y_Z " * 9 + "İstanbul" * 20 + "  " + "…" * 30 + "ende"
+    expected = [w for w in language.WORD.findall(text.lower()) if any(map(str.isalpha, w))]
+    for cut in (1, 2, 7, 50, 10_000):
+        monkeypatch.setattr(language, "CUT", cut)
+        assert language.words_in(text) == expected
+        assert [w for words in language.stretches(text) for w in words] == expected
+    assert language.words_in(None) == language.words_in("") == []
