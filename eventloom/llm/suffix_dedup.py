@@ -17,13 +17,18 @@ have equal anchors at equal places. So:
    groups, to the depth of LENGTH, by tripling ranks. Previous and next smaller
    positions in that order give the LPF; suffixes of other blocks share less than
    LENGTH bytes with those here, so an LPF of LENGTH is found whatever the blocks.
+   Rows of a block that share no string of LENGTH bytes with another place (told by
+   hashes of their strings) cannot reach that LPF and are left out before sorting.
 3. The strings from suffixes with an LPF of LENGTH are merged per document and cut out.
 
 A text is named by its doc_id and a hash of itself (``NAME``), which tells texts that
 share a doc_id, or have none, apart; places are in the order of name, then byte.
 
 An anchor that a great many different segments share (a common phrase) is dealt by
-string instead of by anchor, so no task gets a group that grows with the corpus.
+string instead of by anchor, so no task gets a group that grows with the corpus. Such
+a string is dealt as 128 bits of hash without its bytes, and told apart like a segment
+of one suffix: equal strings are one place in suffix order, of their least position,
+and the others of them have an LPF of LENGTH.
 """
 
 from __future__ import annotations
@@ -32,8 +37,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
-from xxhash import xxh3_64_intdigest
 
 from eventloom.functions.scratch import staged
 from eventloom.llm.text import bytes_of, parts
@@ -43,10 +48,14 @@ LENGTH, CORE = 100, 32
 HOT = 512
 #: Bytes that a task anchors, or sorts suffixes of, at once; ranks take 21 bits.
 PIECE, BLOCK = 1 << 22, 1 << 20
+#: Places hashed at once, few enough to stay in a processor's cache.
+CHUNK = 1 << 14
 PLACE_BITS = 24
+#: A place holds a start and, in its low bits, a number of suffixes; a span a start and an end.
+SUFFIX_BITS, SPAN_BITS = 8, 32
 #: Steps in which all places look for smaller positions together.
 JUMPS = 64
-REPEATED, OPEN = 1, 2
+REPEATED, OPEN, STRING = 1, 2, 3
 NO_ID = -(1 << 63)
 #: The columns that name a text; ``digest`` is a hash of the text and of whether it has an id.
 NAME = ("doc_id", "digest")
@@ -57,16 +66,34 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def core_hashes(octets: np.ndarray, core: int) -> np.ndarray:
+def core_hashes(octets: np.ndarray, core: int, seed: int = 1) -> np.ndarray:
     """A hash of the ``core`` bytes from each place; ``core`` is a power of two."""
-    h = mixed(octets.astype(np.uint64) + np.uint64(1))
-    width = 1
+    width, h = 1, octets.astype(np.uint64)
+    if core >= 8:
+        width, h = 8, np.ndarray(len(octets) - 7, "<u8", octets, strides=(1,)).astype(np.uint64)
+    h = mixed(h + np.uint64(seed))
     while width < core:
         h = mixed(h[:-width] * np.uint64(0xD6E8FEB86659FD93) + (h[width:] ^ (h[width:] >> np.uint64(32))))
         width *= 2
     return h
 
 
+def all_hashes(octets: np.ndarray, core: int, seed: int = 1) -> np.ndarray:
+    """``core_hashes``, a chunk at a time."""
+    hashes = np.empty(max(len(octets) - core + 1, 0), np.uint64)
+    for i in range(0, len(hashes), CHUNK):
+        hashes[i : i + CHUNK] = core_hashes(octets[i : i + CHUNK + core - 1], core, seed)
+    return hashes
+
+
+def string_hashes(hashes: np.ndarray, first: np.ndarray, size: np.ndarray, core: int) -> np.ndarray:
+    """Hashes of the ``size`` bytes (``core`` at least) from ``first``, of the hashes of their cores."""
+    h, last = mixed(size.astype(np.uint64)), first + size - core
+    for at in range(0, int(size.max(initial=0)), core):
+        h = mixed(h * np.uint64(0xD6E8FEB86659FD93) + hashes[np.minimum(first + at, last)])
+    return h
+
+
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     reach = 1
     while 2 * reach <= width:
@@ -80,24 +107,32 @@ def segments(octets: np.ndarray, ends: np.ndarray, length: int, core: int):
     """Segments of texts that lie one after the other and end at ``ends``.
 
     Arrays: place of the first suffix, number of suffixes, anchor hash, anchor's place
-    from the first suffix, number of the text. Suffixes shorter than ``length`` have none.
+    from the first suffix, number of the text, hash of the bytes. Suffixes shorter than
+    ``length`` have none.
     """
-    none = (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) + (np.empty(0, np.int64),) * 2
-    if len(octets) < length:
-        return none
-    hashes = core_hashes(octets, core)
+    places = len(octets) - length + 1
+    if places < 1:
+        none = np.empty(0, np.int64)
+        return none, none, none.astype(np.uint64), none, none, none.astype(np.uint64)
+    hashes, anchor = np.empty(len(octets) - core + 1, np.uint64), np.empty(places, np.int64)
     low = np.uint64((1 << PLACE_BITS) - 1)
-    by_place = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)  # leftmost of equals
-    anchor = (sliding_least(by_place, length - core + 1) & low).astype(np.int64)
-    text = np.searchsorted(ends, np.arange(len(anchor)), "right")
-    starts = np.flatnonzero(np.arange(len(anchor)) + length <= ends[text])
-    if not len(starts):
-        return none
-    anchor = anchor[starts]
-    new = np.flatnonzero(np.r_[True, (np.diff(anchor) != 0) | (np.diff(starts) != 1)])
-    first = starts[new]
-    count = starts[np.r_[new[1:] - 1, len(starts) - 1]] - first + 1
-    return first, count, hashes[anchor[new]], anchor[new] - first, text[first]
+    for i in range(0, places, CHUNK):
+        end = min(i + CHUNK, places)
+        h = core_hashes(octets[i : end + length - 1], core)
+        hashes[i : i + len(h)] = h
+        by_place = (h & ~low) | np.arange(i, i + len(h), dtype=np.uint64)  # leftmost of equals
+        anchor[i:end] = sliding_least(by_place, length - core + 1) & low
+    new = np.r_[True, anchor[1:] != anchor[:-1]]
+    begins = np.r_[0, ends[:-1]]
+    edges = np.r_[begins, np.maximum(begins, ends - length + 1)]  # of suffixes that are too short
+    new[edges[edges < places]] = True
+    first = np.flatnonzero(new)
+    count = np.diff(np.r_[first, places])
+    text = np.searchsorted(ends, first, "right")
+    enough = first + length <= ends[text]
+    first, count, text = first[enough], count[enough], text[enough]
+    at = anchor[first]
+    return first, count, hashes[at], at - first, text, string_hashes(hashes, first, count + length - 1, core)
 
 
 def arrow(**columns: np.ndarray) -> pa.RecordBatch:
@@ -125,53 +160,75 @@ def pieces(batches: Iterable[pa.RecordBatch], length: int):
             yield names, piece, np.array([len(piece)]), np.array([at])
 
 
+def name_ranks(names: np.ndarray) -> np.ndarray:
+    """Numbers in the order of names, equal for equal ones."""
+    order = np.lexsort((names[:, 1], names[:, 0]))
+    rank = np.empty(len(names), np.int64)
+    rank[order] = np.cumsum(np.r_[False, (np.diff(names[order], axis=0) != 0).any(axis=1)])
+    return rank
+
+
+def later_copies(key: np.ndarray, check: np.ndarray, text: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which of the strings named by (key, check) lie at an earlier place too; ``text`` is in text order.
+
+    The first of equals and those at its own place (a repeated row) are not copies.
+    """
+    copy = np.zeros(len(key), bool)
+    order = np.argsort(key + mixed(check))
+    new = np.r_[True, (np.diff(key[order]) != 0) | (np.diff(check[order]) != 0)]
+    run = np.cumsum(new) - 1
+    many = np.flatnonzero(np.bincount(run)[run] > 1)
+    if len(many):
+        few, run = order[many], run[many]
+        few = few[np.lexsort((start[few], text[few], run))]  # runs stay where they are
+        heads = np.flatnonzero(np.r_[True, np.diff(run) != 0])
+        head = np.repeat(few[heads], np.diff(np.r_[heads, len(few)]))
+        copy[few] = (text[few] != text[head]) | (start[few] != start[head])
+    return copy
+
+
 def anchored(batches: Iterable[pa.RecordBatch], length: int, core: int) -> Iterator[pa.RecordBatch]:
-    """Segments as rows; those that repeat an earlier one of the same piece as such."""
+    """Segments as rows; those that repeat an earlier one of the same piece have a place below 0."""
     for names, data, ends, offsets in pieces(batches, length):
-        first, count, anchor, lead, text = segments(np.frombuffer(data, np.uint8), ends, length, core)
+        first, count, anchor, lead, text, whole = segments(np.frombuffer(data, np.uint8), ends, length, core)
         if not len(first):
             continue
-        spans = zip(first.tolist(), (first + count + length - 1).tolist(), lead.tolist())
-        whole = np.fromiter((xxh3_64_intdigest(data[a:b], seed=c) for a, b, c in spans), np.uint64, len(first))
+        whole = mixed(whole + lead.astype(np.uint64))
         doc, start = names[text], first - (ends[text] - np.diff(ends, prepend=0)[text]) + offsets[text]
-        order = np.lexsort((start, doc[:, 1], doc[:, 0], whole, anchor))
-        new = np.r_[True, (np.diff(anchor[order]) != 0) | (np.diff(whole[order]) != 0)]
-        # The first of equals and those at its own place (a repeated row) are not copies.
-        head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-        copy = np.empty(len(order), bool)
-        copy[order] = (doc[order] != doc[head]).any(axis=1) | (start[order] != start[head])
+        copy = later_copies(anchor, whole, name_ranks(names)[text], start)
+        place = (start << SUFFIX_BITS) | count
         yield arrow(
-            kind=np.where(copy, REPEATED, OPEN).astype(np.int32),
             anchor=signed(np.where(copy, mixed(whole ^ mixed((doc.sum(axis=1) + start).view(np.uint64))), anchor)),  # copies anywhere
             whole=signed(whole),
             doc_id=doc[:, 0],
             digest=doc[:, 1],
-            start=start,
-            suffixes=count.astype(np.int32),
+            place=np.where(copy, -place, place),
         )
 
 
-def told_apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (anchor, whole, doc_id, digest, start): copies, and firsts with a rival.
+def apart(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by (anchor, whole, doc_id, digest, place): later copies, and the first of each."""
+    new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)]
+    head = rows[np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))]
+    return rows[~new & (rows[:, 2:] != head[:, 2:]).any(axis=1)], rows[new]
+
+
+def told_apart(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (anchor, whole, doc_id, digest, place): spans of copies, and places of firsts with a rival.
 
     What is held between batches is one row, however many share an anchor.
     """
-    names = ("anchor", "whole", *NAME, "start", "suffixes")
-    held = np.empty((0, 6), np.int64)
+    held = np.empty((0, 5), np.int64)
     rivalled = False  # whether the held first has been given out already
     for batch in batches:
-        kinds = batch.column("kind").to_numpy()
-        rows = np.stack([batch.column(n).to_numpy().astype(np.int64) for n in names], axis=1)
-        gone = [rows[kinds == REPEATED]]
-        rows = np.concatenate((held, rows[kinds == OPEN]))
+        rows = np.stack([batch.column(n).to_numpy() for n in ("anchor", "whole", *NAME, "place")], axis=1)
+        copy = rows[:, 4] < 0
+        gone = rows[copy] * np.array([1, 1, 1, 1, -1])
+        rows = np.concatenate((held, rows[~copy]))
         if not len(rows):
-            yield given(gone[0], rows)
+            yield given(gone, rows, length)
             continue
-        new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)]
-        head = rows[np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))]
-        same_place = (rows[:, 2:5] == head[:, 2:5]).all(axis=1)
-        gone.append(rows[~new & ~same_place])
-        firsts = rows[new]
+        later, firsts = apart(rows)
         shared = firsts[1:, 0] == firsts[:-1, 0]
         rival = np.r_[False, shared] | np.r_[shared, False]
         rival[0] |= rivalled and len(held) > 0
@@ -179,71 +236,76 @@ def told_apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rivalled and len(held):
             out[0] = False
         held, rivalled = firsts[-1:], bool(rival[-1])
-        yield given(np.concatenate(gone), firsts[out])
+        yield given(np.concatenate((gone, later)), firsts[out], length)
 
 
-def given(gone: np.ndarray, rivals: np.ndarray) -> pa.RecordBatch:
+def given(gone: np.ndarray, rivals: np.ndarray, length: int) -> pa.RecordBatch:
+    start, suffixes = gone[:, 4] >> SUFFIX_BITS, gone[:, 4] & ((1 << SUFFIX_BITS) - 1)
     rows = np.concatenate((gone, rivals))
-    kind = np.repeat(np.array([REPEATED, OPEN], np.int32), (len(gone), len(rivals)))
     return arrow(
-        kind=kind,
-        anchor=rows[:, 0],
+        kind=np.repeat(np.array([REPEATED, OPEN], np.int32), (len(gone), len(rivals))),
+        anchor=np.r_[np.zeros(len(gone), np.int64), rivals[:, 0]],
         doc_id=rows[:, 2],
         digest=rows[:, 3],
-        start=rows[:, 4],
-        suffixes=rows[:, 5].astype(np.int32),
+        place=np.r_[spanned(start, start + suffixes - 1 + length), rivals[:, 4]],
     )
 
 
-def fetched(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """The bytes of a document's open segments; of hot anchors each string for itself."""
+def spanned(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return (start << SPAN_BITS) | end
+
+
+def fetched(batches: Iterable[pa.RecordBatch], length: int, core: int) -> Iterator[pa.RecordBatch]:
+    """The bytes of a document's open segments; of hot anchors the hashes of each string."""
     for batch in parts(batches, "text", PIECE):
         data, bounds = bytes_of(batch.column("text"))
-        marks = batch.column("marks").to_pylist()
-        rows: list[tuple[int, tuple[int, int], int, int, bytes]] = []
-        docs = zip(*(batch.column(n).to_pylist() for n in NAME))
-        for doc, at, end, of_doc in zip(docs, bounds[:-1].tolist(), bounds[1:].tolist(), marks):
-            for mark in of_doc:
-                begin, n, anchor = mark["start"], mark["suffixes"], mark["anchor"]
-                text = bytes(data[at + begin : min(at + begin + n + length - 1, end)])
-                if mark["hot"]:
-                    for i in range(n):
-                        string = text[i : i + length]
-                        key = xxh3_64_intdigest(string, seed=anchor & 0xFFFFFFFF)
-                        rows.append((key, doc, begin + i, 1, string))
-                else:
-                    rows.append((anchor & 0xFFFFFFFFFFFFFFFF, doc, begin, n, text))
-        rows.sort(key=lambda r: (r[0], r[4], r[1], r[2]))
-        kept, copies = [], []
-        for row in rows:  # of equal strings in this piece only the first goes on
-            same = kept and kept[-1][0] == row[0] and kept[-1][4] == row[4] and kept[-1][1:3] != row[1:3]
-            (copies if same else kept).append(row)
-        if kept:
-            key, doc, start, suffixes, text = zip(*kept)
-            yield of_bytes(OPEN, signed(np.array(key, np.uint64)), doc, start, suffixes, text)
-        if copies:  # neighbours in a text as one row, dealt evenly
-            merged: list[list[int]] = []
-            for _, doc, start, suffixes, _ in sorted(copies, key=lambda r: r[1:3]):
-                if merged and merged[-1][0] == doc and start <= merged[-1][1] + merged[-1][2]:
-                    merged[-1][2] = max(merged[-1][2], start + suffixes - merged[-1][1])
-                else:
-                    merged.append([doc, start, suffixes])
-            doc, start, suffixes = zip(*merged)
-            spread = mixed(np.array(doc, np.int64).sum(axis=1).view(np.uint64) + mixed(np.array(start, np.uint64)))
-            yield of_bytes(REPEATED, signed(spread), doc, start, suffixes, [b""] * len(merged))
-
-
-def of_bytes(kind: int, anchor: np.ndarray, doc, start, suffixes, text) -> pa.RecordBatch:
+        names = np.stack([batch.column(n).to_numpy() for n in NAME], axis=1)
+        marks = batch.column("marks")
+        text = np.repeat(np.arange(len(names)), marks.value_lengths().to_numpy(zero_copy_only=False))
+        place, anchor = (marks.flatten().field(n).to_numpy() for n in ("place", "anchor"))
+        hot, place = (place & 1).astype(bool), place >> 1
+        start, suffixes = place >> SUFFIX_BITS, place & ((1 << SUFFIX_BITS) - 1)
+        at = bounds[text] + start
+        strings = [bytes(data[a:b]) for a, b in zip(at.tolist(), (at + suffixes + length - 1).tolist())]
+        if not hot.all():
+            cold = np.flatnonzero(~hot)
+            yield of_kind(OPEN, anchor[cold], 0, names[text[cold]], start[cold], suffixes[cold], [strings[i] for i in cold.tolist()])
+        if not hot.any():
+            continue
+        (of,) = np.nonzero(hot)
+        octets = np.frombuffer(b"".join(strings[i] for i in of.tolist()), np.uint8)
+        sizes, n = suffixes[of] + length - 1, suffixes[of]
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        first, size = np.repeat(np.cumsum(sizes) - sizes, n) + nth, np.full(len(nth), length)
+        key, check = (string_hashes(all_hashes(octets, core, seed), first, size, core) for seed in (1, 0x5851F42D4C957F2D))
+        row, begin = np.repeat(text[of], n), np.repeat(start[of], n) + nth
+        rank = name_ranks(names)[row]
+        copy = later_copies(key, check, rank, begin)  # of equal strings in this piece only the first goes on
+        doc, one = names[row], np.ones(len(row), np.int64)
+        yield of_kind(STRING, signed(key[~copy]), signed(check[~copy]), doc[~copy], begin[~copy], one[~copy], None)
+        if copy.any():  # neighbours in a text as one row, dealt evenly
+            doc, rank, begin = doc[copy], rank[copy], begin[copy]
+            order = np.lexsort((begin, rank))
+            doc, rank, begin = doc[order], rank[order], begin[order]
+            new = np.flatnonzero(np.r_[True, (np.diff(rank) != 0) | (np.diff(begin) > 1)])
+            end = begin[np.r_[new[1:] - 1, len(begin) - 1]] + 1
+            doc, begin = doc[new], begin[new]
+            spread = mixed(doc.sum(axis=1).view(np.uint64) + mixed(begin.astype(np.uint64)))
+            yield of_kind(REPEATED, signed(spread), 0, doc, begin, end - begin, None)
+
+
+def of_kind(kind: int, anchor: np.ndarray, whole, doc: np.ndarray, start: np.ndarray, suffixes: np.ndarray, text) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.full(len(anchor), kind, np.int32)),
             pa.array(anchor),
-            *(pa.array(part, pa.int64()) for part in zip(*doc)),
-            pa.array(start, pa.int64()),
-            pa.array(suffixes, pa.int32()),
-            pa.array(text, pa.binary()),
+            pa.array(np.full(len(anchor), whole, np.int64)),
+            *(pa.array(part) for part in doc.T),
+            pa.array(start),
+            pa.array(suffixes.astype(np.int32)),
+            pa.array(text or [None] * len(anchor), pa.binary()),
         ],
-        ["kind", "anchor", *NAME, "start", "suffixes", "bytes"],
+        ["kind", "anchor", "whole", *NAME, "start", "suffixes", "bytes"],
     )
 
 
@@ -343,28 +405,47 @@ def text_positions(doc: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.
     return first
 
 
-def sorted_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Repeated strings among rows sorted by (anchor, doc_id, digest, start), block by block."""
+def repeated_strings(names: np.ndarray, row: np.ndarray, nth: np.ndarray):
+    """Rows that hold a string which occurs twice, by its hash, and the first and last of such strings in each."""
+    order = np.argsort(names)
+    same = np.diff(names[order]) == 0
+    twice = np.zeros(len(names), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    (found,) = np.nonzero(twice)
+    new = np.flatnonzero(np.diff(row[found], prepend=-1))
+    last = np.r_[new[1:], len(found)][: len(new)] - 1
+    return row[found[new]], nth[found[new]], nth[found[last]]
+
+
+def sorted_out(batches: Iterable[pa.RecordBatch], length: int, core: int) -> Iterator[pa.RecordBatch]:
+    """Repeated strings among rows sorted by (anchor, whole, doc_id, digest, start), block by block."""
 
     def spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-        return arrow(doc_id=doc[:, 0], digest=doc[:, 1], start=start, end=end)
+        return arrow(doc_id=doc[:, 0], digest=doc[:, 1], span=spanned(start, end))
+
+    def numbers(block: pa.RecordBatch, *columns: str) -> np.ndarray:
+        return np.stack([block.column(n).to_numpy().astype(np.int64) for n in columns], axis=1)
 
     def work(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = pa.Table.from_batches(rows).combine_chunks()
-        old = block.column("kind").to_numpy() == REPEATED
-        doc = np.stack([block.column(n).to_numpy() for n in NAME], axis=1)
-        start, count = (block.column(n).to_numpy().astype(np.int64) for n in ("start", "suffixes"))
-        yield spans(doc[old], start[old], start[old] + count[old] - 1 + length)
-        texts = block.column("bytes").combine_chunks().cast(pa.large_binary())
-        texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
-        octets = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
-        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        doc, start, count, at = doc[~old], start[~old], count[~old], at[:-1][~old]
-        if not len(doc):
+        doc, (start, count) = numbers(block, *NAME), numbers(block, "start", "suffixes").T
+        data = b"".join(block.column("bytes").to_pylist())
+        at = np.cumsum(count + length - 1) - (count + length - 1)
+
+        def suffixes(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return np.repeat(np.arange(len(count)), count), np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+        row, nth = suffixes(count)
+        hashes = all_hashes(np.frombuffer(data, np.uint8), core)
+        kept, first, last = repeated_strings(string_hashes(hashes, at[row] + nth, np.full(len(row), length), core), row, nth)
+        if not len(kept):
             return
-        row = np.repeat(np.arange(len(doc)), count)
-        nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        doc, start, count, at = doc[kept], start[kept] + first, last - first + 1, at[kept] + first
+        data = b"".join(data[a:b] for a, b in zip(at.tolist(), (at + count + length - 1).tolist()))
+        at = np.cumsum(count + length - 1) - (count + length - 1)
+        row, nth = suffixes(count)
         position = text_positions(doc, start, count)[row] + nth
+        octets = np.frombuffer(data, np.uint8)
         copy = np.flatnonzero(longest_previous_factors(octets, at[row] + nth, position, length) >= length)
         if not len(copy):
             return
@@ -373,8 +454,18 @@ def sorted_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Re
         yield spans(doc[row[first]], start[row[first]] + nth[first], start[row[last]] + nth[last] + length)
 
     held: list[pa.RecordBatch] = []
-    size = 0
+    size, string = 0, np.empty((0, 5), np.int64)
     for batch in batches:
+        kind = batch.column("kind").to_numpy()
+        if (kind == REPEATED).any():
+            old = numbers(batch.filter(pa.array(kind == REPEATED)), *NAME, "start", "suffixes")
+            yield spans(old[:, :2], old[:, 2], old[:, 2] + old[:, 3] - 1 + length)
+        if (kind == STRING).any():  # one row is held, however often a string occurs
+            rows = numbers(batch.filter(pa.array(kind == STRING)), "anchor", "whole", *NAME, "start")
+            later, firsts = apart(np.concatenate((string, rows)))
+            string = firsts[-1:]
+            yield spans(later[:, 2:4], later[:, 4], later[:, 4] + length)
+        batch = batch.filter(pa.array(kind == OPEN))
         if not batch.num_rows:
             continue
         anchors = batch.column("anchor").to_numpy()
@@ -383,80 +474,87 @@ def sorted_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Re
         if held and held[-1].column("anchor")[-1].as_py() != anchors[0] and size >= BLOCK:
             yield from work(held)
             held, size = [], 0
-        lengths = np.cumsum(batch.column("bytes").cast(pa.large_binary()).fill_null(b"").to_pandas().str.len())
-        for cut in cuts.tolist():  # whole groups until a block is full
-            if cut < batch.num_rows and size + lengths[cut - 1] - (lengths[at - 1] if at else 0) >= BLOCK:
+        lengths = np.cumsum(pc.binary_length(batch.column("bytes")).to_numpy(), dtype=np.int64)
+        for cut, upto in zip(cuts.tolist(), lengths[cuts - 1].tolist()):  # whole groups until a block is full
+            if cut < batch.num_rows and size + upto - (int(lengths[at - 1]) if at else 0) >= BLOCK:
                 yield from work([*held, batch.slice(at, cut - at)])
                 held, size, at = [], 0, cut
         held.append(batch.slice(at))
-        size += int(lengths.iloc[-1] - (lengths[at - 1] if at else 0))
+        size += int(lengths[-1] - (lengths[at - 1] if at else 0))
     if held:
         yield from work(held)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFrame:
-    """doc_id, digest, start, end: byte spans that, together, cover all later copies.
+    """doc_id, digest, span: byte spans that, together, cover all later copies.
 
     ``docs`` has doc_id, digest (neither null) and text. Spans of one document may overlap.
     """
     if length < 2 * core or length > 9 * 24 or length >= PIECE:
         raise ValueError("give a length of 2 * core up to 216 bytes")
-    segment = "kind int, anchor long, whole long, doc_id long, digest long, start long, suffixes int"
     dealt = (
-        docs.mapInArrow(lambda b: anchored(b, length, core), segment)
+        docs.mapInArrow(lambda b: anchored(b, length, core), "anchor long, whole long, doc_id long, digest long, place long")
         .repartition("anchor")
-        .sortWithinPartitions("anchor", "whole", *NAME, "start")
+        .sortWithinPartitions("anchor", "whole", *NAME, "place")
     )
     told = staged(
-        dealt.mapInArrow(told_apart, "kind int, anchor long, doc_id long, digest long, start long, suffixes int"),
+        dealt.mapInArrow(lambda b: told_apart(b, length), "kind int, anchor long, doc_id long, digest long, place long"),
         "segments",
     )
     rivals = told.where(F.col("kind") == OPEN).drop("kind")
     hot = staged(rivals.groupBy("anchor").count().where(F.col("count") > HOT).select("anchor"), "hot-anchors")
+    # Dealt before they are collected: what a task holds of one document is little, so lists of it save nothing.
     marks = (
-        rivals.join(hot.withColumn("hot", F.lit(True)), "anchor", "left")
+        rivals.join(hot.withColumn("hot", F.lit(1)), "anchor", "left")
+        .select(*NAME, "anchor", (F.col("place") * 2 + F.coalesce("hot", F.lit(0))).alias("place"))
+        .repartition(*NAME)
         .groupBy(*NAME)
-        .agg(F.collect_list(F.struct("start", "suffixes", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("marks"))
+        .agg(F.collect_list(F.struct("place", "anchor")).alias("marks"))
     )
     strings = (
         docs.join(marks, [*NAME])
         .mapInArrow(
-            lambda b: fetched(b, length),
-            "kind int, anchor long, doc_id long, digest long, start long, suffixes int, bytes binary",
+            lambda b: fetched(b, length, core),
+            "kind int, anchor long, whole long, doc_id long, digest long, start long, suffixes int, bytes binary",
         )
         .repartition("anchor")
-        .sortWithinPartitions("anchor", *NAME, "start")
-        .mapInArrow(lambda b: sorted_out(b, length), "doc_id long, digest long, start long, end long")
-    )
-    whole = told.where(F.col("kind") == REPEATED).select(
-        *NAME, "start", (F.col("start") + F.col("suffixes") - 1 + length).alias("end")
+        .sortWithinPartitions("anchor", "whole", *NAME, "start")
+        .mapInArrow(lambda b: sorted_out(b, length, core), "doc_id long, digest long, span long")
     )
-    return whole.union(strings)
+    return told.where(F.col("kind") == REPEATED).select(*NAME, F.col("place").alias("span")).union(strings)
 
 
 def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without their spans (spans merged, within the text)."""
     for batch in parts(batches, "text", PIECE):
         data, bounds = bytes_of(batch.column("text"))
-        out = []
-        for at, end, spans in zip(bounds[:-1].tolist(), bounds[1:].tolist(), batch.column("spans").to_pylist()):
-            merged: list[list[int]] = []
-            for span in sorted((s["start"], min(s["end"], end - at)) for s in spans or ()):
-                if span[0] >= span[1]:
-                    continue
-                if merged and span[0] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], span[1])
-                else:
-                    merged.append(list(span))
-            edges = [0, *(x for span in merged for x in span), end - at]
-            kept = b"".join(data[at + a : at + b] for a, b in zip(edges[::2], edges[1::2]))
-            out.append((end - at, merged, kept))
+        spans = batch.column("spans")
+        text = np.repeat(np.arange(batch.num_rows), spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        span = spans.flatten().to_numpy()
+        begins, ends = bounds[:-1] - bounds[0], bounds[1:] - bounds[0]
+        shift = begins + np.arange(batch.num_rows)  # a byte lies between texts, so spans of two do not meet
+        start = (span >> SPAN_BITS) + shift[text]
+        end = np.minimum(span & ((1 << SPAN_BITS) - 1), (ends - begins)[text]) + shift[text]
+        order = np.argsort(start)
+        order = order[start[order] < end[order]]
+        text, start, end = text[order], start[order], np.maximum.accumulate(end[order])
+        new = np.flatnonzero(np.r_[True, start[1:] > end[:-1]][: len(start)])
+        last = np.r_[new[1:], len(start)][: len(new)] - 1
+        text = text[new]
+        start, end = start[new] - shift[text], end[last] - shift[text]
+        per = np.searchsorted(text, np.arange(batch.num_rows + 1))
+        kept = []
+        starts, stops = start.tolist(), end.tolist()
+        for at, stop, a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), per[:-1].tolist(), per[1:].tolist()):
+            edges = zip([0, *stops[a:b]], [*starts[a:b], stop - at])
+            kept.append(b"".join(data[at + x : at + y] for x, y in edges))
+        pairs = pa.ListArray.from_arrays(np.arange(len(start) + 1, dtype=np.int32) * 2, np.stack([start, end], axis=1).ravel())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("given_id"),
-                pa.array([n for n, _, _ in out], pa.int64()),
-                pa.array([m for _, m, _ in out], pa.list_(pa.list_(pa.int64()))),
-                pa.array([k for _, _, k in out], pa.binary()),
+                pa.array(ends - begins),
+                pa.ListArray.from_arrays(per.astype(np.int32), pairs),
+                pa.array(kept, pa.binary()),
             ],
             ["doc_id", "n_bytes", "removed", "kept"],
         )
@@ -479,10 +577,9 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> Dat
         given_id.alias("given_id"),
         text.alias("text"),
     )
+    # Texts are dealt by name once, for both joins: they have the same columns there.
     spans = (
-        repeated_spans(own.drop("given_id"), length, core)
-        .groupBy(*NAME)
-        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        repeated_spans(own, length, core).repartition(*NAME).groupBy(*NAME).agg(F.collect_list("span").alias("spans"))
     )
     return own.join(spans, [*NAME], "left").mapInArrow(
         cut_out, "doc_id long, n_bytes long, removed array<array<long>>, kept binary"

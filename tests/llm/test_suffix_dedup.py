@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventloom.llm import suffix_dedup
@@ -125,3 +126,73 @@ def test_texts_that_share_an_id_or_have_none_are_told_apart(spark, monkeypatch,
         whole = [text for text in texts if copy in text and text in kept]
         assert len(whole) == 1  # the first of the copies, and clean bytes, stay
         assert kept == sorted(text if text in whole else text.replace(copy, "") for text in texts)
+
+
+def dealt(batches):
+    """The rows in the order in which a task gets them."""
+    columns = ("anchor", "whole", "doc_id", "digest", "start")
+    table = pa.Table.from_batches(list(batches))
+    return table.sort_by([(c, "ascending") for c in columns]).combine_chunks().to_batches()
+
+
+def marked(texts, marks):
+    mark = pa.list_(pa.struct([("place", pa.int64()), ("anchor", pa.int64())]))
+    place = lambda start, hot: ((start << suffix_dedup.SUFFIX_BITS | 20) << 1) | hot  # noqa: E731  20 suffixes each
+    rows = [[{"place": place(start, hot), "anchor": 5} for start, hot in of] for of in marks]
+    ids = pa.array(range(len(texts)), pa.int64())
+    columns = [ids, ids, pa.array(texts), pa.array(rows, mark)]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "text", "marks"])
+
+
+def test_strings_of_a_hot_anchor_are_dealt_without_their_bytes():
+    rng = random.Random(8)
+    phrase = "".join(rng.choices("abcdefgh", k=110))
+    texts = ["".join(rng.choices("abcdefgh", k=30)) + phrase + "".join(rng.choices("abcdefgh", k=30)) for _ in range(50)]
+    batches = [marked([text], [[(i % 20 + 20, 1)]]) for i, text in enumerate(texts)]  # each in a task of its own
+    batches = [b.set_column(0, "doc_id", pa.array([i])) for i, b in enumerate(batches)]
+    rows = [b for batch in batches for b in suffix_dedup.fetched([batch], LENGTH, 32)]
+    assert sum(b.num_rows for b in rows) == 50 * 20
+    assert all(not bytes for b in rows for bytes in b.column("bytes").to_pylist())
+    spans = pa.Table.from_batches(suffix_dedup.sorted_out(dealt(rows), LENGTH, 32)).to_pydict()
+    starts = sorted((doc, span >> suffix_dedup.SPAN_BITS) for doc, span in zip(spans["doc_id"], spans["span"]))
+    seen, expected = set(), []
+    for i, text in enumerate(texts):
+        for start in range(i % 20 + 20, i % 20 + 40):
+            string = text[start : start + LENGTH]
+            if string in seen:
+                expected.append((i, start))
+            seen.add(string)
+    assert expected and starts == expected
+
+
+def test_only_rows_with_a_repeated_string_are_sorted(monkeypatch):
+    sorted_suffixes = []
+    factors = suffix_dedup.longest_previous_factors
+    monkeypatch.setattr(
+        suffix_dedup, "longest_previous_factors", lambda o, places, *a: sorted_suffixes.append(len(places)) or factors(o, places, *a)
+    )
+    rng = random.Random(9)
+    short, phrase = ("".join(rng.choices("abcdefgh", k=k)) for k in (60, 103))
+    around = lambda k: "".join(rng.choices("ijklmnop", k=k))
+    texts = [around(30) + short + around(60) for _ in range(40)] + [around(25) + phrase + around(30) for _ in range(2)]
+    batch = marked(texts, [[(15, 0)]] * 42)
+    spans = pa.Table.from_batches(suffix_dedup.sorted_out(dealt(suffix_dedup.fetched([batch], LENGTH, 32)), LENGTH, 32)).to_pydict()
+    assert [(d, s >> suffix_dedup.SPAN_BITS, s & 0xFFFFFFFF) for d, s in zip(spans["doc_id"], spans["span"])] == [(41, 25, 128)]
+    assert sorted_suffixes == [2 * 4]  # of 42 * 20
+
+
+def test_spans_are_not_gathered_before_they_are_dealt(documents):
+    plan = deduplicated(documents)._jdf.queryExecution().executedPlan().toString()
+    dealt = [below for above, below in zip(plan.splitlines(), plan.splitlines()[1:]) if "Exchange hashpartitioning(doc_id" in above]
+    assert dealt and not any("collect_list" in line for line in dealt)
+
+
+def test_hashes_of_strings_tell_strings_apart():
+    rng = random.Random(10)
+    octets = np.array(rng.choices(range(3), k=40_000), np.uint8)
+    octets[30_000:] = octets[5_003:15_003]
+    hashes = suffix_dedup.all_hashes(octets, 32)
+    first, size = np.array(rng.choices(range(39_800), k=20_000)), np.array(rng.choices(range(100, 169), k=20_000))
+    names = suffix_dedup.string_hashes(hashes, first, size, 32).tolist()
+    strings = [octets[a : a + n].tobytes() for a, n in zip(first.tolist(), size.tolist())]
+    assert len(set(zip(names, strings))) == len(set(names)) == len(set(strings)) < 20_000
